@@ -127,7 +127,7 @@ def window_regressor() -> LinearRegression:
 
 def fit_best(train: DataFrame, validation: DataFrame, candidates: Sequence[Estimator], score=None, path: str | None = None):
     """Fit all candidates, keep the one with the best validation score, save it and load it back."""
-    score = score or accuracy("label", "prediction")
+    score = accuracy("label", "prediction") if score is None else score
     models = [c.fit(train) for c in candidates]
     values = [m.transform(validation).agg(score).first()[0] for m in models]
     best = max(range(len(models)), key=lambda i: (values[i] is not None, values[i]))

@@ -1,0 +1,279 @@
+"""Whole strategies and forecasts, end to end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketseries.functions import metrics, scalar
+from marketseries.operators import backtest, clusters, diagnostics, features, forecast, intraday, panel, portfolio
+from marketseries.operators import indicators as ind
+from marketseries.operators import regression
+from marketseries.operators import validation as val
+from marketseries.operators.blocks import index_series
+from marketseries.plans import models
+from marketseries.plans.basics import HELD, HOLDINGS, TYPES, daily_log_returns, engagement_holdings
+from marketseries.plans.registry import query, r, rounded, sql
+from marketseries.plans.series import (
+    GARMAN_SQL, NUMBERED, atr_sql, bands_sql, benchmark_returns, horizon_sql, macd_sql, rsi_sql,
+)
+from marketseries.sources import stand_ins as src
+from marketseries.sources.readers import FACTORS
+
+BENCH = """bret AS (SELECT * FROM (
+  SELECT date, ln(adj_close) - ln(lag(adj_close) OVER (ORDER BY date)) AS benchmark_return FROM bench)
+  WHERE benchmark_return IS NOT NULL)"""
+
+
+def compound_sql(col: str) -> str:
+    return f"""CASE WHEN {col} > -1 THEN
+       exp(sum(CASE WHEN {col} > -1 THEN ln(1 + {col}) ELSE 0 END) OVER (ORDER BY date)) - 1 END"""
+
+
+@query("engagement_rotation", sql(f"""
+SELECT date, {r('portfolio_return')} AS portfolio_return, {r('benchmark_return')} AS benchmark_return,
+       {r(compound_sql('portfolio_return'))} AS strategy_cum, {r(compound_sql('benchmark_return'))} AS benchmark_cum
+FROM (SELECT date, avg(ret) AS portfolio_return FROM held GROUP BY date) JOIN bret USING (date)""",
+    "bars", "sentiment", "bench", extra=[HOLDINGS, HELD, BENCH]))
+def engagement_rotation(spark, root):
+    """Each month hold the five names of the highest comment-to-like ratio; compounded against the benchmark."""
+    held = engagement_holdings(spark, root)
+    daily = backtest.equal_weight_returns(held, daily_log_returns(spark, root))
+    out = backtest.compare_benchmark(daily, benchmark_returns(spark, root))
+    return rounded(out.select("date", "portfolio_return", "benchmark_return", "strategy_cum", "benchmark_cum"))
+
+
+UNIVERSE = 16
+_DAILY = "bars b JOIN rsi USING (ticker, date) JOIN atr USING (ticker, date) JOIN macd USING (ticker, date)"
+_LAST = ("garman_klass", "rsi", "bb_low", "bb_mid", "bb_high", "atr", "macd")
+_PANEL = [
+    NUMBERED, rsi_sql("numbered", "rsi"), atr_sql("numbered", "atr"), macd_sql("numbered", "macd"),
+    f"daily AS (SELECT b.*, rsi, atr, macd, {GARMAN_SQL} AS garman_klass, {bands_sql('bars', 0, 'bb')} FROM {_DAILY})",
+    f"""agg AS (
+  SELECT ticker, last_day(date) AS month_end, avg(adj_close * volume / 1e6) AS dollar_volume, arg_max(adj_close, date) AS adj_close,
+         {', '.join(f'arg_max({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in _LAST)}
+  FROM daily GROUP BY 1, 2),
+complete AS (
+  SELECT *, dense_rank() OVER (ORDER BY month_end) AS grid FROM agg WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _LAST)}),
+rolled AS (
+  SELECT * EXCLUDE (dollar_volume, grid), CASE WHEN count(*) OVER w >= 12 THEN avg(dollar_volume) OVER w END AS liquidity
+  FROM complete WINDOW w AS (PARTITION BY ticker ORDER BY grid RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)),
+liquid AS (
+  SELECT * EXCLUDE (liquidity, rk) FROM (
+    SELECT *, rank() OVER (PARTITION BY month_end ORDER BY liquidity DESC)
+              + (count(*) OVER (PARTITION BY month_end, liquidity) - 1) / 2.0 AS rk
+    FROM rolled WHERE liquidity IS NOT NULL)
+  WHERE rk < {UNIVERSE})""",
+    horizon_sql("liquid", "panel"),
+]
+
+
+@query("monthly_feature_panel", sql(f"""
+SELECT ticker, month_end, adj_close, {', '.join(f'{r(c, 5)} AS {c}' for c in (*_LAST, *features.RETURNS))}
+FROM panel WHERE {' AND '.join(f'{c} IS NOT NULL' for c in features.RETURNS)}""", "bars", extra=_PANEL))
+def monthly_feature_panel(spark, root):
+    return rounded(features.monthly_feature_panel(src.bars(spark, root), UNIVERSE), 5)
+
+
+@query("momentum_cluster_backtest")
+def momentum_cluster_backtest(spark, root):
+    """Monthly features and betas, seeded clusters, the high-momentum cluster held at best Sharpe weights."""
+    bars = src.bars(spark, root)
+    table = features.with_factor_betas(
+        features.monthly_feature_panel(bars, UNIVERSE), src.factors(spark, root)
+    )
+    names = features.CLUSTER_FEATURES
+    labelled = clusters.kmeans_grouped(table, ["month_end"], names, "ticker", start=features.momentum_seeds())
+    held = backtest.hold_next_month(labelled.where(F.col("cluster") == 3))
+    looked = portfolio.lookback_returns(portfolio.lookback_prices(held, bars))
+    weights = portfolio.max_sharpe_weights(held, looked, upper=0.4)
+    daily = backtest.weighted_returns(weights, daily_log_returns(spark, root))
+    out = backtest.compare_benchmark(daily, benchmark_returns(spark, root))
+    return rounded(out.select("date", "portfolio_return", "benchmark_return", "strategy_cum", "benchmark_cum"))
+
+
+def _index(spark, root):
+    return src.benchmark_prices(spark, root).select("date", F.col("adj_close").alias("close"))
+
+
+_FEATURE_NAMES = [f"{t}_{c}" for t in TYPES for c in features.DIRECTION]
+_INPUTS = [*_FEATURE_NAMES, "index_lag"]
+
+
+def direction_windows(spark, root):
+    """Scaled five-row windows of all tickers' features, 60/20/20 by time."""
+    table = features.direction_features(src.bars_by_type(spark, root), _index(spark, root), TYPES)
+    parts = forecast.fraction_split(table, [], "date", {"train": 0.6, "valid": 0.8, "test": 1.0})
+    stats = forecast.scaler_fit(parts.where(F.col("split") == "train"), _INPUTS)
+    scaled = forecast.scale(parts, stats, _INPUTS)
+    return forecast.sliding_windows(scaled, ["split"], "date", _INPUTS, "next_rise")
+
+
+def _dir_feature(c: str) -> str:
+    if c.startswith("ma_"):
+        n = int(c[3:])
+        frame = f"(PARTITION BY ticker ORDER BY date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        return f"CASE WHEN count(*) OVER {frame} = {n} THEN avg(close) OVER {frame} END AS {c}"
+    if c.startswith("bb_"):
+        frame = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"
+        k = {"low": -2, "mid": 0, "high": 2}[c[3:]]
+        return (f"CASE WHEN count(*) OVER {frame} = 20 THEN avg(ln(1 + close)) OVER {frame} "
+                f"+ {k} * stddev_pop(ln(1 + close)) OVER {frame} END AS {c}")
+    return {"rsi": "rsi", "volume_lag": "lag(volume) OVER (PARTITION BY ticker ORDER BY date) AS volume_lag"}[c]
+
+
+_DIRECTION = [
+    NUMBERED.replace("FROM bars", "FROM bars_type"), rsi_sql("numbered", "rsi"),
+    f"feats AS (SELECT ticker, date, {', '.join(_dir_feature(c) for c in features.DIRECTION)} FROM bars_type JOIN rsi USING (ticker, date))",
+    "wide AS (SELECT date, " + ", ".join(
+        f"max({c}) FILTER (WHERE ticker = '{t}') AS {t}_{c}" for t in TYPES for c in features.DIRECTION
+    ) + " FROM feats GROUP BY date)",
+    """own AS (SELECT date, lag(adj_close) OVER w AS index_lag,
+                CASE WHEN lead(adj_close) OVER w > adj_close THEN 1 ELSE 0 END AS next_rise FROM bench WINDOW w AS (ORDER BY date))""",
+    "whole AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS pos, count(*) OVER () AS n FROM wide JOIN own USING (date) WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in _INPUTS) + ")",
+    "parted AS (SELECT *, CASE WHEN pos < floor(0.6 * n) THEN 'train' WHEN pos < floor(0.8 * n) THEN 'valid' ELSE 'test' END AS split FROM whole)",
+    "fit AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _INPUTS) + " FROM parted WHERE split = 'train')",
+    "scaled AS (SELECT date, split, next_rise, " + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in _INPUTS) + " FROM parted, fit)",
+]
+
+
+@query("index_direction_dataset", sql(f"""
+SELECT split, date, {len(_INPUTS)} * 5 AS n_values, {r('total')} AS total, {r('first_index')} AS first_index,
+       {r('last_rsi')} AS last_rsi, next_rise AS label
+FROM (
+  SELECT split, date, next_rise, count(*) OVER w AS seen, sum({' + '.join(_INPUTS)}) OVER w AS total,
+         lag(index_lag, 5) OVER v AS first_index, lag(ECONOMY_rsi) OVER v AS last_rsi
+  FROM scaled WINDOW w AS (PARTITION BY split ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
+                     v AS (PARTITION BY split ORDER BY date))
+WHERE seen = 5""", "bars_type", "bench", extra=_DIRECTION))
+def index_direction_dataset(spark, root):
+    out = direction_windows(spark, root).withColumn("flat", F.flatten("x"))
+    return rounded(out.select(
+        "split", "date", F.size("flat").alias("n_values"),
+        F.aggregate("flat", F.lit(0.0), lambda a, v: a + v).alias("total"),
+        F.get("flat", F.lit(len(_INPUTS) - 1)).alias("first_index"),
+        F.get("flat", F.lit(4 * len(_INPUTS) + _INPUTS.index("ECONOMY_rsi"))).alias("last_rsi"),
+        "label",
+    ))
+
+
+@query("index_direction_backtest")
+def index_direction_backtest(spark, root):
+    """Classifier of the next move and its long/short returns on the last fifth of the dates."""
+    windows = forecast.flatten_windows(direction_windows(spark, root)).persist()
+    model = val.direction_baseline().fit(windows.where(F.col("split") == "train"))
+    scored = model.transform(windows.where(F.col("split") == "test"))
+    preds = scored.select("date", "label", scalar.positive_class().alias("pred"))
+    out = backtest.signal_backtest(preds.join(_index(spark, root), "date"), "pred", "close")
+    return rounded(out.select("date", "pred", "label", "market_return", "strategy_return", "market_cum", "strategy_cum"))
+
+
+@query("load_feature_table", sql(f"""
+SELECT k.ts, {r('k.y', 4)} AS y, CAST(hour(k.ts) AS INTEGER) AS hour, CAST(isodow(k.ts) - 1 AS INTEGER) AS dayofweek,
+       CAST(quarter(k.ts) AS INTEGER) AS quarter, CAST(month(k.ts) AS INTEGER) AS month, CAST(year(k.ts) AS INTEGER) AS year,
+       CAST(dayofyear(k.ts) AS INTEGER) AS dayofyear, {', '.join(f'{r(f"a{i}.y", 4)} AS lag{i}' for i in (1, 2, 3))},
+       CASE WHEN k.ts < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS split
+FROM kept k {' '.join(f"JOIN kept a{i} ON a{i}.ts = k.ts - INTERVAL {d} DAY" for i, d in ((1, 364), (2, 728), (3, 1092)))}""",
+    "load_daily", extra=["kept AS (SELECT * FROM load_daily WHERE y > 1e5)"]))
+def load_feature_table(spark, root):
+    out = forecast.time_split(models.load_table(spark, root), models.HOLDOUT)
+    return rounded(out.select("ts", "y", *scalar.CALENDAR, *models.YEAR_LAGS, "split"), 4)
+
+
+@query("hourly_feature_table", sql(f"""
+SELECT k.ts, {r('k.y', 4)} AS y, {', '.join(f'{r(f"a{i}.y", 4)} AS lag{i}' for i in (1, 2, 3))}
+FROM kept k {' '.join(f"JOIN kept a{i} ON a{i}.ts = k.ts - INTERVAL {7 * i} DAY" for i in (1, 2, 3))}""",
+    "load_hourly", extra=["kept AS (SELECT * FROM load_hourly WHERE y > 100)"]))
+def hourly_feature_table(spark, root):
+    out = features.load_features(src.load_hourly(spark, root), 100, {"lag1": 7, "lag2": 14, "lag3": 21})
+    return rounded(out.select("ts", "y", "lag1", "lag2", "lag3"), 4)
+
+
+@query("load_forecast_tuned")
+def load_forecast_tuned(spark, root):
+    """Folds, grid search, refit on all training rows; MAPE and the last 100 hold-out rows."""
+    train, test = models.fit_inputs(spark, root, models.NAMES)
+    folds = val.forward_folds(train, "ts", n_splits=5, test_size=100, gap=24)
+    learner = val.forest(trees=10)
+    _, best = val.grid_search(folds, learner, {"maxDepth": [3, 5]})
+    model = learner.copy({learner.getParam(k): v for k, v in best.items()}).fit(train)
+    scored = model.transform(test).select("ts", "y", "prediction")
+    error = scored.agg(metrics.mape("y", "prediction").alias("mape"))
+    return rounded(scored.withColumn("mape", error.scalar()).orderBy(F.col("ts").desc()).limit(100), 4)
+
+
+@query("load_forecast_simple")
+def load_forecast_simple(spark, root):
+    """Calendar features only; predictions joined back to the whole series with the hold-out RMSE."""
+    load = forecast.above(src.load_daily(spark, root), "y", 1e5)
+    rows = val.assemble(forecast.time_split(scalar.calendar_features(load), models.HOLDOUT), scalar.CALENDAR)
+    model = val.boosted_trees(trees=20, rate=0.1, depth=3).fit(rows.where(F.col("split") == "train"))
+    preds = model.transform(rows.where(F.col("split") == "test")).select("series_id", "ts", "y", "prediction")
+    error = preds.agg(metrics.rmse("y", "prediction").alias("rmse"))
+    joined = load.join(preds.drop("y"), ["series_id", "ts"], "left")
+    return rounded(joined.withColumn("rmse", error.scalar()).select("ts", "y", "prediction", "rmse"), 2)
+
+
+@query("load_window_forecast")
+def load_window_forecast(spark, root):
+    """Five scaled values to the next; the error is taken after undoing the scale."""
+    windows, stats = models.windowed_load(spark, root)
+    windows = windows.persist()
+    train, valid, test = (windows.where(F.col("split") == s) for s in models.CUTS)
+    candidates = [val.window_regressor(), val.boosted_trees("label", trees=5, rate=0.1, depth=2)]
+    model, _, _ = val.fit_best(train, valid, candidates, score=-metrics.mse("label", "prediction"))
+    scored = forecast.unscale(
+        model.transform(test).select("ts", "label", "prediction"), stats, {"label": "y", "prediction": "y"}
+    )
+    error = scored.agg(metrics.mape("label", "prediction").alias("mape"))
+    return rounded(scored.withColumn("mape", error.scalar()), 4)
+
+
+@query("stationarity_report")
+def stationarity_report(spark, root):
+    """Unit-root test, first ten (partial) autocorrelations and the best ARIMA order, as one long table."""
+    train = models.train_load(spark, root)
+    test = diagnostics.adf(train)
+    orders = diagnostics.order_search(train, [0, 1, 2, 5], [0, 1], [0, 1])
+    best = orders.groupBy("series_id").agg(F.min_by(F.struct("p", "d", "q", "aic"), "aic").alias("b"))
+    parts = [
+        test.select(F.explode(F.array(
+            F.struct(F.lit("adf_stat").alias("name"), F.lit(0).alias("lag"), F.col("stat").alias("value")),
+            F.struct(F.lit("adf_lags"), F.lit(0), F.col("lags").cast("double")),
+            F.struct(F.lit("adf_reject"), F.lit(0), F.col("reject_5pct").cast("double")),
+        ))).select("col.*"),
+        diagnostics.acf(train, 10).select(F.lit("acf").alias("name"), "lag", F.col("acf").alias("value")),
+        diagnostics.pacf(train, 10).select(F.lit("pacf").alias("name"), "lag", F.col("pacf").alias("value")),
+        best.select(F.explode(F.array(*[
+            F.struct(F.lit(f"best_{k}").alias("name"), F.lit(0).alias("lag"), F.col(f"b.{k}").cast("double").alias("value"))
+            for k in ("p", "d", "q", "aic")
+        ]))).select("col.*"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return rounded(out, 4)
+
+
+@query("model_selection_report")
+def model_selection_report(spark, root):
+    """How often each criterion keeps the three-column model against every larger one, and the mean criteria."""
+    nested = regression.nested_models(models.centred_replicates(spark, root), ["rep"], "y", models.XS, [3, 4, 5, 6])
+    share = regression.selection_frequency(nested, ["rep"], 3)
+    means = nested.groupBy(F.col("k").alias("m")).agg(
+        F.avg("adj_r2").alias("mean_adj_r2"), F.avg("aic").alias("mean_aic"), F.avg("bic").alias("mean_bic")
+    )
+    return rounded(share.join(means, "m"), 4)
+
+
+@query("intraday_mean_reversion")
+def intraday_mean_reversion(spark, root):
+    """Variance forecast, premium signal of the previous session, first agreeing tick, held to the close."""
+    ticks = models.ticks(spark, root)
+    returns = models.daily_returns_of(ticks).where(F.col("ret").isNotNull())
+    daily = intraday.garch_forecast(returns, 8)
+    realised = intraday.rolling_variance(daily, 4)
+    daily_signal = intraday.premium_signal(realised, n=4)
+    signals = intraday.intraday_signal(ticks, low=48, high=52)
+    trades = intraday.first_signal_of_day(intraday.attach_previous_signal(signals, daily_signal))
+    return rounded(trades.select("asset", "date", "entry_ts", "side", "entry_close", "exit_close", "trade_return"))
