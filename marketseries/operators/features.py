@@ -13,6 +13,7 @@ from marketseries.operators import panel
 from marketseries.operators.blocks import index_series
 from marketseries.operators.forecast import above, date_lags
 from marketseries.operators.regression import rolling_ols
+from marketseries.session import cut_lineage
 from marketseries.sources.readers import FACTORS
 
 TECHNICAL = ("garman_klass", "rsi", "bb_low", "bb_mid", "bb_high", "atr", "macd")
@@ -59,23 +60,27 @@ def monthly_panel(daily: DataFrame) -> DataFrame:
 def monthly_feature_panel(
     bars: DataFrame, universe: int = 150, months: int = 60, min_periods: int = 12, every: str = "month"
 ) -> DataFrame:
-    """Month-end features and horizon returns of the most liquid names (rank strictly below ``universe``)."""
-    monthly = monthly_panel(daily_indicators(bars, every))
-    liquid = panel.top_n(
-        panel.rolling_months(monthly, "dollar_volume", months, min_periods), ["month_end"], "dollar_volume", universe
-    ).drop("dollar_volume", "rank")
-    return ind.horizon_returns(liquid, horizons=HORIZONS).na.drop()
+    """Month-end features and horizon returns of the most liquid names (rank strictly below ``universe``).
+
+    The monthly table and its liquid part are read several times further down;
+    each is written once, so the daily rows are processed only once.
+    """
+    monthly = cut_lineage(monthly_panel(daily_indicators(bars, every)), "monthly")
+    rolled = cut_lineage(panel.rolling_months(monthly, "dollar_volume", months, min_periods), "rolled")
+    liquid = panel.top_n(rolled, ["month_end"], "dollar_volume", universe).drop("dollar_volume", "rank")
+    return ind.horizon_returns(cut_lineage(liquid, "liquid"), horizons=HORIZONS).na.drop()
 
 
 def with_factor_betas(panel_df: DataFrame, factors: DataFrame, window: int = 24, min_months: int = 10) -> DataFrame:
     """Add last month's rolling factor loadings; gaps get the ticker's own mean, remaining gaps drop the row."""
+    panel_df = cut_lineage(panel_df, "panel")
     returns = panel_df.select("ticker", "month_end", "returns_1m")
     joined = panel.keep_min_obs(returns.join(factors, "month_end"), "ticker", min_months)
     names = [f"beta_{f}" for f in FACTORS]
     betas = rolling_ols(joined, "returns_1m", FACTORS, window).select("ticker", "month_end", *names)
     w = Window.partitionBy("ticker").orderBy("month_end")  # one row per month
     lagged = betas.withColumns({n: F.lag(n, 1).over(w) for n in names})
-    out = panel_df.join(lagged, ["ticker", "month_end"], "left")
+    out = cut_lineage(panel_df.join(lagged, ["ticker", "month_end"], "left"), "betas")
     return panel.fill_group_mean(out, ["ticker"], names).drop("adj_close").na.drop()
 
 

@@ -74,18 +74,20 @@ def scaler_fit(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     return train.agg(*aggs)
 
 
-def _stat(stats: DataFrame, name: str) -> Column:
-    return stats.select(name).scalar()
+def _with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """The fitted row enters as one subquery: no join, nothing to broadcast but that row."""
+    return df.withColumn("_stats", stats.select(F.struct(*stats.columns).alias("s")).scalar())
 
 
 def scale(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The statistics enter as one-row subqueries: no join, nothing to broadcast but a number."""
-    return df.withColumns({c: (F.col(c) - _stat(stats, f"mean_{c}")) / _stat(stats, f"sd_{c}") for c in cols})
+    fitted = {c: (F.col(c) - F.col(f"_stats.mean_{c}")) / F.col(f"_stats.sd_{c}") for c in cols}
+    return _with_stats(df, stats).withColumns(fitted).drop("_stats")
 
 
 def unscale(df: DataFrame, stats: DataFrame, cols: dict[str, str]) -> DataFrame:
     """``cols`` maps a scaled column to the column whose statistics it was scaled with."""
-    return df.withColumns({c: F.col(c) * _stat(stats, f"sd_{o}") + _stat(stats, f"mean_{o}") for c, o in cols.items()})
+    undone = {c: F.col(c) * F.col(f"_stats.sd_{o}") + F.col(f"_stats.mean_{o}") for c, o in cols.items()}
+    return _with_stats(df, stats).withColumns(undone).drop("_stats")
 
 
 def sliding_windows(

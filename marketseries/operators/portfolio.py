@@ -84,27 +84,41 @@ def lookback_covariance(returns: DataFrame) -> DataFrame:
     )
 
 
-def project_capped(v: np.ndarray, low: float, high: float) -> np.ndarray:
-    """Row by row the nearest point with entries in [low, high] that sums to one, by bisection on the shift."""
-    a, b = v.min(axis=1, keepdims=True) - high, v.max(axis=1, keepdims=True) - low
-    for _ in range(50):
-        mid = (a + b) / 2
-        over = np.clip(v - mid, low, high).sum(axis=1, keepdims=True) > 1
-        a, b = np.where(over, mid, a), np.where(over, b, mid)
-    return np.clip(v - (a + b) / 2, low, high)
+def project_capped(v: np.ndarray, low: float, high: float, guess: np.ndarray | None = None):
+    """Row by row the nearest point with entries in [low, high] that sums to one, and its shift.
+
+    Newton steps on the common shift, held inside a shrinking bracket; ``guess``
+    is the shift of a nearby problem.
+    """
+    top = v.max(axis=1, keepdims=True)
+    v = v - top
+    a, b = v.min(axis=1, keepdims=True) - high, np.full_like(top, -low)
+    tolerance = 1e-13 * max(1.0, np.abs(v).max())
+    shift = (v.sum(axis=1, keepdims=True) - 1) / v.shape[1] if guess is None else np.clip(guess - top, a, b)
+    for _ in range(60):
+        w = np.minimum(np.maximum(v - shift, low), high)
+        over = w.sum(axis=1, keepdims=True) - 1
+        if np.abs(over).max() < tolerance:
+            break
+        a, b = np.where(over > 0, shift, a), np.where(over > 0, b, shift)
+        free = ((w > low) & (w < high)).sum(axis=1, keepdims=True)
+        newton = shift + over / np.maximum(free, 1)
+        inside = (free > 0) & (newton > a) & (newton < b)
+        shift = np.where(inside, newton, (a + b) / 2)
+    return w, shift + top
 
 
-def _frontier(cov, excess, trades, low, high, start, steps=400):
+def _frontier(cov, excess, trades, low, high, start, steps=250):
     """Bounded mean-variance weights for each trade-off, by accelerated projected gradient."""
     step = 1.0 / np.linalg.norm(cov, 2)
     pull = np.outer(trades, excess)
     w = z = np.repeat(start[None, :], len(trades), axis=0)
-    t = 1.0
+    t, shift = 1.0, None
     for _ in range(steps):
-        moved = project_capped(z - step * (z @ cov - pull), low, high)
+        moved, shift = project_capped(z - step * (z @ cov - pull), low, high, shift)
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         z = moved + (t - 1) / t_next * (moved - w)
-        done = np.abs(moved - w).max() < 1e-10
+        done = np.abs(moved - w).max() < 1e-9
         w, t = moved, t_next
         if done:
             break
@@ -126,13 +140,13 @@ def max_sharpe(mu: np.ndarray, cov: np.ndarray, low: float, high: float, risk_fr
     centre = np.log10(np.trace(cov) / n / np.abs(excess).max())
     reach = 3.0
     for _ in range(4):
-        trades = np.linspace(centre - reach, centre + reach, 17)
+        trades = np.linspace(centre - reach, centre + reach, 13)
         w = _frontier(cov, excess, 10.0**trades, low, high, best)
         ratios = (w @ excess) / np.sqrt(np.einsum("ki,ij,kj->k", w, cov, w))
         at = int(np.argmax(ratios))
         if ratios[at] > peak:
             best, peak = w[at], ratios[at]
-        centre, reach = trades[at], reach / 8
+        centre, reach = trades[at], reach / 6
     return best if peak > 0 else None
 
 
@@ -153,6 +167,9 @@ def max_sharpe_weights(
     """
     given = holdings.select("rebalance_date", "ticker").distinct()
     rows = given.join(returns.select("rebalance_date", "ticker", "date", "ret"), ["rebalance_date", "ticker"], "left")
+    # little data but long solves: keep the partitions apart, so that dates are solved side by side
+    width = int(holdings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(width, "rebalance_date")
 
     def per_date(pdf: pd.DataFrame) -> pd.DataFrame:
         names = sorted(pdf["ticker"].unique())

@@ -12,6 +12,7 @@ from marketseries.operators.blocks import index_series
 from marketseries.plans.basics import HOLDINGS, daily_log_returns, engagement_holdings
 from marketseries.plans.registry import query, r, r_col, rounded, sql
 from marketseries.plans.series import rsi_sql
+from marketseries.session import cut_lineage
 from marketseries.sources import stand_ins as src
 
 YEAR_LAGS = {"lag1": 364, "lag2": 728, "lag3": 1092}
@@ -26,7 +27,8 @@ def load_table(spark, root):
 
 def fit_inputs(spark, root, names):
     """Training and hold-out rows of the daily load with an assembled vector."""
-    rows = val.assemble(forecast.time_split(load_table(spark, root), HOLDOUT), names)
+    # every round of a learner reads these rows again
+    rows = cut_lineage(val.assemble(forecast.time_split(load_table(spark, root), HOLDOUT), names), "features")
     return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
 
 
@@ -68,7 +70,7 @@ def windowed_load(spark, root, size=5):
     rows = forecast.time_split(src.load_daily(spark, root), CUTS)
     stats = forecast.scaler_fit(rows.where(F.col("split") == "train"), ["y"])
     windows = forecast.sliding_windows(forecast.scale(rows, stats, ["y"]), ["series_id", "split"], "ts", ["y"], "y", size)
-    return forecast.flatten_windows(windows), stats
+    return cut_lineage(forecast.flatten_windows(windows).drop("x"), "windows"), stats
 
 
 @query("sink_model")
@@ -99,6 +101,7 @@ def window_classifier(spark, root):
     windows = forecast.flatten_windows(
         forecast.sliding_windows(forecast.scale(parts, stats, ["y"]), ["series_id", "split"], "ts", ["y"], "next_rise")
     )
+    windows = cut_lineage(windows.drop("x"), "windows")
     model = val.window_classifier(5, hidden=(16, 16), max_iter=30).fit(windows.where(F.col("split") == "train"))
     scored = model.transform(windows.where(F.col("split") == "test"))
     return scored.select("ts", "label", scalar.positive_class().alias("pred"))

@@ -10,6 +10,7 @@ from marketseries.operators import indicators as ind
 from marketseries.operators import regression
 from marketseries.operators import validation as val
 from marketseries.operators.blocks import index_series
+from marketseries.session import cut_lineage
 from marketseries.plans import models
 from marketseries.plans.basics import HELD, HOLDINGS, TYPES, daily_log_returns, engagement_holdings
 from marketseries.plans.registry import query, r, rounded, sql
@@ -43,11 +44,12 @@ def engagement_rotation(spark, root):
 
 
 UNIVERSE = 16
+TARGETS = (47, 49, 51, 53)  # the stand-in prices hardly trend, so their oscillator stays near 50
 _DAILY = "bars b JOIN rsi USING (ticker, date) JOIN atr USING (ticker, date) JOIN macd USING (ticker, date)"
 _LAST = ("garman_klass", "rsi", "bb_low", "bb_mid", "bb_high", "atr", "macd")
 _PANEL = [
     NUMBERED, rsi_sql("numbered", "rsi"), atr_sql("numbered", "atr"), macd_sql("numbered", "macd"),
-    f"daily AS (SELECT b.*, rsi, atr, macd, {GARMAN_SQL} AS garman_klass, {bands_sql('bars', 0, 'bb')} FROM {_DAILY})",
+    f"daily AS (SELECT b.*, rsi, atr, macd, {GARMAN_SQL} AS garman_klass, {bands_sql('bars', 0, 'bb', None)} FROM {_DAILY})",
     f"""agg AS (
   SELECT ticker, last_day(date) AS month_end, avg(adj_close * volume / 1e6) AS dollar_volume, arg_max(adj_close, date) AS adj_close,
          {', '.join(f'arg_max({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in _LAST)}
@@ -82,10 +84,10 @@ def momentum_cluster_backtest(spark, root):
         features.monthly_feature_panel(bars, UNIVERSE), src.factors(spark, root)
     )
     names = features.CLUSTER_FEATURES
-    labelled = clusters.kmeans_grouped(table, ["month_end"], names, "ticker", start=features.momentum_seeds())
-    held = backtest.hold_next_month(labelled.where(F.col("cluster") == 3))
+    labelled = clusters.kmeans_grouped(table, ["month_end"], names, "ticker", start=features.momentum_seeds(targets=TARGETS))
+    held = cut_lineage(backtest.hold_next_month(labelled.where(F.col("cluster") == 3)), "holdings")
     looked = portfolio.lookback_returns(portfolio.lookback_prices(held, bars))
-    weights = portfolio.max_sharpe_weights(held, looked, upper=0.4)
+    weights = cut_lineage(portfolio.max_sharpe_weights(held, looked, upper=0.4), "weights")
     daily = backtest.weighted_returns(weights, daily_log_returns(spark, root))
     out = backtest.compare_benchmark(daily, benchmark_returns(spark, root))
     return rounded(out.select("date", "portfolio_return", "benchmark_return", "strategy_cum", "benchmark_cum"))
@@ -102,6 +104,7 @@ _INPUTS = [*_FEATURE_NAMES, "index_lag"]
 def direction_windows(spark, root):
     """Scaled five-row windows of all tickers' features, 60/20/20 by time."""
     table = features.direction_features(src.bars_by_type(spark, root), _index(spark, root), TYPES)
+    table = cut_lineage(table, "direction")  # read for the split, the scaler and the windows
     parts = forecast.fraction_split(table, [], "date", {"train": 0.6, "valid": 0.8, "test": 1.0})
     stats = forecast.scaler_fit(parts.where(F.col("split") == "train"), _INPUTS)
     scaled = forecast.scale(parts, stats, _INPUTS)
@@ -160,10 +163,10 @@ def index_direction_dataset(spark, root):
 @query("index_direction_backtest")
 def index_direction_backtest(spark, root):
     """Classifier of the next move and its long/short returns on the last fifth of the dates."""
-    windows = forecast.flatten_windows(direction_windows(spark, root)).persist()
+    windows = cut_lineage(forecast.flatten_windows(direction_windows(spark, root)).drop("x"), "windows")
     model = val.direction_baseline().fit(windows.where(F.col("split") == "train"))
     scored = model.transform(windows.where(F.col("split") == "test"))
-    preds = scored.select("date", "label", scalar.positive_class().alias("pred"))
+    preds = cut_lineage(scored.select("date", "label", scalar.positive_class().alias("pred")), "predictions")
     out = backtest.signal_backtest(preds.join(_index(spark, root), "date"), "pred", "close")
     return rounded(out.select("date", "pred", "label", "market_return", "strategy_return", "market_cum", "strategy_cum"))
 
@@ -218,7 +221,6 @@ def load_forecast_simple(spark, root):
 def load_window_forecast(spark, root):
     """Five scaled values to the next; the error is taken after undoing the scale."""
     windows, stats = models.windowed_load(spark, root)
-    windows = windows.persist()
     train, valid, test = (windows.where(F.col("split") == s) for s in models.CUTS)
     candidates = [val.window_regressor(), val.boosted_trees("label", trees=5, rate=0.1, depth=2)]
     model, _, _ = val.fit_best(train, valid, candidates, score=-metrics.mse("label", "prediction"))
@@ -239,8 +241,8 @@ def stationarity_report(spark, root):
     parts = [
         test.select(F.explode(F.array(
             F.struct(F.lit("adf_stat").alias("name"), F.lit(0).alias("lag"), F.col("stat").alias("value")),
-            F.struct(F.lit("adf_lags"), F.lit(0), F.col("lags").cast("double")),
-            F.struct(F.lit("adf_reject"), F.lit(0), F.col("reject_5pct").cast("double")),
+            F.struct(F.lit("adf_lags").alias("name"), F.lit(0).alias("lag"), F.col("lags").cast("double").alias("value")),
+            F.struct(F.lit("adf_reject").alias("name"), F.lit(0).alias("lag"), F.col("reject_5pct").cast("double").alias("value")),
         ))).select("col.*"),
         diagnostics.acf(train, 10).select(F.lit("acf").alias("name"), "lag", F.col("acf").alias("value")),
         diagnostics.pacf(train, 10).select(F.lit("pacf").alias("name"), "lag", F.col("pacf").alias("value")),

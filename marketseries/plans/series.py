@@ -177,13 +177,11 @@ def rsi(spark, root):
     return rounded(indicate(spark, root, ind.rsi()).select("ticker", "date", "rsi"))
 
 
-def bands_sql(source: str, lag: int, prefix: str) -> str:
+def bands_sql(source: str, lag: int, prefix: str, digits: int | None = 6) -> str:
     frame = f"(PARTITION BY ticker ORDER BY date ROWS BETWEEN {19 + lag} PRECEDING AND {f'{lag} PRECEDING' if lag else 'CURRENT ROW'})"
     mid, sd, n = f"avg(ln(1 + close)) OVER {frame}", f"stddev_pop(ln(1 + close)) OVER {frame}", f"count(close) OVER {frame}"
-    return ", ".join(
-        f"{r(f'CASE WHEN {n} = 20 THEN {mid} + {k} * {sd} END')} AS {prefix}_{name}"
-        for name, k in (("low", -2), ("mid", 0), ("high", 2))
-    )
+    bands = {name: f"CASE WHEN {n} = 20 THEN {mid} + {k} * {sd} END" for name, k in (("low", -2), ("mid", 0), ("high", 2))}
+    return ", ".join(f"{b if digits is None else r(b, digits)} AS {prefix}_{name}" for name, b in bands.items())
 
 
 @query("bollinger", sql(f"""
