@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketseries.functions.scalar import month_start, next_month_start
 from marketseries.operators.blocks import index_series, running_sum
 from marketseries.operators.indicators import apply_indicators, led
+from marketseries.session import cut_lineage
 
 
 def hold_next_month(signals: DataFrame, key: str = "ticker", month: str = "month_end") -> DataFrame:
@@ -48,8 +49,12 @@ def compounded(df: DataFrame, cols: dict[str, str], date: str = "date", every: s
 
 
 def compare_benchmark(portfolio: DataFrame, benchmark: DataFrame, date: str = "date") -> DataFrame:
-    """Compounded strategy and benchmark over their common dates."""
-    both = portfolio.join(benchmark, date)
+    """Compounded strategy and benchmark over their common dates.
+
+    The joined series has one row per date and is read twice by the running sum;
+    it is written first, so the strategy behind it runs once.
+    """
+    both = cut_lineage(portfolio.join(benchmark, date), "strategy")
     return compounded(both, {"strategy_cum": "portfolio_return", "benchmark_cum": "benchmark_return"}, date)
 
 

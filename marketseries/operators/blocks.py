@@ -57,6 +57,19 @@ def index_series(
     )
 
 
+def ensure_index(
+    df: DataFrame, keys: Sequence[str], ts: str, every: str = "month", tiebreak: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Index a frame unless it already is, and the columns to drop again afterwards.
+
+    Chained operators then number the rows once. Rows must not be filtered
+    between indexing and the last operator that uses the positions.
+    """
+    if "pos" in df.columns and "n_obs" in df.columns:
+        return df, []
+    return index_series(df, keys, ts, every, tiebreak), ["pos", "n_obs"]
+
+
 @dataclass(frozen=True)
 class BlockContext:
     """What a stage may use: the window over one block and smoothed sums."""
@@ -135,6 +148,22 @@ def running_sum(
     )
 
 
+def join_group_stats(
+    df: DataFrame, stats: DataFrame, by: Sequence[str], how: str = "inner", salts: int = 32
+) -> DataFrame:
+    """Join a few values per group back to the rows of the group.
+
+    ``stats`` holds one short row per group. It is copied to ``salts`` sub-groups
+    over which the rows are spread by their hash, so a group with a third of all
+    rows is worked on by many tasks. Where the copies turn out small, Spark
+    broadcasts them instead.
+    """
+    by = list(by)
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int"))
+    return spread.join(copies, [*by, "_salt"], how).drop("_salt")
+
+
 def _value_counts(df: DataFrame, by: Sequence[str], col: str, halvings: int) -> DataFrame:
     """Distinct values per group with their counts and the count of rows below each.
 
@@ -145,7 +174,7 @@ def _value_counts(df: DataFrame, by: Sequence[str], col: str, halvings: int) ->
     counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
     points = [i / 2**halvings for i in range(1, 2**halvings)]
     cuts = counts.groupBy(*by).agg(F.percentile_approx(col, points, 10 * 2**halvings).alias("_cuts"))
-    ranged = counts.join(cuts, by) if by else counts.withColumn("_cuts", cuts.select("_cuts").scalar())
+    ranged = join_group_stats(counts, cuts, by) if by else counts.withColumn("_cuts", cuts.select("_cuts").scalar())
     # number of cut points below the value, by halving the sorted list
     steps = F.array(*[F.lit(2**h) for h in reversed(range(halvings))])
     below = F.aggregate(
@@ -177,7 +206,7 @@ def average_rank(
     values = _value_counts(df, by, col, halvings)
     smaller = F.col("_total") - F.col("_below") - F.col("_n") if descending else F.col("_below")
     ranks = values.select(*by, col, (smaller + (F.col("_n") + 1) / 2.0).alias(name))
-    return df.join(ranks, [*by, col], "left")
+    return join_group_stats(df, ranks, [*by, col], "left")
 
 
 def exact_quantiles(
@@ -214,4 +243,4 @@ def top_n(df: DataFrame, by: Sequence[str], col: str, n: int, name: str = "rank"
     leading = counts.withColumn("_place", F.row_number().over(order)).where(F.col("_place") < n)
     upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ranks = leading.select(*by, col, (upto - F.col("_n") + (F.col("_n") + 1) / 2.0).alias(name))
-    return df.join(ranks.where(F.col(name) < n), [*by, col])
+    return join_group_stats(df, ranks.where(F.col(name) < n), [*by, col])

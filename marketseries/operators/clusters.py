@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketseries.operators.blocks import join_group_stats
 from marketseries.session import cut_lineage
 
 
@@ -22,7 +23,7 @@ def _square(a: Column) -> Column:
 def assign(points: DataFrame, centroids: DataFrame, by: Sequence[str], label: str = "cluster") -> DataFrame:
     """Nearest centroid of the row's own group; ties go to the lowest label."""
     d = F.transform("centroids", lambda c: _distance(c, F.col("x")))
-    joined = points.join(centroids, list(by)).withColumn("_d", d)
+    joined = join_group_stats(points, centroids, by).withColumn("_d", d)
     nearest = F.array_position("_d", F.array_min("_d")) - 1
     return joined.withColumn(label, nearest.cast("int")).drop("_d", "centroids")
 
@@ -101,4 +102,4 @@ def kmeans_grouped(
 def cost(points: DataFrame, centroids: DataFrame, by: Sequence[str]) -> DataFrame:
     """Sum of squared distances to the nearest centroid, per group."""
     nearest = F.array_min(F.transform("centroids", lambda c: _distance(c, F.col("x"))))
-    return points.join(centroids, list(by)).groupBy(*by).agg(F.sum(nearest).alias("cost"))
+    return join_group_stats(points, centroids, by).groupBy(*by).agg(F.sum(nearest).alias("cost"))

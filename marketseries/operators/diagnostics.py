@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketseries.operators.blocks import index_series, over_blocks
+from marketseries.operators.blocks import index_series, join_group_stats, over_blocks
 from marketseries.operators.regression import gram, ols_from_gram, solve_symmetric
 from marketseries.session import cut_lineage
 
@@ -33,7 +33,7 @@ def _lags(rows: DataFrame, keys: Sequence[str], lags: dict[str, Sequence[int]])
 
 def _deviations(df: DataFrame, keys: Sequence[str], y: str, scaled: bool = False) -> DataFrame:
     stats = df.groupBy(*keys).agg(F.avg(y).alias("_mean"), F.stddev_pop(y).alias("_sd"))
-    joined = df.join(stats, list(keys))
+    joined = join_group_stats(df, stats, keys)
     gap = F.col(y) - F.col("_mean")
     return joined.withColumn("_z", F.try_divide(gap, F.col("_sd")) if scaled else gap).drop("_mean", "_sd")
 
@@ -172,10 +172,10 @@ def _with_innovations(df, keys, ts, y, d, order, every) -> DataFrame:
             out.append(None if fit is None else fit[0].tolist())
         return pd.Series(out, dtype=object)
 
-    # one row per series, written: its true size decides how the join is done
+    # one row per series, written so that the long regression runs only once
     coef = cut_lineage(gram(lagged, keys, [*xs, "w"]).select(*keys, solve("gram").alias("_ar")), "long-ar")
     fitted = sum((F.get("_ar", F.lit(i)) * F.col(x) for i, x in enumerate(xs)), F.lit(0.0))
-    return lagged.join(coef, list(keys), "left").withColumn("e", F.col("w") - fitted).drop("_ar")
+    return join_group_stats(lagged, coef, keys, "left").withColumn("e", F.col("w") - fitted).drop("_ar")
 
 
 def arima_fit(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketseries.functions import scalar
 from marketseries.operators import indicators as ind
 from marketseries.operators import panel
-from marketseries.operators.blocks import index_series
+from marketseries.operators.blocks import index_series, join_group_stats
 from marketseries.operators.forecast import above, date_lags
 from marketseries.operators.regression import rolling_ols
 from marketseries.session import cut_lineage
@@ -75,7 +75,7 @@ def with_factor_betas(panel_df: DataFrame, factors: DataFrame, window: int = 24,
     """Add last month's rolling factor loadings; gaps get the ticker's own mean, remaining gaps drop the row."""
     panel_df = cut_lineage(panel_df, "panel")
     returns = panel_df.select("ticker", "month_end", "returns_1m")
-    joined = panel.keep_min_obs(returns.join(factors, "month_end"), "ticker", min_months)
+    joined = panel.keep_min_obs(join_group_stats(returns, factors, ["month_end"]), "ticker", min_months)
     names = [f"beta_{f}" for f in FACTORS]
     betas = rolling_ols(joined, "returns_1m", FACTORS, window).select("ticker", "month_end", *names)
     w = Window.partitionBy("ticker").orderBy("month_end")  # one row per month

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketseries.functions.scalar import clip
-from marketseries.operators.blocks import BlockContext, ewm_reach, exact_quantiles, index_series, over_blocks
+from marketseries.operators.blocks import (
+    BlockContext, ewm_reach, exact_quantiles, index_series, join_group_stats, over_blocks,
+)
 
 Stage = Callable[[BlockContext], dict[str, Column]]
 
@@ -196,7 +198,7 @@ def horizon_returns(
             for n in names.values() for side in ("_low", "_high")
         ]
     )
-    out = raw.join(wide, key, "left")
+    out = join_group_stats(raw, wide, [key], "left")
     return out.withColumns(
         {
             n: F.pow(clip(F.col(n), F.col(f"_low_{n}"), F.col(f"_high_{n}")) + 1.0, F.lit(1.0 / k)) - 1.0

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketseries.operators.blocks import index_series
+from marketseries.operators.blocks import ensure_index, index_series
 from marketseries.operators.indicators import Indicator, apply_indicators, bollinger, full_window, rsi
 
 ALPHAS = (0.02, 0.05, 0.10, 0.15, 0.20)
@@ -53,8 +53,11 @@ def garch_window(r: np.ndarray, alphas: Sequence[float] = ALPHAS, betas: Sequenc
 
 
 def garch_forecast(returns: DataFrame, window: int = 180, key: str = "asset", date: str = "date", ret: str = "ret", every: str = "month") -> DataFrame:
-    """One-day-ahead variance from the last ``window`` returns of each row, itself included."""
-    rows = index_series(returns.where(F.col(ret).isNotNull()), [key], date, every)
+    """One-day-ahead variance from the last ``window`` returns of each row, itself included.
+
+    Rows without that many returns are left out.
+    """
+    rows, added = ensure_index(returns, [key], date, every)
 
     def stage(ctx):
         return {"_r": F.collect_list(ret).over(ctx.w.rowsBetween(-(window - 1), 0))}
@@ -69,14 +72,15 @@ def garch_forecast(returns: DataFrame, window: int = 180, key: str = "asset", da
     framed = apply_indicators(rows, [Indicator((stage,), back=window - 1)], [key]).where(F.size("_r") == window)
     return framed.withColumn("_g", fit("_r")).select(
         *returns.columns, F.col("_g.alpha").alias("alpha"), F.col("_g.beta").alias("beta"), F.col("_g.variance").alias("variance")
-    )
+    ).drop(*added)
 
 
 def premium_signal(
     df: DataFrame, forecast: str = "variance", realised: str = "realised", n: int = 180, key: str = "asset", date: str = "date", every: str = "month"
 ) -> DataFrame:
     """Forecast premium over realised variance, and -1/0/1 beyond its own rolling deviation."""
-    rows = index_series(df, [key], date, every).withColumn(
+    rows, added = ensure_index(df, [key], date, every)
+    rows = rows.withColumn(
         "premium", F.try_divide(F.col(forecast) - F.col(realised), F.col(realised))
     )
 
@@ -84,7 +88,7 @@ def premium_signal(
         frame = ctx.w.rowsBetween(-(n - 1), 0)
         return {"premium_sd": full_window(F.stddev_samp("premium").over(frame), F.count("premium").over(frame), n)}
 
-    out = apply_indicators(rows, [Indicator((stage,), back=n - 1)], [key]).drop("pos", "n_obs")
+    out = apply_indicators(rows, [Indicator((stage,), back=n - 1)], [key]).drop(*added)
     signal = (
         F.when(F.col("premium") > F.col("premium_sd"), 1).when(F.col("premium") < -F.col("premium_sd"), -1)
         .when(F.col("premium_sd").isNotNull(), 0)
@@ -93,20 +97,22 @@ def premium_signal(
 
 
 def rolling_variance(df: DataFrame, n: int, key: str = "asset", date: str = "date", ret: str = "ret", every: str = "month") -> DataFrame:
-    rows = index_series(df, [key], date, every)
+    rows, added = ensure_index(df, [key], date, every)
 
     def stage(ctx):
         frame = ctx.w.rowsBetween(-(n - 1), 0)
         return {"realised": full_window(F.var_samp(ret).over(frame), F.count(ret).over(frame), n)}
 
-    return apply_indicators(rows, [Indicator((stage,), back=n - 1)], [key]).drop("pos", "n_obs")
+    return apply_indicators(rows, [Indicator((stage,), back=n - 1)], [key]).drop(*added)
 
 
-def attach_previous_signal(ticks: DataFrame, daily: DataFrame, signal: str = "signal_daily") -> DataFrame:
-    """Each tick gets the signal of the session before its own."""
-    rows = index_series(daily, ["asset"], "date")
+def attach_previous_signal(
+    ticks: DataFrame, daily: DataFrame, signal: str = "signal_daily", ret: str = "ret"
+) -> DataFrame:
+    """Each tick gets the signal of the session before its own; sessions without a return are left out."""
+    rows, _ = ensure_index(daily, ["asset"], "date")
     shifted = apply_indicators(rows, [Indicator((lambda ctx: {"_s": F.lag(signal, 1).over(ctx.w)},), back=1)], ["asset"])
-    usable = shifted.select("asset", "date", F.col("_s").alias(signal))
+    usable = shifted.where(F.col(ret).isNotNull()).select("asset", "date", F.col("_s").alias(signal))
     return ticks.withColumn("date", F.to_date("ts")).join(usable, ["asset", "date"])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketseries.operators.blocks import average_rank, top_n
+from marketseries.operators.blocks import average_rank, join_group_stats, top_n
 
 __all__ = [
     "average_rank", "drop_incomplete_dates", "fill_group_mean", "group_moments", "group_zscore", "holdings_list",
@@ -56,7 +56,7 @@ def group_moments(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> Data
 
 def group_zscore(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """(x - mean) / sample deviation over the whole history of the group."""
-    joined = df.join(group_moments(df, by, cols), list(by))
+    joined = join_group_stats(df, group_moments(df, by, cols), by)
     return joined.withColumns(
         {c: F.try_divide(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_sd_{c}")) for c in cols}
     ).drop(*[f"_{p}_{c}" for c in cols for p in ("mean", "sd")])
@@ -65,7 +65,7 @@ def group_zscore(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataF
 def fill_group_mean(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
     return (
-        df.join(means, list(by))
+        join_group_stats(df, means, by)
         .withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in cols})
         .drop(*[f"_mean_{c}" for c in cols])
     )
@@ -73,7 +73,7 @@ def fill_group_mean(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> Da
 
 def keep_min_obs(df: DataFrame, key: str, n: int) -> DataFrame:
     valid = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n).select(key)
-    return df.join(valid, key, "left_semi")
+    return join_group_stats(df, valid, [key], "left_semi")
 
 
 def drop_incomplete_dates(df: DataFrame, value: str, key: str = "ticker", date: str = "date") -> DataFrame:

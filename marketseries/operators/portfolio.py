@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketseries.operators.blocks import join_group_stats
+
 TRADING_DAYS = 252
 MAX_NAMES = 2000
 
@@ -196,6 +198,6 @@ def max_sharpe_weights(
 
 def equal_weights(holdings: DataFrame) -> DataFrame:
     size = holdings.groupBy("rebalance_date").agg(F.count(F.lit(1)).alias("_n"))
-    return holdings.join(size, "rebalance_date").select(
+    return join_group_stats(holdings, size, ["rebalance_date"]).select(
         "rebalance_date", "ticker", (F.lit(1.0) / F.col("_n")).alias("weight")
     )

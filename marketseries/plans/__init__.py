@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from marketseries.plans import basics, models, pipelines, series  # noqa: F401
+    from marketseries.plans import basics, models, series, strategies  # noqa: F401
 
 
 def all_queries() -> dict:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from marketseries.functions import metrics, scalar
 from marketseries.operators import backtest, forecast, panel, portfolio
 from marketseries.operators.blocks import index_series
-from marketseries.operators.indicators import apply_indicators, lagged, log_return, moving_average, next_rise
+from marketseries.operators.indicators import apply_indicators, lagged, log_return, next_rise
 from marketseries.plans.registry import query, r, r_col, rounded, sql
-from marketseries.session import scratch_path
+from marketseries.session import cut_lineage, scratch_path
 from marketseries.sources import readers
 from marketseries.sources import stand_ins as src
 
@@ -321,18 +321,24 @@ def lookup_exact_lag(spark, root):
     return rounded(lags.select("ts", "y", "lag1", "lag2", "lag3"), 4)
 
 
+def monthly_engagement(spark, root):
+    """Mean ratio per month and symbol; written, as ranking reads this small table twice."""
+    rows = engaged(src.sentiment(spark, root)).withColumn("engagement", scalar.ratio(F.col("comments"), F.col("likes")))
+    return cut_lineage(panel.monthly_mean(rows, ["symbol"], ["engagement"]), "engagement")
+
+
 def engagement_holdings(spark, root, n=6):
-    agg = panel.monthly_mean(
-        engaged(src.sentiment(spark, root)).withColumn("engagement", scalar.ratio(F.col("comments"), F.col("likes"))),
-        ["symbol"], ["engagement"],
-    )
-    best = panel.top_n(agg, ["month_end"], "engagement", n)
+    best = panel.top_n(monthly_engagement(spark, root), ["month_end"], "engagement", n)
     return backtest.hold_next_month(best, key="symbol").withColumnRenamed("symbol", "ticker")
 
 
-def daily_log_returns(spark, root):
+def indexed_log_returns(spark, root):
     rows = index_series(src.bars(spark, root).select("ticker", "date", "adj_close"), ["ticker"], "date")
-    return apply_indicators(rows, [log_return()]).drop("pos", "n_obs")
+    return apply_indicators(rows, [log_return()])
+
+
+def daily_log_returns(spark, root):
+    return indexed_log_returns(spark, root).drop("pos", "n_obs")
 
 
 HOLDINGS = """engagement AS (

@@ -9,8 +9,8 @@ from marketseries.operators import clusters, diagnostics, features, forecast, in
 from marketseries.operators import indicators as ind
 from marketseries.operators import validation as val
 from marketseries.operators.blocks import index_series
-from marketseries.plans.basics import HOLDINGS, daily_log_returns, engagement_holdings
-from marketseries.plans.registry import query, r, r_col, rounded, sql
+from marketseries.plans.basics import HOLDINGS, engagement_holdings, indexed_log_returns
+from marketseries.plans.registry import query, r, rounded, sql
 from marketseries.plans.series import rsi_sql
 from marketseries.session import cut_lineage
 from marketseries.sources import stand_ins as src
@@ -337,7 +337,7 @@ def ticks(spark, root):
 
 def daily_returns_of(ticks_df):
     rows = index_series(intraday.daily_close(ticks_df), ["asset"], "date")
-    return ind.apply_indicators(rows, [ind.log_return("close")], ["asset"]).drop("pos", "n_obs")
+    return ind.apply_indicators(rows, [ind.log_return("close")], ["asset"])
 
 
 @query("five_minute_bars", sql("SELECT asset, ts, open, high, low, close FROM ticks", "ticks"))
@@ -347,15 +347,13 @@ def five_minute_bars(spark, root):
 
 @query("garch_rolling")
 def garch_rolling(spark, root):
-    returns = daily_log_returns(spark, root).where(F.col("ret").isNotNull())
-    out = intraday.garch_forecast(returns, 180, key="ticker")
+    out = intraday.garch_forecast(indexed_log_returns(spark, root), 180, key="ticker")
     return rounded(out.select("ticker", "date", "alpha", "beta", "variance"))
 
 
 def with_premium(returns, key, short, long, n):
     """Short rolling variance as the forecast against the long one as the realised level."""
-    rows = returns.where(F.col("ret").isNotNull())
-    rows = intraday.rolling_variance(rows, short, key=key).withColumnRenamed("realised", "variance")
+    rows = intraday.rolling_variance(returns, short, key=key).withColumnRenamed("realised", "variance")
     rows = intraday.rolling_variance(rows, long, key=key)
     return intraday.premium_signal(rows, n=n, key=key)
 
@@ -380,7 +378,7 @@ def premium_sql(returns: str, key: str, short: int, long: int, n: int, out: str)
 SELECT ticker, date, {r('premium')} AS premium, {r('premium_sd')} AS premium_sd, CAST(signal_daily AS INTEGER) AS signal_daily
 FROM prem""", "bars", "sentiment", extra=[HOLDINGS, premium_sql("returns", "ticker", 5, 20, 30, "prem")]))
 def prediction_premium_signal(spark, root):
-    out = with_premium(daily_log_returns(spark, root), "ticker", 5, 20, 30)
+    out = with_premium(indexed_log_returns(spark, root), "ticker", 5, 20, 30).where(F.col("ret").isNotNull())
     return rounded(out.select("ticker", "date", "premium", "premium_sd", "signal_daily"))
 
 
@@ -392,8 +390,7 @@ _MERGED = """merged AS (
   ON s.asset = t.asset AND s.date = CAST(t.ts AS DATE))"""
 
 
-def merged_ticks(spark, root, frame=None):
-    bars = ticks(spark, root)
+def merged_ticks(spark, root, bars, frame=None):
     daily = with_premium(daily_returns_of(bars), "asset", 3, 5, 5)
     return intraday.attach_previous_signal(bars if frame is None else frame, daily)
 
@@ -402,7 +399,8 @@ def merged_ticks(spark, root, frame=None):
 SELECT asset, ts, date, close, CAST(signal_daily AS INTEGER) AS signal_daily FROM merged""",
     "ticks", extra=[_TICK_DAYS, premium_sql("dret", "asset", 3, 5, 5, "prem"), _MERGED]))
 def intraday_daily_merge(spark, root):
-    return merged_ticks(spark, root).select("asset", "ts", "date", "close", "signal_daily")
+    out = merged_ticks(spark, root, cut_lineage(ticks(spark, root), "ticks"))
+    return out.select("asset", "ts", "date", "close", "signal_daily")
 
 
 _TICK_SIGNAL = f"""tnum AS (
@@ -429,5 +427,6 @@ SELECT a.asset, a.date, a.ts AS entry_ts, a.close AS entry_close, CAST(-a.signal
 FROM agree a JOIN closing c ON c.asset = a.asset AND c.date = a.date WHERE nth = 1""",
     "ticks", extra=[_TICK_DAYS, premium_sql("dret", "asset", 3, 5, 5, "prem"), _MERGED, _TICK_SIGNAL]))
 def intraday_first_signal(spark, root):
-    signals = intraday.intraday_signal(ticks(spark, root), low=48, high=52)
-    return rounded(intraday.first_signal_of_day(merged_ticks(spark, root, signals)))
+    bars = cut_lineage(ticks(spark, root), "ticks")
+    signals = intraday.intraday_signal(bars, low=48, high=52)
+    return rounded(intraday.first_signal_of_day(merged_ticks(spark, root, bars, signals)))

@@ -10,7 +10,7 @@ from marketseries.operators import indicators as ind
 from marketseries.operators.blocks import index_series, running_sum
 from marketseries.operators.regression import rolling_ols
 from marketseries.operators.validation import forward_folds
-from marketseries.plans.basics import HOLDINGS, MONTHLY, engaged, monthly_returns
+from marketseries.plans.basics import HOLDINGS, MONTHLY, monthly_engagement, monthly_returns
 from marketseries.plans.registry import query, r, r_col, rounded, sql
 from marketseries.sources import stand_ins as src
 
@@ -127,11 +127,6 @@ def rank_average(spark, root):
     )
 
 
-def monthly_engagement(spark, root):
-    rows = engaged(src.sentiment(spark, root)).withColumn("engagement", scalar.ratio(F.col("comments"), F.col("likes")))
-    return panel.monthly_mean(rows, ["symbol"], ["engagement"])
-
-
 @query("top_n_per_group", sql("""
 SELECT month_end, symbol, CAST(rank AS DOUBLE) AS rank FROM ranked WHERE rank < 6""", "bars", "sentiment", extra=[HOLDINGS]))
 def top_n_per_group(spark, root):

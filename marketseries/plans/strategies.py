@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketseries.functions import metrics, scalar
-from marketseries.operators import backtest, clusters, diagnostics, features, forecast, intraday, panel, portfolio
+from marketseries.operators import backtest, clusters, diagnostics, features, forecast, intraday, portfolio
 from marketseries.operators import indicators as ind
 from marketseries.operators import regression
 from marketseries.operators import validation as val
@@ -18,7 +18,6 @@ from marketseries.plans.series import (
     GARMAN_SQL, NUMBERED, atr_sql, bands_sql, benchmark_returns, horizon_sql, macd_sql, rsi_sql,
 )
 from marketseries.sources import stand_ins as src
-from marketseries.sources.readers import FACTORS
 
 BENCH = """bret AS (SELECT * FROM (
   SELECT date, ln(adj_close) - ln(lag(adj_close) OVER (ORDER BY date)) AS benchmark_return FROM bench)
@@ -79,7 +78,7 @@ def monthly_feature_panel(spark, root):
 @query("momentum_cluster_backtest")
 def momentum_cluster_backtest(spark, root):
     """Monthly features and betas, seeded clusters, the high-momentum cluster held at best Sharpe weights."""
-    bars = src.bars(spark, root)
+    bars = cut_lineage(src.bars(spark, root), "bars")
     table = features.with_factor_betas(
         features.monthly_feature_panel(bars, UNIVERSE), src.factors(spark, root)
     )
@@ -88,7 +87,8 @@ def momentum_cluster_backtest(spark, root):
     held = cut_lineage(backtest.hold_next_month(labelled.where(F.col("cluster") == 3)), "holdings")
     looked = portfolio.lookback_returns(portfolio.lookback_prices(held, bars))
     weights = cut_lineage(portfolio.max_sharpe_weights(held, looked, upper=0.4), "weights")
-    daily = backtest.weighted_returns(weights, daily_log_returns(spark, root))
+    returns = ind.apply_indicators(index_series(bars, ["ticker"], "date"), [ind.log_return()])
+    daily = backtest.weighted_returns(weights, returns)
     out = backtest.compare_benchmark(daily, benchmark_returns(spark, root))
     return rounded(out.select("date", "portfolio_return", "benchmark_return", "strategy_cum", "benchmark_cum"))
 
@@ -271,11 +271,10 @@ def model_selection_report(spark, root):
 @query("intraday_mean_reversion")
 def intraday_mean_reversion(spark, root):
     """Variance forecast, premium signal of the previous session, first agreeing tick, held to the close."""
-    ticks = models.ticks(spark, root)
-    returns = models.daily_returns_of(ticks).where(F.col("ret").isNotNull())
-    daily = intraday.garch_forecast(returns, 8)
-    realised = intraday.rolling_variance(daily, 4)
-    daily_signal = intraday.premium_signal(realised, n=4)
+    ticks = cut_lineage(models.ticks(spark, root), "ticks")
+    daily = intraday.rolling_variance(models.daily_returns_of(ticks), 4)
+    daily = cut_lineage(intraday.garch_forecast(daily, 8).drop("pos", "n_obs"), "variance")
+    daily_signal = intraday.premium_signal(daily, n=4)
     signals = intraday.intraday_signal(ticks, low=48, high=52)
     trades = intraday.first_signal_of_day(intraday.attach_previous_signal(signals, daily_signal))
     return rounded(trades.select("asset", "date", "entry_ts", "side", "entry_close", "exit_close", "trade_return"))
