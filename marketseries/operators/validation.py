@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -132,6 +132,5 @@ def fit_best(train: DataFrame, validation: DataFrame, candidates: Sequence[Estim
     values = [m.transform(validation).agg(score).first()[0] for m in models]
     best = max(range(len(models)), key=lambda i: (values[i] is not None, values[i]))
     path = path or scratch_path(train.sparkSession, "model")
-    pipeline = Pipeline(stages=[models[best]]).fit(train)
-    pipeline.write().overwrite().save(path)
+    PipelineModel(stages=[models[best]]).write().overwrite().save(path)
     return PipelineModel.load(path), values, best
