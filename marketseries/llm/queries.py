@@ -30,3 +30,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketseries.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 1024, 0)
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
