@@ -37,3 +37,10 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketseries.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
