@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: A space inside a run of white space, where a text may not be cut.
-_INSIDE = re.compile(r" (?<=\s )(?=\s|\Z)")
+#: Texts that are not cut at spaces: a space within or at the end of a run of white space, rare white space, NUL.
+_WHOLE = (
+    r"[ \t\n\r\f] [ \t\n\r\f]|[ \t\n\r\f] $"
+    r"|[\x{00}\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 #: Words a worker keeps; the table starts anew beyond it.
-KEPT_WORDS = 400_000
-#: Characters encoded at once.
-CHARS = 2_000_000
+KEPT_WORDS = 700_000
+#: Bytes of text encoded at once.
+SLICE = 8_000_000
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Byte-level vocabularies split a text at each space first, so text between spaces can be encoded by itself.
+    """Byte-level vocabularies cut a text before each space first, so what stands between spaces can be encoded alone.
 
-    Texts with runs of white space or with the string of a special token go to the library whole.
+    Lines are cut too, where no other white space stands beside the line break. Texts with other runs of white
+    space or with the string of a special token go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -29,59 +33,89 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 16, np.int64)
-        self.size = np.zeros(1 << 16, np.int64)
+        self.begin = np.zeros(1 << 16, np.int32)
+        self.size = np.zeros(1 << 16, np.int32)
         self.used = 0
 
-    def _learn(self, words: list[str]) -> None:
-        # a first word is known under a key with a space, the others are written without the space before them
-        plain = [w[1:] if w[:1] == " " else " " + w for w in words]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, total = len(self.known), int(size.sum())
+    def _encode(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words with a space before each, some hundred words in one call."""
+        joined = [words[i : i + 500] for i in range(0, len(words), 500)]
+        out: list[np.ndarray] = []
+        for part, e in zip(joined, self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in joined], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(self.opens[ids])
+            if len(cuts) == len(part):
+                out.append((ids, np.diff(np.append(cuts, len(ids)))))
+            else:
+                own = [x.ids for x in self.tokenizer.encode_batch_fast([" " + w for w in part], add_special_tokens=False)]
+                out.append((np.array([i for x in own for i in x], np.uint32), np.array([len(x) for x in own])))
+        return out
+
+    def _learn(self, keys: list[str]) -> None:
+        # a key with a space is a first word, one with NUL a line; the others have lost the space before them
+        plain = [k for k in keys if k and k[0] not in " \0"]
+        marked = [k for k in keys if not k or k[0] in " \0"]
+        found = self._encode(plain)
+        if marked:
+            own = [e.ids for e in self.tokenizer.encode_batch_fast(
+                [k[1:] if k else " " for k in marked], add_special_tokens=False)]
+            found.append((np.array([i for x in own for i in x], np.uint32), np.array([len(x) for x in own])))
+        ids, size = (np.concatenate(x) for x in zip(*found))
+        n, total = len(self.known), len(ids)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(ids) > len(self.size):
+        while n + len(size) > len(self.size):
             self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-        self.flat[self.used : self.used + total] = [i for x in ids for i in x]
-        self.size[n : n + len(ids)] = size
-        self.begin[n : n + len(ids)] = self.used + np.cumsum(size) - size
+        self.flat[self.used : self.used + total] = ids
+        self.size[n : n + len(size)] = size
+        self.begin[n : n + len(size)] = self.used + np.cumsum(size) - size
         self.used += total
-        self.known.update(zip(words, range(n, n + len(words))))
+        self.known.update(zip(plain + marked, range(n, n + len(size))))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _places(self, keys: list[str]) -> np.ndarray:
+        at = list(map(self.known.get, keys))
+        if None in at:
+            self._learn(list(dict.fromkeys(k for k, i in zip(keys, at) if i is None)))
+            at = list(map(self.known.__getitem__, keys))
+        return np.array(at, np.int32)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text begins (one more entry than texts)."""
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special) or _INSIDE.search(t)}
-        words: list[str] = []
-        ends = np.zeros(len(texts) + 1, np.int64)
-        for i, t in enumerate(texts):
-            if i not in whole and t:
-                parts = t.split(" ")
-                parts[0] = " " + parts[0]
-                words += parts
-            ends[i + 1] = len(words)
         if len(self.known) > KEPT_WORDS:
             self._clear()
-        if new := set(words).difference(self.known):
-            self._learn(list(new))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        whole = pc.match_substring_regex(texts, _WHOLE)
+        for s in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, s))
+        cut = pc.if_else(whole, "", texts)
+        parts = pc.split_pattern(pc.replace_substring_regex(cut, r"(\S)\n(\S)", "\\1 \0\n\\2"), " ")
+        ends = parts.offsets.to_numpy().astype(np.int64)
+        ends -= ends[0]
+        coded = parts.flatten().dictionary_encode()
+        first = ends[:-1]
+        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        at[first] = self._places([" " + w for w in pc.take(coded, pa.array(first)).to_pylist()])
         size = self.size[at]
-        done = np.concatenate([[0], np.cumsum(size)])
-        out = self.flat[np.repeat(self.begin[at] - done[:-1], size) + np.arange(done[-1])]
+        done = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        shift = (self.begin[at] - done[:-1]).astype(np.int32)
+        out = self.flat[np.repeat(shift, size) + np.arange(done[-1], dtype=np.int32)]
         starts = done[ends]
-        if not whole:
+        order = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if not len(order):
             return out, starts
-        pieces = [out[starts[i] : starts[i + 1]] for i in range(len(texts))]
-        order = sorted(whole)
-        for i, e in zip(order, self.tokenizer.encode_batch_fast([texts[i] for i in order], add_special_tokens=False)):
+        pieces = [out[a:b] for a, b in zip(starts[:-1], starts[1:])]
+        for i, e in zip(order, self.tokenizer.encode_batch_fast(texts.take(pa.array(order)).to_pylist(), add_special_tokens=False)):
             pieces[i] = np.array(e.ids, np.uint32)
-        starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-        return np.concatenate(pieces).astype(np.uint32), starts
+        return np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -90,22 +124,26 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def text_slices(texts: list[str], chars: int = CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``chars`` characters, at least one text each."""
+def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``most`` in total, at least one row each."""
     begin = total = 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > chars:
+    for i, n in enumerate(sizes):
+        if total and total + n > most:
             yield begin, i
             begin, total = i, 0
-        total += len(t) + 1
-    if begin < len(texts):
-        yield begin, len(texts)
+        total += n + 1
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def text_slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
+    return slices([len(t) for t in texts], chars)
 
 
 def encoded(batches: Iterable[pa.RecordBatch], key: str, path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Keys, ids and starts of a few documents at a time; columns are the key and ``text`` (null: empty)."""
+    """Keys, ids and starts of some documents at a time; columns are the key and ``text`` (null: empty)."""
     enc = encoder(path)
     for batch in batches:
-        keys, texts = batch.column(key).to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-        for a, b in text_slices(texts):
-            yield keys[a:b], *enc.encode(texts[a:b])
+        keys, texts = batch.column(key).to_pylist(), batch.column("text")
+        for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), SLICE):
+            yield keys[a:b], *enc.encode(texts.slice(a, b - a))

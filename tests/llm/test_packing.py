@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,7 +28,7 @@ def library():
 @given(st.lists(st.text(alphabet=st.sampled_from(list(" \n\tab'sé1. ")), max_size=30), max_size=4))
 def test_words_as_library(texts):
     enc = test_words_as_library.__dict__.setdefault("enc", WordEncoder(BYTES))
-    ids, starts = enc.encode(texts)
+    ids, starts = enc.encode(pa.array(texts, pa.string()))
     assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [
         enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
