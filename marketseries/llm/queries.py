@@ -44,3 +44,32 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketseries.llm.neighbours import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page captures read back from the archives written of the whole table."""
+    from pyspark.sql import functions as F
+
+    from marketseries.llm import warc
+    from marketseries.session import scratch_path
+
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder, least_bytes=1000)
+    captures = warc.assemble(warc.read_records(spark, folder)).select(
+        F.col("metadata.fields").getItem("pageId").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", "record_id", F.col("refers_to").alias("_to"))
+    target = captures.select(F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to"))
+    return captures.join(target, F.col("_to") == F.col("_id"), "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages WHERE page_id IS NOT NULL),
+     d AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
+     m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM m
+"""
