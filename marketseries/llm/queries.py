@@ -73,3 +73,15 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
 FROM m
 """
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketseries.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    known = langid.references(docs, "crc32(cast(doc_id as string)) % 3 <> 1")
+    return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), known).drop("text")
