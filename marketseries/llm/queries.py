@@ -60,8 +60,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("metadata.fields").getItem("pageId").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", "record_id", F.col("refers_to").alias("_to"))
     target = captures.select(F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to"))
-    return captures.join(target, F.col("_to") == F.col("_id"), "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # captures that refer to nothing look themselves up, so that they are not all one null key
+    return captures.join(target, F.coalesce("_to", "record_id") == F.col("_id"), "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.when(F.col("_to").isNotNull(), F.col("refers_to")).alias("refers_to"))
 
 
 ORACLES["op6_warc"] = """
@@ -85,3 +86,14 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     known = langid.references(docs, "crc32(cast(doc_id as string)) % 3 <> 1")
     return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), known).drop("text")
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from the token files written of the whole table."""
+    from marketseries.llm import tokenfile
+    from marketseries.session import scratch_path
+
+    folder = scratch_path(spark, "tokens")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"), end_id=2)
+    return tokenfile.token_index(spark, folder)

@@ -13,7 +13,7 @@ _WHOLE = (
     r"[ \t\n\r\f] [ \t\n\r\f]|[ \t\n\r\f] $"
     r"|[\x{00}\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-#: Words a worker keeps; the table starts anew beyond it.
+#: Words a worker keeps; beyond it those are kept that came again.
 KEPT_WORDS = 700_000
 #: Bytes of text encoded at once.
 SLICE = 8_000_000
@@ -44,8 +44,22 @@ class WordEncoder:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 16, np.int32)
         self.size = np.zeros(1 << 16, np.int32)
+        self.hits = np.zeros(1 << 16, np.int32)
         self.used = 0
 
+    def _shrink(self) -> None:
+        n = len(self.known)
+        again = self.hits[:n] > 1
+        if again.sum() > n // 2:
+            return self._clear()
+        words = [w for w, more in zip(self.known, again.tolist()) if more]
+        begin, size, flat, hits = self.begin[:n][again], self.size[:n][again], self.flat, self.hits[:n][again]
+        done = np.cumsum(size) - size
+        self._clear()
+        self.flat = flat[np.repeat(begin - done, size) + np.arange(size.sum())]
+        self.begin, self.size, self.hits, self.used = done.astype(np.int32), size, hits // 2, len(self.flat)
+        self.known = dict(zip(words, range(len(words))))
+
     def _encode(self, words: list[str]) -> list[np.ndarray]:
         """Ids of words with a space before each, some hundred words in one call."""
         joined = [words[i : i + 500] for i in range(0, len(words), 500)]
@@ -72,9 +86,9 @@ class WordEncoder:
         ids, size = (np.concatenate(x) for x in zip(*found))
         n, total = len(self.known), len(ids)
         while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat = np.concatenate([self.flat, np.zeros(self.used + total, np.uint32)])
         while n + len(size) > len(self.size):
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+            self.begin, self.size, self.hits = (np.concatenate([x, np.zeros(n + len(size), np.int32)]) for x in (self.begin, self.size, self.hits))
         self.flat[self.used : self.used + total] = ids
         self.size[n : n + len(size)] = size
         self.begin[n : n + len(size)] = self.used + np.cumsum(size) - size
@@ -91,7 +105,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text begins (one more entry than texts)."""
         if len(self.known) > KEPT_WORDS:
-            self._clear()
+            self._shrink()
         texts = pc.fill_null(texts.cast(pa.string()), "")
         whole = pc.match_substring_regex(texts, _WHOLE)
         for s in self.special:
@@ -104,6 +118,7 @@ class WordEncoder:
         first = ends[:-1]
         at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         at[first] = self._places([" " + w for w in pc.take(coded, pa.array(first)).to_pylist()])
+        self.hits[: len(self.known)] += np.minimum(np.bincount(at, minlength=len(self.known)), 1000).astype(np.int32)
         size = self.size[at]
         done = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         shift = (self.begin[at] - done[:-1]).astype(np.int32)
