@@ -97,3 +97,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"), end_id=2)
     return tokenfile.token_index(spark, folder)
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))

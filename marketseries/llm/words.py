@@ -21,34 +21,27 @@ SLICE = 8_000_000
 _encoders: dict[str, "WordEncoder"] = {}
 
 
-class WordEncoder:
-    """Byte-level vocabularies cut a text before each space first, so what stands between spaces can be encoded alone.
-
-    Lines are cut too, where no other white space stands beside the line break. Texts with other runs of white
-    space or with the string of a special token go to the library whole.
-    """
+class WordTable:
+    """Ids of the words that a worker has met, in a few flat arrays; subclasses encode new words."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
-        vocabulary = self.tokenizer.get_vocab()
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
-        self.opens[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+    def __init__(self) -> None:
         self._clear()
 
+    def encode_words(self, keys: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The keys in some order, their ids one after another, and the number of ids of each."""
+        raise NotImplementedError
+
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 16, np.int32)
-        self.size = np.zeros(1 << 16, np.int32)
-        self.hits = np.zeros(1 << 16, np.int32)
+        self.begin, self.size, self.hits = (np.zeros(1 << 16, np.int32) for _ in range(3))
         self.used = 0
 
-    def _shrink(self) -> None:
+    def shrink(self) -> None:
+        """Beyond the limit, keeps the words that came more than once."""
         n = len(self.known)
+        if n <= KEPT_WORDS:
+            return
         again = self.hits[:n] > 1
         if again.sum() > n // 2:
             return self._clear()
@@ -60,30 +53,15 @@ class WordEncoder:
         self.begin, self.size, self.hits, self.used = done.astype(np.int32), size, hits // 2, len(self.flat)
         self.known = dict(zip(words, range(len(words))))
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words with a space before each, some hundred words in one call."""
-        joined = [words[i : i + 500] for i in range(0, len(words), 500)]
-        out: list[np.ndarray] = []
-        for part, e in zip(joined, self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in joined], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.flatnonzero(self.opens[ids])
-            if len(cuts) == len(part):
-                out.append((ids, np.diff(np.append(cuts, len(ids)))))
-            else:
-                own = [x.ids for x in self.tokenizer.encode_batch_fast([" " + w for w in part], add_special_tokens=False)]
-                out.append((np.array([i for x in own for i in x], np.uint32), np.array([len(x) for x in own])))
-        return out
+    def places(self, keys: list[str]) -> np.ndarray:
+        at = list(map(self.known.get, keys))
+        if None in at:
+            self._learn(list(dict.fromkeys(k for k, i in zip(keys, at) if i is None)))
+            at = list(map(self.known.__getitem__, keys))
+        return np.array(at, np.int32)
 
     def _learn(self, keys: list[str]) -> None:
-        # a key with a space is a first word, one with NUL a line; the others have lost the space before them
-        plain = [k for k in keys if k and k[0] not in " \0"]
-        marked = [k for k in keys if not k or k[0] in " \0"]
-        found = self._encode(plain)
-        if marked:
-            own = [e.ids for e in self.tokenizer.encode_batch_fast(
-                [k[1:] if k else " " for k in marked], add_special_tokens=False)]
-            found.append((np.array([i for x in own for i in x], np.uint32), np.array([len(x) for x in own])))
-        ids, size = (np.concatenate(x) for x in zip(*found))
+        keys, ids, size = self.encode_words(keys)
         n, total = len(self.known), len(ids)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(self.used + total, np.uint32)])
@@ -93,19 +71,61 @@ class WordEncoder:
         self.size[n : n + len(size)] = size
         self.begin[n : n + len(size)] = self.used + np.cumsum(size) - size
         self.used += total
-        self.known.update(zip(plain + marked, range(n, n + len(size))))
+        self.known.update(zip(keys, range(n, n + len(size))))
 
-    def _places(self, keys: list[str]) -> np.ndarray:
-        at = list(map(self.known.get, keys))
-        if None in at:
-            self._learn(list(dict.fromkeys(k for k, i in zip(keys, at) if i is None)))
-            at = list(map(self.known.__getitem__, keys))
-        return np.array(at, np.int32)
+    def ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at these places one after another, and where each word begins, with the end."""
+        self.hits[: len(self.known)] += np.minimum(np.bincount(at, minlength=len(self.known)), 1000).astype(np.int32)
+        size = self.size[at]
+        done = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        shift = (self.begin[at] - done[:-1]).astype(np.int32)
+        return self.flat[np.repeat(shift, size) + np.arange(done[-1], dtype=np.int32)], done
+
+
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
+
+class WordEncoder(WordTable):
+    """Byte-level vocabularies cut a text before each space first, so what stands between spaces can be encoded alone.
+
+    Lines are cut too, where no other white space stands beside the line break. Texts with other runs of white
+    space or with the string of a special token go to the library whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_words(self, keys: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        # a key with a space is a first word, one with NUL a line; the others have lost the space before them
+        plain = [k for k in keys if k and k[0] not in " \0"]
+        marked = [k for k in keys if not k or k[0] in " \0"]
+        found = [flattened(self._library([k[1:] if k else " " for k in marked]))]
+        parts = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        for part, own in zip(parts, self._library([" " + " ".join(p) for p in parts])):
+            ids = np.array(own, np.uint32)
+            cuts = np.flatnonzero(self.opens[ids])
+            if len(cuts) == len(part):
+                found.append((ids, np.diff(np.append(cuts, len(ids)))))
+            else:
+                found.append(flattened(self._library([" " + w for w in part])))
+        ids, size = (np.concatenate(x) for x in zip(*found))
+        return marked + plain, ids, size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text begins (one more entry than texts)."""
-        if len(self.known) > KEPT_WORDS:
-            self._shrink()
+        self.shrink()
         texts = pc.fill_null(texts.cast(pa.string()), "")
         whole = pc.match_substring_regex(texts, _WHOLE)
         for s in self.special:
@@ -116,20 +136,16 @@ class WordEncoder:
         ends -= ends[0]
         coded = parts.flatten().dictionary_encode()
         first = ends[:-1]
-        at = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        at[first] = self._places([" " + w for w in pc.take(coded, pa.array(first)).to_pylist()])
-        self.hits[: len(self.known)] += np.minimum(np.bincount(at, minlength=len(self.known)), 1000).astype(np.int32)
-        size = self.size[at]
-        done = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        shift = (self.begin[at] - done[:-1]).astype(np.int32)
-        out = self.flat[np.repeat(shift, size) + np.arange(done[-1], dtype=np.int32)]
+        at = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        at[first] = self.places([" " + w for w in pc.take(coded, pa.array(first)).to_pylist()])
+        out, done = self.ids_at(at)
         starts = done[ends]
         order = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
         if not len(order):
             return out, starts
         pieces = [out[a:b] for a, b in zip(starts[:-1], starts[1:])]
-        for i, e in zip(order, self.tokenizer.encode_batch_fast(texts.take(pa.array(order)).to_pylist(), add_special_tokens=False)):
-            pieces[i] = np.array(e.ids, np.uint32)
+        for i, ids in zip(order, self._library(texts.take(pa.array(order)).to_pylist())):
+            pieces[i] = np.array(ids, np.uint32)
         return np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
 
