@@ -104,3 +104,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketseries.llm.bpe import round_trip
 
     return round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
