@@ -111,3 +111,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketseries.llm.fingerprint import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.suffixdedup import byte_report
+
+    return byte_report(table(spark, sf_dir, "documents"), 400)
