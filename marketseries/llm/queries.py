@@ -118,3 +118,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketseries.llm.suffixdedup import byte_report
 
     return byte_report(table(spark, sf_dir, "documents"), 400)
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm import licenses
+
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(licenses.background(docs)))
