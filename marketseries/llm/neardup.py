@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketseries.llm.batches import arrow_rows
+from marketseries.llm.bitmap import with_maybe
 from marketseries.llm.components import components
 from marketseries.llm.words import text_slices
 from marketseries.session import cut_lineage
@@ -21,8 +23,10 @@ BANDS = REGISTERS // BAND
 BASE, RATE, TOP = 1.001, 20.0, 65535
 #: Pairs whose likeliest similarity lies so far under the threshold (five standard errors) are not compared.
 MARGIN = 0.18
-#: A band of more documents is cut by a second band before its pairs are listed.
-LARGE = 64
+#: Documents and shingles of a block of a group that is compared in one task.
+BLOCK_ROWS, BLOCK_SHINGLES = 1000, 1_000_000
+#: Documents, and pairs of documents, of a batch that goes to a Python worker.
+DOCUMENT_ROWS, PAIR_ROWS = 2000, 500
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64)
@@ -154,11 +158,16 @@ def _likely(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(sized).mapInArrow(estimate, "a long, b long")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the rows of ``docs`` whose doc_id is in ``ids``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return with_maybe(rows, "doc_id", ids).filter("maybe").drop("maybe").join(ids, "doc_id")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach ``percent``."""
-    pairs = cut_lineage(pairs, "pairs")
+    """Those of some written pairs (a, b) whose full shingle sets reach ``percent``."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = cut_lineage(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id"), "texts")
+    texts = cut_lineage(_texts_of(docs, ids), "texts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -195,12 +204,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Documents with equal sets are one node. Bands of equal registers propose links: first of every document with
     the least and the greatest document of its band, which joins groups of copies in a number of comparisons in
-    proportion to their size; then of the documents of a band that still lie in different components. Every link
-    is confirmed on the full sets. What shares a band is never listed pair by pair where it is already joined;
-    large bands that stay mixed are first cut by a second band.
+    proportion to their size; then of the documents of a band that still lie in different components, which are
+    compared in blocks and never listed pair by pair. Every link is confirmed on the full sets.
     """
     docs = docs.filter("doc_id is not null")
-    own = cut_lineage(sketches(docs, words), "sketches")
+    spark = docs.sparkSession
+    with arrow_rows(spark, DOCUMENT_ROWS):
+        own = cut_lineage(sketches(docs, words), "sketches")
     classes = own.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(classes, "classes")
     nodes = own.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"])
@@ -208,53 +218,81 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     width = 2 * BAND
     rows = nodes.select(F.col("doc_id").alias("id"), F.expr(
-        f"posexplode(transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sketch, i * {width} + 1, {width}))))"
-    ).alias("at", "band"))
+        f"explode(transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sketch, i * {width} + 1, {width}))))"
+    ).alias("band"))
     ends = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
     rows = cut_lineage(rows.join(ends.filter("n > 1"), "band"), "bands")
     pairs = rows.filter("id > lo").select(F.col("lo").alias("a"), F.col("id").alias("b")).unionByName(
         rows.filter("id < hi and id > lo").select(F.col("id").alias("a"), F.col("hi").alias("b"))).distinct()
     least = percent / 100
-    links = cut_lineage(_confirmed(_likely(pairs, nodes, least), docs, words, percent), "links")
+    likely = cut_lineage(_likely(pairs, nodes, least), "pairs")
+    with arrow_rows(spark, PAIR_ROWS):
+        links = cut_lineage(_confirmed(likely, docs, words, percent), "links")
     roots = components(links)
 
-    mixed = _mixed_bands(rows, roots)
-    rest = _across(mixed, nodes)
-    links2 = cut_lineage(_confirmed(_likely(rest, nodes, least), docs, words, percent), "links")
-    roots = components(links.unionByName(links2))
+    with arrow_rows(spark, DOCUMENT_ROWS):
+        more = cut_lineage(_across(rows, roots, nodes, docs, words, percent), "links")
+    if not more.isEmpty():
+        roots = components(links.unionByName(more))
 
     out = own.join(classes, "set_key", "left").join(roots, F.col("rep") == F.col("id"), "left")
     root = F.coalesce("root", "rep", "doc_id")
     return out.select("doc_id", "n_shingles", root.alias("component_id"), (F.col("doc_id") == root).alias("kept"))
 
 
-def _mixed_bands(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """(id, at, band, root, n) of the bands that hold more than one component."""
-    placed = rows.select("id", "at", "band").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    return cut_lineage(_still_mixed(placed), "mixed")
-
-
-def _still_mixed(placed: DataFrame) -> DataFrame:
-    ends = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    return placed.drop("n").join(ends.filter("lo < hi").select("band", "n"), "band").select("id", "at", "band", "root", "n")
+def _across(rows: DataFrame, roots: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between documents of one band that lie in different components so far.
 
-
-def _across(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of one band and different components; a large band counts only together with two other bands.
-
-    At a similarity of 0.8 two documents share fewer than three of the 32 bands once in 80,000 pairs.
+    Bands with one least document are one group, so that copies which share many bands meet once or a few times.
+    Groups are dealt out as pairs of blocks of bounded size; the full sets are compared in the task and only links
+    leave it. Bands of up to three documents were compared whole with their least and greatest.
     """
-    width = 2 * BAND
-    keyed, large = mixed.filter(F.col("n") <= LARGE), mixed.filter(F.col("n") > LARGE)
-    for _ in range(2):
-        large = large.join(nodes.select(F.col("doc_id").alias("id"), "sketch"), "id").select("id", "root", "band", "at", F.expr(
-            f"posexplode(transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sketch, i * {width} + 1, {width}))))"
-        ).alias("at2", "band2")).filter("at2 > at").select(
-            "id", F.col("at2").alias("at"), F.xxhash64("band", "band2").alias("band"), "root")
-        large = _still_mixed(large)
-        keyed = keyed.unionByName(large.filter(F.col("n") <= LARGE))
-        large = large.filter(F.col("n") > LARGE)
-    keyed = keyed.unionByName(large)
-    other = keyed.select(F.col("id").alias("b"), F.col("root").alias("rb"), "band")
-    return keyed.select(F.col("id").alias("a"), F.col("root").alias("ra"), "band").join(other, "band").filter(
-        "a < b and ra <> rb").select("a", "b").distinct()
+    placed = rows.filter("n > 3").select("id", "band", "lo").join(roots, "id", "left")
+    placed = placed.select("id", "band", "lo", F.coalesce("root", "id").alias("root"))
+    ends = placed.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+    mixed = placed.join(ends.filter("r1 < r2"), "band").select("lo", "id", "root").distinct()
+    mixed = cut_lineage(mixed.join(nodes.select(F.col("doc_id").alias("id"), "n_shingles"), "id"), "mixed")
+    sizes = mixed.groupBy("lo").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    dealt = mixed.join(sizes, "lo").withColumn("part", own).withColumn("other", F.explode(every)).select(
+        "lo", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "root")
+    texts = cut_lineage(_texts_of(docs, mixed.select(F.col("id").alias("doc_id")).distinct()), "texts")
+    texts = texts.withColumnRenamed("doc_id", "id")
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, roots, parts = (group.column(c).to_numpy() for c in ("id", "root", "part"))
+        a, b = _links_between(ids, roots, parts, shingle_sets(group.column("text").to_pylist(), words), percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.join(texts, "id").groupBy("lo", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _links_between(ids, roots, parts, sets, percent) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows of different roots, and of different parts if there are two, by counts over shared shingles."""
+    size = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    _, shingle, count = np.unique(flat, return_inverse=True, return_counts=True)
+    holder = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(shingle, kind="stable")
+    holder, end = holder[order], np.cumsum(count)
+    at = np.cumsum([0, *size])
+    names, inverse, many = np.unique(roots, return_inverse=True, return_counts=True)
+    asking = np.flatnonzero(inverse != many.argmax())  # rows of the largest component are met by all others
+    if len(names) < 2:
+        asking = asking[:0]
+    two = parts.min() < parts.max()
+    found: list[tuple[int, int]] = []
+    for u in asking.tolist():
+        mine = shingle[at[u] : at[u + 1]]
+        mine = mine[count[mine] > 1]
+        n = count[mine]
+        start = np.repeat(end[mine] - n - (np.cumsum(n) - n), n)
+        common = np.bincount(holder[start + np.arange(len(start))], minlength=len(sets))
+        hit = (100 * common >= percent * (size[u] + size - common)) & (roots != roots[u])
+        if two:
+            hit &= parts != parts[u]
+        found += [(ids[u], ids[v]) for v in np.flatnonzero(hit)]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pairs.min(1), pairs.max(1)
