@@ -72,32 +72,95 @@ def ensure_index(
 
 @dataclass(frozen=True)
 class BlockContext:
-    """What a stage may use: the window over one block and smoothed sums."""
+    """What a stage may use: the window over one block."""
 
     w: WindowSpec
     pos: str
     block: int
     back: int
 
-    def ewm_sum(self, x: Column, alpha: float) -> Column:
-        """Sum of x[t-i] * (1-alpha)**i over all rows up to t; nulls add nothing.
 
-        The copied rows reach back until a weight falls under 1e-17, so nothing
-        that a double can hold is left out.
-        """
-        q = 1.0 - alpha
-        if (self.block + self.back) * -math.log(q) > 600:
-            raise ValueError("block too long for this smoothing factor")
-        offset = F.col(self.pos) - (F.col(_BLOCK) * self.block - self.back)
-        upto = self.w.rowsBetween(Window.unboundedPreceding, 0)
-        return F.sum(x * F.pow(F.lit(q), -offset)).over(upto) * F.pow(F.lit(q), offset)
+Stage = Callable[[BlockContext], dict[str, Column]]
 
 
-Stage = Callable[[BlockContext], dict[str, Column]]
+@dataclass(frozen=True)
+class DecayedMean:
+    """Mean of ``value`` (of rows up to the current one) under ``weight`` times (1 - alpha) ** rows ago.
 
+    Weights are not negative; rows whose value or weight is null add nothing. ``<name>_seen`` counts the others.
+    """
 
-def ewm_reach(alpha: float, weight: float = 1e-17) -> int:
-    return math.ceil(math.log(weight) / math.log(1.0 - alpha))
+    name: str
+    value: Column
+    weight: Column
+    alpha: float
+
+    @property
+    def decay(self) -> float:
+        return min(max(1.0 - self.alpha, 1e-20), 1.0 - 1e-12)
+
+
+def decayed_means(
+    df: DataFrame, keys: Sequence[str], means: Sequence[DecayedMean], pos: str = "pos", block: int = BLOCK_ROWS
+) -> DataFrame:
+    """Add decayed means over the whole history of each series.
+
+    Blocks kept by :func:`over_blocks` must be those of :func:`decay_block`. The state at the end of each block
+    (mean, logarithm of the weight, rows seen) is carried over the small (key, block) table, one row for each block, so
+    no history is cut; a mean keeps its value over a stretch without weight, however long.
+    """
+    keys = list(keys)
+    size = decay_block(means, block)
+    if _BLOCK not in df.columns:
+        df = df.withColumn(_BLOCK, F.expr(f"`{pos}` div {size}"))
+    df = df.withColumn("_off", F.col(pos) - F.col(_BLOCK) * size)
+    ends, scaled = [], {}
+    for i, m in enumerate(means):
+        there = m.value.isNotNull() & m.weight.isNotNull()
+        grown = F.pow(F.lit(m.decay), -F.col("_off"))
+        df = df.withColumns({f"_v{i}": F.when(there, m.value * grown), f"_w{i}": F.when(there, m.weight * grown)})
+        back = F.lit(m.decay ** (size - 1))
+        ends += [(F.sum(f"_v{i}") * back).alias(f"_v{i}"), (F.sum(f"_w{i}") * back).alias(f"_w{i}"), F.count(f"_v{i}").alias(f"_n{i}")]
+        scaled[i] = math.log(m.decay)
+    carried = ["double", "double", "long"]
+    table = df.groupBy(*keys, _BLOCK).agg(*ends)
+    names = [f"_{c}{i}" for i in scaled for c in ("mean", "log", "had")]
+    kinds = ", ".join(f"{n} {k}" for n, k in zip(names, carried * len(means)))
+
+    def carry(part):
+        part = part.sort_values(_BLOCK).reset_index(drop=True)
+        out = part[[*keys, _BLOCK]].copy()
+        for i, log in scaled.items():
+            mean, weight, had, before = 0.0, -math.inf, 0, None
+            rows = []
+            for at, v, w, n in zip(part[_BLOCK], part[f"_v{i}"], part[f"_w{i}"], part[f"_n{i}"]):
+                if before is not None:
+                    weight += (at - before - 1) * size * log  # blocks without rows
+                rows.append((mean, weight, had))
+                weight, before = weight + size * log, at
+                if w > 0:
+                    old = math.exp(weight)
+                    mean, weight = (mean * old + v) / (old + w), math.log(old + w)
+                had += n
+            out[f"_mean{i}"], out[f"_log{i}"], out[f"_had{i}"] = zip(*rows)
+        return out
+
+    fields = [f for f in table.schema.fields if f.name in (*keys, _BLOCK)]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + kinds
+    states = table.select(*[f.name for f in fields], *[c for c in table.columns if c not in (*keys, _BLOCK)])
+    states = states.groupBy(*keys).applyInPandas(carry, schema)
+    df = df.join(states, [*keys, _BLOCK])
+    upto = Window.partitionBy(*keys, _BLOCK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    out = {}
+    for i, m in enumerate(means):
+        shrink = F.pow(F.lit(m.decay), F.col("_off"))
+        v, w = F.sum(f"_v{i}").over(upto) * shrink, F.sum(f"_w{i}").over(upto) * shrink
+        old = F.exp(F.col(f"_log{i}") + (F.col("_off") + 1) * scaled[i])
+        mixed = (F.col(f"_mean{i}") * old + v) / (old + w)
+        out[m.name] = F.when(w > 0, mixed).when(F.col(f"_log{i}") > float("-inf"), F.col(f"_mean{i}"))
+        out[f"{m.name}_seen"] = F.count(f"_v{i}").over(upto) + F.col(f"_had{i}")
+    temps = [f"_{c}{i}" for i in scaled for c in ("v", "w", "mean", "log", "had")]
+    return df.withColumns(out).drop(_BLOCK, "_off", *temps)
 
 
 def over_blocks(
@@ -109,10 +172,11 @@ def over_blocks(
     pos: str = "pos",
     total: str = "n_obs",
     block: int = BLOCK_ROWS,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Run windowed stages with ``back`` rows of history and ``ahead`` rows of future.
 
-    All stages share one exchange on (keys, block).
+    All stages share one exchange on (keys, block); :func:`decayed_means` can use the blocks that are kept.
     """
     first = F.expr(f"greatest(`{pos}` - {ahead}, 0) div {block}")
     last = F.expr(f"least(`{pos}` + {back}, `{total}` - 1) div {block}")
@@ -120,7 +184,13 @@ def over_blocks(
     ctx = BlockContext(Window.partitionBy(*keys, _BLOCK).orderBy(pos), pos, block, back)
     for stage in stages:
         out = out.withColumns(stage(ctx))
-    return out.where(F.expr(f"`{pos}` div {block} = `{_BLOCK}`")).drop(_BLOCK)
+    out = out.where(F.expr(f"`{pos}` div {block} = `{_BLOCK}`"))
+    return out if keep_block else out.drop(_BLOCK)
+
+
+def decay_block(means: Sequence[DecayedMean], block: int = BLOCK_ROWS) -> int:
+    """Rows of a block over which no power of a decay leaves the range of doubles."""
+    return max(1, min(block, *(int(600 / -math.log(m.decay)) for m in means)))
 
 
 def running_sum(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketseries.functions.scalar import clip
 from marketseries.operators.blocks import (
-    BlockContext, ewm_reach, exact_quantiles, index_series, join_group_stats, over_blocks,
+    BlockContext, DecayedMean, decay_block, decayed_means, exact_quantiles, index_series, join_group_stats, over_blocks,
 )
 
 Stage = Callable[[BlockContext], dict[str, Column]]
@@ -23,10 +23,14 @@ Stage = Callable[[BlockContext], dict[str, Column]]
 
 @dataclass(frozen=True)
 class Indicator:
+    """Window stages, then decayed means over the whole history, then columns made of both."""
+
     stages: tuple[Stage, ...]
     back: int
     ahead: int = 0
     temps: tuple[str, ...] = ()
+    means: tuple[DecayedMean, ...] = ()
+    finish: tuple[tuple[str, Column], ...] = ()
 
 
 def apply_indicators(
@@ -45,6 +49,8 @@ def apply_indicators(
 
         return stage
 
+    means = [m for i in indicators for m in i.means]
+    block = decay_block(means, block) if means else block
     out = over_blocks(
         df,
         keys,
@@ -52,8 +58,12 @@ def apply_indicators(
         back=max(i.back for i in indicators),
         ahead=max(i.ahead for i in indicators),
         block=block,
+        keep_block=bool(means),
     )
-    return out.drop(*{t for i in indicators for t in i.temps})
+    if means:
+        out = decayed_means(out, keys, means, block=block)
+    out = out.withColumns({name: c for i in indicators for name, c in i.finish})
+    return out.drop(*{t for i in indicators for t in i.temps}, *[n for m in means for n in (m.name, f"{m.name}_seen")])
 
 
 def full_window(agg: Column, count: Column, n: int) -> Column:
@@ -100,14 +110,11 @@ def rsi(col: str = "close", n: int = 20, name: str = "rsi") -> Indicator:
     def first(ctx):
         return {delta: F.col(col) - F.lag(col, 1).over(ctx.w)}
 
-    def second(ctx):
-        d = F.col(delta)
-        seen = F.count(d).over(ctx.w.rowsBetween(-ctx.back, 0))
-        up = ctx.ewm_sum(F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))), alpha)
-        down = ctx.ewm_sum(F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0))), alpha)
-        return {name: full_window(F.try_divide(100.0 * up, up + down), seen, n)}
-
-    return Indicator((first, second), back=1 + ewm_reach(alpha), temps=(delta,))
+    d, mean = F.col(delta), f"_m_{name}"
+    # rises among all changes: a stretch without change leaves the share as it is
+    share = DecayedMean(mean, F.greatest(d, F.lit(0.0)), F.abs(d), alpha)
+    out = full_window(100.0 * F.col(mean), F.col(f"{mean}_seen"), n)
+    return Indicator((first,), back=1, temps=(delta,), means=(share,), finish=((name, out),))
 
 
 def bollinger(col: str = "close", n: int = 20, k: float = 2.0, lag: int = 0, prefix: str = "bb") -> Indicator:
@@ -146,26 +153,26 @@ def atr(high: str = "high", low: str = "low", close: str = "close", n: int = 14,
     def first(ctx):
         return {tr: true_range_columns(ctx, high, low, close)}
 
-    def second(ctx):
-        seen = F.count(tr).over(ctx.w.rowsBetween(-ctx.back, 0))
-        weight = ctx.ewm_sum(F.when(F.col(tr).isNotNull(), 1.0), alpha)
-        return {name: full_window(F.try_divide(ctx.ewm_sum(F.col(tr), alpha), weight), seen, n)}
-
-    return Indicator((first, second), back=1 + ewm_reach(alpha), temps=(tr,))
+    mean = f"_m_{name}"
+    out = full_window(F.col(mean), F.col(f"{mean}_seen"), n)
+    average = DecayedMean(mean, F.col(tr), F.when(F.col(tr).isNotNull(), 1.0), alpha)
+    return Indicator((first,), back=1, temps=(tr,), means=(average,), finish=((name, out),))
 
 
 def macd(col: str = "close", fast: int = 12, slow: int = 26, name: str = "macd") -> Indicator:
     """Difference of two exponential means, each started at the first value of the series."""
 
-    def stage(ctx):
-        def ema(length: int) -> Column:
-            alpha = 2.0 / (length + 1)
-            seeded = F.when(F.col(ctx.pos) == 0, F.col(col) / alpha).otherwise(F.col(col))
-            return alpha * ctx.ewm_sum(seeded, alpha)
+    def ema(which: str, length: int) -> DecayedMean:
+        alpha = 2.0 / (length + 1)
+        weight = F.when(F.col("pos") == 0, 1.0).otherwise(alpha)
+        return DecayedMean(f"_m_{name}_{which}", F.col(col) * weight, weight, alpha)
 
-        return {name: F.when(F.col(ctx.pos) >= slow - 1, ema(fast) - ema(slow))}
+    def stage(ctx):
+        return {}
 
-    return Indicator((stage,), back=ewm_reach(2.0 / (slow + 1)))
+    means = (ema("fast", fast), ema("slow", slow))
+    out = F.when(F.col("pos") >= slow - 1, F.col(means[0].name) - F.col(means[1].name))
+    return Indicator((stage,), back=0, means=means, finish=((name, out),))
 
 
 def horizon_returns(

@@ -82,6 +82,32 @@ def test_smoothing_equals_recursion(series, block):
         assert np.allclose(mine["macd"], (fast - slow).where(np.arange(len(part)) >= 25), equal_nan=True)
 
 
+@pytest.mark.parametrize("block", [50, 2048])
+@pytest.mark.parametrize("n", [1, 2, 3, 20])
+def test_smoothing_over_flat_stretches_and_null_gaps(spark, block, n):
+    """A long stretch without change keeps the share of rises; history is never cut at a block's border."""
+    rng = np.random.default_rng(n)
+    close = [float(x) for x in 100 + np.cumsum(rng.normal(0, 1, 300))]
+    close += [close[-1]] * 5000 + [close[-1] + float(x) for x in np.cumsum(rng.normal(0, 1e-3, 50))]
+    close += [None] * 3000 + [close[-1] + 1.0, close[-1] - 2.0, close[-1] - 1.0]
+    days = [dt.date(1990, 1, 1) + dt.timedelta(days=i) for i in range(len(close))]
+    df = spark.createDataFrame([("a", d, c) for d, c in zip(days, close)], "ticker string, date date, close double")
+    got = in_order(ind.apply_indicators(index_series(df, ["ticker"], "date"), [ind.rsi(n=n)], block=block), "rsi")["rsi"]
+    up = down = seen = 0
+    before, gap, expected = None, 0, []
+    for c in close:
+        gap += 1
+        change = None if c is None or before is None else c - before
+        if change is not None:
+            seen += 1
+        if change:
+            decay = (1 - 1 / n) ** gap
+            up, down, gap = up * decay + max(change, 0), down * decay + max(-change, 0), 0
+        expected.append(100 * up / (up + down) if seen >= n and up + down > 0 else np.nan)
+        before = c
+    assert np.allclose(got.astype(float), expected, equal_nan=True, atol=1e-6)
+
+
 def test_future_rows_change_nothing(spark, series):
     _, pdf = series
     cut = dt.date(2002, 1, 1)
