@@ -24,9 +24,9 @@ from marketseries.session import cut_lineage
 #: Length of the strings that are hashed, as shares of ``length``, by level; a hot anchor goes to the next level.
 ANCHOR_SHARES = (0.3, 0.15, 0.06)
 #: Bytes of a shard, and of the places of one anchor from which on they are dealt out by another one.
-SHARD_BYTES, HOT_BYTES = 6_000_000, 12_000_000
+SHARD_BYTES, HOT_BYTES = 4_000_000, 12_000_000
 #: Rows with whole texts, and bytes of text, that are worked on at once.
-DOCUMENT_ROWS, SLICE = 1000, 1_000_000
+DOCUMENT_ROWS, SLICE = 1000, 300_000
 _RUNS = "rid binary, h long, p0 int, p1 int, again boolean"
 
 
@@ -38,7 +38,8 @@ def _anchors(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int,
     none = np.zeros(0, np.int64)
     if n <= 0:
         return none, none, none, none, none.astype(bool)
-    g = PrefixHash(data).of(np.arange(len(data) - k + 1), k)
+    hashed = PrefixHash(data)
+    g = (hashed.sums[k:] - hashed.sums[:-k]) * hashed.back[: len(data) - k + 1]
     g = (g ^ (g >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * level)
     g ^= g >> np.uint64(32)
     least, span = g, 1
@@ -47,20 +48,22 @@ def _anchors(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int,
         span *= 2
     if span < width:
         least = np.minimum(least[: n], least[width - span : width - span + n])
-    owner = np.searchsorted(begin, np.arange(n), "right") - 1
-    inside = np.arange(n) + length <= end[owner]
+    owner = np.repeat(np.arange(len(begin), dtype=np.int32), end - begin)[:n]
+    inside = np.zeros(n, bool)
+    for a, b in zip(begin.tolist(), end.tolist()):
+        inside[a : max(a, b - length + 1)] = True
     if not inside.any():
         return none, none, none, none, none.astype(bool)
     new = inside & np.concatenate([[True], (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]])
-    run = np.cumsum(new) - 1
+    run = np.cumsum(new, dtype=np.int64) - 1
     first = np.flatnonzero(new)
     last = np.append(first[1:], n) - 1
     last = np.minimum(last, end[owner[first]] - length)
     # an anchor at two places of a run: where a run's least hash stands at a start, or at the end of the span of one
     ahead = np.flatnonzero(inside & (g[:n] == least))
     behind = np.flatnonzero(inside & (g[width - 1 : width - 1 + n] == least))
-    places = np.unique(np.concatenate([np.stack([run[ahead], ahead], 1), np.stack([run[behind], behind + width - 1], 1)]), axis=0)
-    again = np.bincount(places[:, 0], minlength=len(first)) > 1
+    places = np.unique(np.concatenate([run[ahead] * len(g) + ahead, run[behind] * len(g) + behind + width - 1]))
+    again = np.bincount(places // len(g), minlength=len(first)) > 1
     own = owner[first]
     return own, least[first].view(np.int64), first - begin[own], last - begin[own], again
 

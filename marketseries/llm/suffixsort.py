@@ -77,7 +77,7 @@ class BucketQueue:
                 self.read[key] += n
                 yield rows
             elif self.rows[key]:
-                rows = self.rows[key].pop(0)
+                rows, self.rows[key] = np.concatenate(self.rows[key]), []
                 self.held -= rows.nbytes
                 yield rows
             else:
@@ -142,15 +142,27 @@ def _types(text: np.ndarray) -> np.ndarray:
 
 def _run_lengths(text: np.ndarray) -> np.ndarray:
     change = np.append(np.flatnonzero(text[1:] != text[:-1]) + 1, len(text))
-    return change[np.searchsorted(change, np.arange(len(text)), "right")] - np.arange(len(text))
-
-
-def _rank(keys: np.ndarray) -> tuple[np.ndarray, int]:
-    order = np.argsort(keys, kind="stable")
-    new = np.concatenate([[0], np.cumsum(keys[order][1:] != keys[order][:-1])])
-    out = np.empty(len(keys), np.int64)
-    out[order] = new
-    return out, int(new[-1]) + 1
+    return np.repeat(change, np.diff(np.append(0, change))) - np.arange(len(text))
+
+
+def _doubled(rank: np.ndarray, most: int) -> np.ndarray:
+    """Order of the suffixes of a string of names by their first ``most`` names at least; only ties are sorted again."""
+    n = len(rank)
+    order = np.argsort(rank, kind="stable")
+    active, key, reach = np.arange(n), rank[order], 1
+    place = np.empty(n, np.int64)
+    while True:
+        head = np.append(True, key[1:] != key[:-1])
+        place[order[active]] = active[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
+        active = active[~(head & np.append(head[1:], True))]
+        if not len(active) or reach > most:
+            return order
+        own = order[active]
+        ahead = np.where(own + reach < n, place[np.minimum(own + reach, n - 1)] + 1, 0)
+        key = place[own] << np.int64(32) | ahead
+        by = np.argsort(key, kind="stable")
+        order[active], key = own[by], key[by]
+        reach *= 2
 
 
 def _induced(text, small, lms, common, memory) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -225,14 +237,8 @@ def sorted_suffixes(text: np.ndarray, depth: int, memory: int = 64_000_000) -> I
     new[1:] |= (order == lms[-1])[:-1]
     name = np.empty(len(text), np.int64)
     name[order] = np.cumsum(new) - 1
-    rank, kinds, reach = name[lms], int(new.sum()), 1
     # a name stands for two bytes at least that the next does not share
-    while kinds < len(lms) and reach <= depth // 2:
-        ahead = np.zeros(len(lms), np.int64)
-        ahead[:-reach] = rank[reach:] + 1
-        rank, kinds = _rank(rank << np.int64(32) | ahead)
-        reach *= 2
-    order = lms[np.argsort(rank, kind="stable")]
+    order = lms[_doubled(name[lms], depth // 2)]
     left, right = order[:-1], order[1:]
     most = np.minimum(depth, len(text) - np.maximum(left, right))
     low, high = np.zeros(len(left), np.int64), most
