@@ -104,14 +104,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _on_lists(rows: DataFrame, index: Index, ratio: float, least: int, most: int | None, schema: str) -> DataFrame:
+def _on_lists(rows: DataFrame, index: Index, ratio: float, least: int, most: int | None, beam: int, schema: str) -> DataFrame:
     """One row for each list that a row belongs to; the last column of ``rows`` is the vector."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
-                ids, far = index.search(unit(_matrix(batch.column(batch.num_columns - 1))))
+                ids, far = index.search(unit(_matrix(batch.column(batch.num_columns - 1))), beam)
                 take = far <= ratio * far[:, :1] + 1e-9
                 take[:, :least] = True
                 take &= ids >= 0
@@ -180,13 +180,15 @@ def nearest(
         F.sort_array(F.collect_list("vec_id")).alias("ids"))  # k + 1 keys at most
     entries = cut_lineage(entries.select("ids", "vector"), "entries")
     total = entries.count()
-    rows = entries.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).select("vector").limit(sample).toArrow()
+    # hashes are even, so a little more than the sample lies under this bound and little else is sent to be ordered
+    mark, bound = F.xxhash64(F.col("ids")[0]), int((1.2 * sample / max(total, 1.2 * sample) - 0.5) * 2**64)
+    rows = entries.filter(mark <= min(bound, 2**63 - 1)).orderBy(mark, F.col("ids")[0]).select("vector").limit(sample).toArrow()
     index = fit(_matrix(rows.column(0)), int(min(MOST_LISTS, max(1, total // per_list), max(1, len(rows) // 4))))
 
     kind = "vector array<double>"
-    members = cut_lineage(_on_lists(entries, index, REPLICA_RATIO, 1, REPLICAS, "ids array<long>, " + kind), "members")
+    members = cut_lineage(_on_lists(entries, index, REPLICA_RATIO, 1, REPLICAS, BEAM // 4, "ids array<long>, " + kind), "members")
     asked = valid.filter(queries).select(F.col("vec_id").alias("query_id"), "vector").distinct()
-    asked = cut_lineage(_on_lists(asked, index, PROBE_RATIO, PROBES, None, "query_id long, " + kind), "asked")
+    asked = cut_lineage(_on_lists(asked, index, PROBE_RATIO, PROBES, None, BEAM, "query_id long, " + kind), "asked")
     block = lambda rows, size, name: rows.groupBy("list").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
     blocks = block(members, MEMBER_BLOCK, "_m").join(block(asked, QUERY_BLOCK, "_q"), "list")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
