@@ -1,12 +1,17 @@
-"""Size of the Arrow batches that a job sends to its Python workers."""
+"""Memory of Python workers: the size of the Arrow batches they get, and what they keep between tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
+#: What a worker keeps for later tasks of the same kind, by kind, and how it lets go of it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -19,3 +24,27 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_ROWS, held)
+
+
+def keeps(kind: str, clear: Callable[[], None]) -> None:
+    """Registers tables that a worker keeps from task to task while it does work of this kind."""
+    _KEPT[kind] = clear
+
+
+@contextmanager
+def worker_task(kind: str) -> Iterator[None]:
+    """In a worker: drops what was kept for work of other kinds, and gives freed memory back to the system at the end.
+
+    Workers outlive their tasks, so that the tables of one operator would else stand beside those of the next.
+    """
+    for other, clear in _KEPT.items():
+        if other != kind:
+            clear()
+    try:
+        yield
+    finally:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # only some C libraries have it
+            pass

@@ -14,6 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketseries.llm.batches import keeps, worker_task
 from marketseries.llm.words import SLICE, WordTable, flattened, slices
 
 #: Arcs that a worker keeps, once looked up.
@@ -184,6 +185,7 @@ class WordBpe(WordTable):
 
 
 _encoders: dict[str, WordBpe] = {}
+keeps("bpe", _encoders.clear)
 
 
 def word_bpe(path: str) -> WordBpe:
@@ -193,11 +195,12 @@ def word_bpe(path: str) -> WordBpe:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], path: str):
-    enc = word_bpe(path)
-    for batch in batches:
-        texts = batch.column("text")
-        for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), SLICE // 2):
-            yield enc, batch.column("doc_id").slice(a, b - a), *enc.encode(texts.slice(a, b - a))
+    with worker_task("bpe"):
+        enc = word_bpe(path)
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), SLICE // 2):
+                yield enc, batch.column("doc_id").slice(a, b - a), *enc.encode(texts.slice(a, b - a))
 
 
 def _rows(docs: DataFrame) -> DataFrame:

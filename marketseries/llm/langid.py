@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketseries.llm.batches import keeps, worker_task
 from marketseries.llm.words import text_slices
 
 #: Labelled rows per language, characters of each, and characters in all that a language's automaton is built on.
@@ -101,11 +102,14 @@ class Automaton:
         return count + (state > 0)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def automata(references: tuple[str, ...]) -> list[Automaton]:
     return [Automaton(np.array(list(map(ord, r)), np.uint32)) for r in references]
 
 
+keeps("language", automata.cache_clear)
+
+
 def cross_entropies(texts: list[np.ndarray], machines: list[Automaton]) -> np.ndarray:
     """Phrases * log2(reference length) / characters of every normalised text, by language."""
     size = np.array([len(t) for t in texts])
@@ -159,11 +163,15 @@ def identify(docs: DataFrame, known: dict[str, str]) -> DataFrame:
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with worker_task("language"):
+            yield from predicted(batches)
+
+    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = automata(texts)
         for batch in batches:
             own = batch.column(len(kept)).to_pylist()
             lang, score = [UNDETERMINED] * len(own), [0.0] * len(own)
-            for a, b in text_slices([t or "" for t in own], 8_000_000):
+            for a, b in text_slices([t or "" for t in own], 3_000_000):
                 norm = [normalised(t or "") for t in own[a:b]]
                 rows = [i for i, t in enumerate(norm) if (t != 32).any()] if names else []
                 if not rows:

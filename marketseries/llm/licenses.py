@@ -200,8 +200,10 @@ def _pairs(words: np.ndarray) -> set[int]:
 
 def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[str]:
     """Paragraphs of the bounded sample for ``none``: the ``rows`` rows with the least key hashes, without notices."""
-    sample = docs.filter("doc_id is not null and text is not null").select("doc_id", F.substring(F.col("text").cast("string"), 1, 20000).alias("text"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()
+    some = docs.filter("doc_id is not null and text is not null")
+    ids = [r["doc_id"] for r in some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+    sample = some.filter(F.col("doc_id").isin(ids)).select("doc_id", F.substring(F.col("text").cast("string"), 1, 20000).alias("text"))
+    sample = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["text"]))
     found = [p for r in sample for p in [x for x in r["text"].split("\n") if x.strip()][:BACKGROUND_PARAGRAPHS]]
     return [p for p in found if not any(w in p.lower() for w in ("licen", "copyright", "all rights", "redistribut"))]
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketseries.llm.batches import arrow_rows
+from marketseries.llm.batches import arrow_rows, worker_task
 from marketseries.llm.bitmap import with_maybe
 from marketseries.llm.components import components
 from marketseries.llm.words import text_slices
@@ -122,6 +122,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, set_key (equal for equal sets; null for empty ones) and sketch of every row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with worker_task("sets"):
+            yield from made(batches)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in text_slices([t or "" for t in texts], 500_000):

@@ -8,11 +8,14 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from marketseries.llm.batches import keeps
+
 _rng = np.random.default_rng(400)
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 _power_tables: dict[int, np.ndarray] = {}
+keeps("suffixes", _power_tables.clear)
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:

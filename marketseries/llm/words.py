@@ -8,17 +8,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from marketseries.llm.batches import keeps, worker_task
+
 #: Texts that are not cut at spaces: a space within or at the end of a run of white space, rare white space, NUL.
 _WHOLE = (
     r"[ \t\n\r\f] [ \t\n\r\f]|[ \t\n\r\f] $"
     r"|[\x{00}\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 #: Words a worker keeps; beyond it those are kept that came again.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 500_000
 #: Bytes of text encoded at once.
-SLICE = 8_000_000
+SLICE = 5_000_000
 
 _encoders: dict[str, "WordEncoder"] = {}
+keeps("words", _encoders.clear)
 
 
 class WordTable:
@@ -173,8 +176,9 @@ def text_slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
 
 def encoded(batches: Iterable[pa.RecordBatch], key: str, path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """Keys, ids and starts of some documents at a time; columns are the key and ``text`` (null: empty)."""
-    enc = encoder(path)
-    for batch in batches:
-        keys, texts = batch.column(key).to_pylist(), batch.column("text")
-        for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), SLICE):
-            yield keys[a:b], *enc.encode(texts.slice(a, b - a))
+    with worker_task("words"):
+        enc = encoder(path)
+        for batch in batches:
+            keys, texts = batch.column(key).to_pylist(), batch.column("text")
+            for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), SLICE):
+                yield keys[a:b], *enc.encode(texts.slice(a, b - a))
