@@ -37,15 +37,21 @@ def weighted_returns(weights: DataFrame, returns: DataFrame, ret: str = "ret", d
 
 
 def log_compound(ret: Column) -> Column:
-    """Growth in logs; null for a return at or under -1, which adds nothing and has no value of its own."""
+    """Growth in logs; null for a return at or under -1, which adds nothing to a sum."""
     return F.log1p(ret)
 
 
 def compounded(df: DataFrame, cols: dict[str, str], date: str = "date", every: str = "year") -> DataFrame:
-    """exp(running sum of ln(1+r)) - 1 for each named return column."""
+    """exp(running sum of ln(1+r)) - 1 for each named return column.
+
+    A return of exactly -1 is a total loss: the result is -1 from there on. It is null where r is null or under -1.
+    """
     sums = {name: log_compound(F.col(c)) for name, c in cols.items()}
-    out = running_sum(df, [], date, sums, every)
-    return out.withColumns({n: F.when(log_compound(F.col(c)).isNotNull(), F.exp(n) - 1) for n, c in cols.items()})
+    lost = {f"_lost_{name}": F.when(F.col(c) == -1, 1.0) for name, c in cols.items()}
+    out = running_sum(df, [], date, {**sums, **lost}, every)
+    return out.withColumns({
+        n: F.when(F.col(c) >= -1, F.when(F.col(f"_lost_{n}") > 0, -1.0).otherwise(F.exp(n) - 1)) for n, c in cols.items()
+    }).drop(*lost)
 
 
 def compare_benchmark(portfolio: DataFrame, benchmark: DataFrame, date: str = "date") -> DataFrame:

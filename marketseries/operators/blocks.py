@@ -271,12 +271,16 @@ def _value_counts(df: DataFrame, by: Sequence[str], col: str, halvings: int) ->
 def average_rank(
     df: DataFrame, by: Sequence[str], col: str, name: str = "rank", descending: bool = True, halvings: int = 8
 ) -> DataFrame:
-    """Rank inside each group, ties share their mean rank, a null value has a null rank."""
+    """Rank inside each group, ties share their mean rank, a null value has a null rank.
+
+    Ranks come back by a plain join on group and value: there is about one rank for each row, so copies for salts would
+    cost more than they save, and Spark splits the partition of a value that many rows share.
+    """
     by = list(by)
     values = _value_counts(df, by, col, halvings)
     smaller = F.col("_total") - F.col("_below") - F.col("_n") if descending else F.col("_below")
     ranks = values.select(*by, col, (smaller + (F.col("_n") + 1) / 2.0).alias(name))
-    return join_group_stats(df, ranks, [*by, col], "left")
+    return df.join(ranks, [*by, col], "left").select(*df.columns, name)
 
 
 def exact_quantiles(

@@ -7,6 +7,7 @@ spread like many short ones; per series only a small matrix is solved.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -77,8 +78,20 @@ def pacf(df: DataFrame, lags: int, keys: Sequence[str] = ("series_id",), ts: str
     return ordered.select(*keys, F.posexplode(partial("_r")).alias("lag", "pacf"))
 
 
-def adf_lag_limit(n: int) -> int:
-    return int(np.ceil(12.0 * (n / 100.0) ** 0.25))
+#: Response surface of the unit-root statistic with a constant, and where it holds.
+UNIT_ROOT_SMALL = (2.1659, 1.4412, 0.038269)
+UNIT_ROOT_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+UNIT_ROOT_LEAST, UNIT_ROOT_BREAK, UNIT_ROOT_MOST = -18.83, -1.61, 2.74
+
+
+def unit_root_p_value(stat: float) -> float:
+    """Probability of a smaller statistic under a unit root."""
+    if stat > UNIT_ROOT_MOST:
+        return 1.0
+    if stat < UNIT_ROOT_LEAST:
+        return 0.0
+    surface = UNIT_ROOT_SMALL if stat <= UNIT_ROOT_BREAK else UNIT_ROOT_LARGE
+    return 0.5 * math.erfc(-sum(c * stat**k for k, c in enumerate(surface)) / math.sqrt(2))
 
 
 def adf(
@@ -89,59 +102,76 @@ def adf(
     max_lag: int | None = None,
     every: str = "month",
 ) -> DataFrame:
-    """Unit-root regression with a constant; lag length by AIC over a common sample.
+    """Unit-root regression with a constant; lag length by AIC over the sample that all lags share.
 
-    Scaling y does not change the statistic and keeps the sums well conditioned.
-    The p-value is interpolated between the 1, 5 and 10 % points: approximate.
+    Each series has its own longest lag, by its length (or ``max_lag``), and the chosen lag is fitted again on all rows
+    that it leaves, so a series' result doesn't depend on the others. Scaling y does not change the statistic and keeps
+    the sums well conditioned. The p-value is that of a published response surface.
     """
     keys = list(keys)
-    if max_lag is None:
-        longest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        max_lag = adf_lag_limit(longest)
     rows = index_series(_deviations(df, keys, y, scaled=True), keys, ts, every)
+    if max_lag is None:
+        own = F.ceil(12.0 * F.pow(F.col("n_obs") / 100.0, F.lit(0.25))).cast("int")
+        longest = rows.agg(F.max(own)).first()[0] or 0
+    else:
+        own, longest = F.lit(max_lag), max_lag
+    rows = rows.withColumn("_limit", own)
 
     def level(ctx):
         return {"_y1": F.lag("_z", 1).over(ctx.w)}
 
     def change(ctx):
-        return {"_d": F.col("_z") - F.col("_y1")}
+        return {"_d": F.when(F.col("pos") == 0, 0.0).otherwise(F.col("_z") - F.col("_y1"))}
 
     def lags(ctx):
-        return {f"_d{k}": F.lag("_d", k).over(ctx.w) for k in range(1, max_lag + 1)}
+        # zero before the start, so that lags beyond the series' own limit take no rows away
+        return {f"_d{k}": F.lag("_d", k, 0.0).over(ctx.w) for k in range(1, longest + 1)}
 
-    lagged = over_blocks(rows, keys, [level, change, lags], back=max_lag + 1).withColumn("_one", F.lit(1.0))
-    cols = ["_one", "_y1", *[f"_d{k}" for k in range(1, max_lag + 1)], "_d"]
+    cols = ["_one", "_y1", *[f"_d{k}" for k in range(1, longest + 1)], "_d"]
     width = len(cols)
-    # the rule a single series of this length would use keeps short series out of long lags
-    @F.pandas_udf("stat double, lags int, nobs long, p_approx double")
-    def test(flat: pd.Series, n: pd.Series) -> pd.DataFrame:
+
+    def sums(limited: DataFrame) -> DataFrame:
+        lagged = over_blocks(limited, keys, [level, change, lags], back=longest + 1).withColumn("_one", F.lit(1.0))
+        return gram(lagged.filter(F.col("pos") > F.col("_limit")), keys, cols)
+
+    def fitted(full: np.ndarray, k: int, count: int):
+        pick = [*range(2 + k), width - 1]
+        sub = full[np.ix_(pick, pick)]
+        fit = ols_from_gram(sub)
+        return None if fit is None or count <= k + 2 or fit[1] <= 0 else (sub, fit)
+
+    @F.pandas_udf("int")
+    def choose(flat: pd.Series, n: pd.Series, limit: pd.Series) -> pd.Series:
         out = []
-        for values, count in zip(flat, n):
+        for values, count, most in zip(flat, n, limit):
             full = np.asarray(values, dtype=float).reshape(width, width)
-            best = None
-            for k in range(max_lag + 1):
-                pick = [*range(2 + k), width - 1]
-                sub = full[np.ix_(pick, pick)]
-                fit = ols_from_gram(sub)
-                if fit is None or count <= k + 2 or fit[1] <= 0:
-                    continue
-                aic = count * (np.log(2 * np.pi) + np.log(fit[1] / count) + 1.0) + 2.0 * (k + 2)
-                if best is None or aic < best[0]:
-                    unit = np.zeros(k + 2)
-                    unit[1] = 1.0
-                    spread = solve_symmetric(sub[:-1, :-1], unit)[1] * fit[1] / (count - k - 2)
-                    best = (aic, fit[0][1] / np.sqrt(spread), k)
-            if best is None:
-                out.append((None, None, int(count), None))
+            found = [(k, f) for k in range(int(most) + 1) if (f := fitted(full, k, count))]
+            aic = [(count * (np.log(2 * np.pi) + np.log(f[1][1] / count) + 1.0) + 2.0 * (k + 2), k) for k, f in found]
+            out.append(min(aic)[1] if aic else None)
+        return pd.Series(out, dtype="object")
+
+    @F.pandas_udf("stat double, p_value double")
+    def test(flat: pd.Series, n: pd.Series, lag: pd.Series) -> pd.DataFrame:
+        out = []
+        for values, count, k in zip(flat, n, lag):
+            found = fitted(np.asarray(values, dtype=float).reshape(width, width), int(k), count)
+            if found is None:
+                out.append((None, None))
                 continue
-            points = sorted((c, p) for p, c in ADF_CRITICAL.items())
-            p = float(np.interp(best[1], [c for c, _ in points], [p for _, p in points]))
-            out.append((float(best[1]), int(best[2]), int(count), p))
-        return pd.DataFrame(out, columns=["stat", "lags", "nobs", "p_approx"])
-
-    sums = gram(lagged, keys, cols).withColumn("_t", test("gram", "n"))
-    return sums.select(
-        *keys, "_t.stat", (F.col("_t.stat") < ADF_CRITICAL[0.05]).alias("reject_5pct"), "_t.lags", "_t.nobs", "_t.p_approx"
+            sub, fit = found
+            unit = np.zeros(int(k) + 2)
+            unit[1] = 1.0
+            spread = solve_symmetric(sub[:-1, :-1], unit)[1] * fit[1] / (count - k - 2)
+            stat = float(fit[0][1] / np.sqrt(spread))
+            out.append((stat, unit_root_p_value(stat)))
+        return pd.DataFrame(out, columns=["stat", "p_value"])
+
+    limits = rows.groupBy(*keys).agg(F.max("_limit").alias("_most"))
+    chosen = cut_lineage(sums(rows).join(limits, keys).select(*keys, choose("gram", "n", "_most").alias("lags")), "lags")
+    again = join_group_stats(rows.drop("_limit"), chosen.select(*keys, F.col("lags").alias("_limit")), keys)
+    done = sums(again.filter("_limit is not null")).join(chosen, keys).withColumn("_t", test("gram", "n", "lags"))
+    return done.select(
+        *keys, "_t.stat", (F.col("_t.stat") < ADF_CRITICAL[0.05]).alias("reject_5pct"), "lags", F.col("n").alias("nobs"), "_t.p_value"
     )
 
 

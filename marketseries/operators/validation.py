@@ -85,9 +85,11 @@ def grid_search(
     with ThreadPool(parallelism) as pool:
         scores = pool.map(score, [(i, f) for i in range(len(combos)) for f in numbers])
     kept.unpersist()
-    means = [sum(v for a, _, v in scores if a == i) / len(numbers) for i in range(len(combos))]
-    best = max(range(len(combos)), key=lambda i: means[i])
-    table = [(i, str(combos[i]), f, float(v), float(means[i]), i == best) for i, f, v in sorted(scores)]
+    # a fold without variance has no score; a combination with one counts as the worst
+    own = [[v for a, _, v in scores if a == i] for i in range(len(combos))]
+    means = [None if None in v else float(sum(v) / len(numbers)) for v in own]
+    best = max(range(len(combos)), key=lambda i: float("-inf") if means[i] is None else means[i])
+    table = [(i, str(combos[i]), f, v if v is None else float(v), means[i], i == best) for i, f, v in sorted(scores, key=lambda x: x[:2])]
     return (
         spark.createDataFrame(table, "combo int, params string, fold int, r2 double, mean_r2 double, best boolean"),
         combos[best],

@@ -233,15 +233,21 @@ def load_window_forecast(spark, root):
 
 @query("stationarity_report")
 def stationarity_report(spark, root):
-    """Unit-root test, first ten (partial) autocorrelations and the best ARIMA order, as one long table."""
+    """Unit-root test, first ten (partial) autocorrelations and the best ARIMA order, as one long table.
+
+    The unit-root test says whether the series is differenced; the other orders are chosen by AIC for that one, as
+    criteria of different data can't be compared.
+    """
     train = models.train_load(spark, root)
-    test = diagnostics.adf(train)
+    test = cut_lineage(diagnostics.adf(train), "unit-root")
     orders = diagnostics.order_search(train, [0, 1, 2, 5], [0, 1], [0, 1])
+    orders = orders.join(test.select("series_id", F.when(F.col("reject_5pct"), 0).otherwise(1).alias("d")), ["series_id", "d"])
     best = orders.groupBy("series_id").agg(F.min_by(F.struct("p", "d", "q", "aic"), "aic").alias("b"))
     parts = [
         test.select(F.explode(F.array(
             F.struct(F.lit("adf_stat").alias("name"), F.lit(0).alias("lag"), F.col("stat").alias("value")),
             F.struct(F.lit("adf_lags").alias("name"), F.lit(0).alias("lag"), F.col("lags").cast("double").alias("value")),
+            F.struct(F.lit("adf_p_value").alias("name"), F.lit(0).alias("lag"), F.col("p_value").alias("value")),
             F.struct(F.lit("adf_reject").alias("name"), F.lit(0).alias("lag"), F.col("reject_5pct").cast("double").alias("value")),
         ))).select("col.*"),
         diagnostics.acf(train, 10).select(F.lit("acf").alias("name"), "lag", F.col("acf").alias("value")),

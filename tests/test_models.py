@@ -175,7 +175,7 @@ def test_adf_statistic_matches_direct_regression(spark):
     row = diagnostics.adf(df, max_lag=3).first()
     k = row["lags"]
     d = np.diff(y)
-    t = np.arange(3, len(d))
+    t = np.arange(k, len(d))  # the chosen lag is fitted on all rows that it leaves
     x = np.column_stack([np.ones(len(t)), y[t], *[d[t - i] for i in range(1, k + 1)]])
     beta = np.linalg.lstsq(x, d[t], rcond=None)[0]
     s2 = ((d[t] - x @ beta) ** 2).sum() / (len(t) - x.shape[1])
@@ -184,6 +184,26 @@ def test_adf_statistic_matches_direct_regression(spark):
     assert row["reject_5pct"]
 
 
+def test_adf_of_a_series_does_not_depend_on_others(spark):
+    df, _ = noise_series(spark)
+    short = df.orderBy("ts").limit(60)
+    rng = np.random.default_rng(5)
+    walk = np.cumsum(rng.normal(size=4000))
+    days = pd.date_range("1990-01-01", periods=4000)
+    long = spark.createDataFrame([("walk", d.to_pydatetime(), float(v)) for d, v in zip(days, walk)], df.schema)
+    alone = diagnostics.adf(short).first()
+    both = {r["series_id"]: r for r in diagnostics.adf(short.unionByName(long)).collect()}
+    mine = both[alone["series_id"]]
+    assert (mine["lags"], mine["nobs"], mine["reject_5pct"]) == (alone["lags"], alone["nobs"], alone["reject_5pct"])
+    assert mine["stat"] == pytest.approx(alone["stat"], rel=1e-9) and alone["p_value"] == pytest.approx(mine["p_value"])
+    assert not both["walk"]["reject_5pct"] and both["walk"]["p_value"] > 0.05
+
+
+def test_unit_root_p_values():
+    found = [diagnostics.unit_root_p_value(x) for x in (-3.43, -2.86, -2.57, 0.0, 3.0, -20.0)]
+    assert np.allclose(found, [0.01, 0.05, 0.10, 0.9585, 1.0, 0.0], atol=1e-3)
+
+
 def test_arima_forecast_does_not_depend_on_chunks(spark):
     df, y = noise_series(spark)
     fit = diagnostics.arima_fit(df, 2, 1, 1)

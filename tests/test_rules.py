@@ -151,3 +151,12 @@ def test_malformed_timestamps_become_null(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_total_loss_is_for_good(spark):
+    from marketseries.operators import backtest
+
+    rows = [(dt.date(2000, 1, 1) + dt.timedelta(days=200 * i), r) for i, r in enumerate([0.1, -1.0, 0.2, None, -1.5, 0.3])]
+    df = spark.createDataFrame(rows, "date date, r double")
+    found = [x["c"] for x in backtest.compounded(df, {"c": "r"}).orderBy("date").collect()]
+    assert found[0] == pytest.approx(0.1) and found[1:] == [-1.0, -1.0, None, None, -1.0]
