@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketseries.llm.batches import arrow_rows
+from marketseries.llm.batches import arrow_rows, worker_task
 from marketseries.llm.bitmap import with_maybe
 from marketseries.llm.suffixsort import PrefixHash, sorted_suffixes
 from marketseries.llm.words import slices
@@ -24,7 +24,7 @@ from marketseries.session import cut_lineage
 #: Length of the strings that are hashed, as shares of ``length``, by level; a hot anchor goes to the next level.
 ANCHOR_SHARES = (0.3, 0.15, 0.06)
 #: Bytes of a shard, and of the places of one anchor from which on they are dealt out by another one.
-SHARD_BYTES, HOT_BYTES = 4_000_000, 12_000_000
+SHARD_BYTES, HOT_BYTES = 3_000_000, 3_000_000
 #: Rows with whole texts, and bytes of text, that are worked on at once.
 DOCUMENT_ROWS, SLICE = 1000, 300_000
 _RUNS = "rid binary, h long, p0 int, p1 int, again boolean"
@@ -78,13 +78,14 @@ def _runs(rows: DataFrame, length: int, level: int) -> DataFrame:
     """Runs of starts with one anchor, of rows (rid, body)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rid, bodies = batch.column("rid"), batch.column("body").to_pylist()
-            for a, b in slices([len(x) for x in bodies], SLICE):
-                own, h, p0, p1, again = _anchors(*_spread(bodies[a:b]), length, level)
-                yield pa.RecordBatch.from_arrays(
-                    [rid.take(pa.array(own + a)), pa.array(h), pa.array(p0, pa.int32()), pa.array(p1, pa.int32()), pa.array(again)],
-                    names=["rid", "h", "p0", "p1", "again"])
+        with worker_task("suffixes"):
+            for batch in batches:
+                rid, bodies = batch.column("rid"), batch.column("body").to_pylist()
+                for a, b in slices([len(x) for x in bodies], SLICE):
+                    own, h, p0, p1, again = _anchors(*_spread(bodies[a:b]), length, level)
+                    yield pa.RecordBatch.from_arrays(
+                        [rid.take(pa.array(own + a)), pa.array(h), pa.array(p0, pa.int32()), pa.array(p1, pa.int32()), pa.array(again)],
+                        names=["rid", "h", "p0", "p1", "again"])
 
     return rows.filter(F.octet_length("body") >= length).mapInArrow(find, _RUNS)
 
@@ -189,7 +190,12 @@ def repeated(rows: DataFrame, length: int, level: int = 0) -> DataFrame:
     shards = max(1, -(-total // SHARD_BYTES))
     dealt = bodies.withColumn("n", F.lit(0).cast("long")).unionByName(numbers.withColumn("body", F.lit(None).cast("binary")))
     dealt = dealt.select(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"), "key", "body", "n")
-    spans = dealt.groupBy("shard").applyInArrow(lambda t: _sort_shard(t, length), "key binary, a int, b int")
+
+    def sort(shard: pa.Table) -> pa.Table:
+        with worker_task("suffixes"):
+            return _sort_shard(shard, length)
+
+    spans = dealt.groupBy("shard").applyInArrow(sort, "key binary, a int, b int")
     if hot is not None:
         spans = spans.unionByName(deeper).unionByName(copied)
     spans = cut_lineage(spans, "spans")
