@@ -221,6 +221,14 @@ def _covered(size: int, spans: list | None, length: int) -> tuple[list[tuple[int
     return left, runs
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of some rows with whole texts, in a task that gives its memory back."""
+    with worker_task("suffixes"):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+
+
 def _marked(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Rows with ``rid``, ``body`` and ``spans`` that have repeated strings, or may have, and the surely clean ones."""
     rows = docs.withColumn("body", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
@@ -235,7 +243,7 @@ def byte_report(docs: DataFrame, length: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row, see :func:`remove_repeated`, byte by byte."""
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             out = []
             for key, body, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "body", "spans"))):
                 left, runs = _covered(len(body), spans, length)
@@ -266,18 +274,18 @@ def remove_repeated(docs: DataFrame, length: int = 400) -> DataFrame:
     names = docs.columns
 
     def clean_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = []
-            for text, body, spans in zip(*(batch.column(c).to_pylist() for c in ("_text", "_body", "_spans"))):
+            for known, body, spans in zip(*(batch.column(c).to_pylist() for c in ("_known", "_body", "_spans"))):
                 left, runs = _covered(len(body), spans, length)
-                kept = b"".join(body[a:b] for a, b in left)
-                texts.append(kept.decode("utf-8", "ignore") if runs else text)
+                kept = b"".join(body[a:b] for a, b in left) if runs else body
+                texts.append(kept.decode("utf-8", "ignore" if runs else "replace") if known else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == "text" else batch.column(f"_c{i}") for i, c in enumerate(names)], names=names)
 
     schema = docs.withColumn("text", F.col("text").cast("string")).select(*names).schema
     bare = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(names)], F.col("text").cast("string").alias("text"), F.col("doc_id"))
     marked, clean = _marked(bare, length)
-    own = [f"_c{i}" for i in range(len(names))]
-    changed = marked.select(*own, F.col("text").alias("_text"), F.col("body").alias("_body"), F.col("spans").alias("_spans")).mapInArrow(clean_up, schema)
+    own = [f"_c{i}" for i, c in enumerate(names) if c != "text"]
+    changed = marked.select(*own, F.col("text").isNotNull().alias("_known"), F.col("body").alias("_body"), F.col("spans").alias("_spans")).mapInArrow(clean_up, schema)
     return changed.unionByName(clean.select(*[F.col("text").alias(c) if c == "text" else F.col(f"_c{i}").alias(c) for i, c in enumerate(names)]))
