@@ -21,8 +21,9 @@ from marketseries.llm.suffixsort import PrefixHash, sorted_suffixes
 from marketseries.llm.words import slices
 from marketseries.session import cut_lineage
 
-#: Length of the strings that are hashed, as shares of ``length``, by level; a hot anchor goes to the next level.
-ANCHOR_SHARES = (0.3, 0.15, 0.06)
+#: Length of the strings that are hashed, as shares of ``length``, by level; a hot anchor goes to the next level, after
+#: the last one to whole strings. They grow, as a passage holds no anchor that is longer than itself.
+ANCHOR_SHARES = (0.3, 0.9)
 #: Bytes of a shard, and of the places of one anchor from which on they are dealt out by another one.
 SHARD_BYTES, HOT_BYTES = 3_000_000, 3_000_000
 #: Rows with whole texts, and bytes of text, that are worked on at once.
@@ -157,13 +158,53 @@ def _sort_shard(table: pa.Table, length: int) -> pa.Table:
                      "b": pa.array(b - begin[own], pa.int32())})
 
 
+def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Row, two hashes of the whole string, first and last start of each run of starts of equal strings."""
+    n = len(data) - length + 1
+    owner = np.repeat(np.arange(len(begin)), end - begin)[: max(0, n)]
+    start = np.arange(len(owner))
+    start = start[start + length <= end[owner]]
+    own = owner[start]
+    one, two = (PrefixHash(x).of(start, length) for x in (data, data ^ np.uint8(0xA5)))
+    new = np.ones(len(start), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (own[1:] != own[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start))[: len(first)] - 1
+    own = own[first]
+    return own, one[first].view(np.int64), two[first].view(np.int64), start[first] - begin[own], start[last] - begin[own]
+
+
+def _whole_strings(rows: DataFrame, length: int) -> DataFrame:
+    """What :func:`repeated` gives, by a join on the hashes (128 bits) of all strings, however many share an anchor."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with worker_task("suffixes"):
+            for batch in batches:
+                rid, bodies = batch.column("rid"), batch.column("body").to_pylist()
+                pieces = [(i, at, body[at : at + SLICE + length - 1])
+                          for i, body in enumerate(bodies) for at in range(0, len(body) - length + 1, SLICE)]
+                for a, b in slices([len(x) for _, _, x in pieces], SLICE):
+                    row, shift = (np.array(x, np.int64) for x in list(zip(*pieces[a:b]))[:2])
+                    own, h, h2, p0, p1 = _strings(*_spread([x for _, _, x in pieces[a:b]]), length)
+                    yield pa.RecordBatch.from_arrays(
+                        [rid.take(pa.array(row[own])), pa.array(h), pa.array(h2), pa.array(p0 + shift[own], pa.int32()), pa.array(p1 + shift[own], pa.int32())],
+                        names=["rid", "h", "h2", "p0", "p1"])
+
+    with arrow_rows(rows.sparkSession, DOCUMENT_ROWS):
+        runs = cut_lineage(rows.mapInArrow(find, "rid binary, h long, h2 long, p0 int, p1 int"), "strings")
+    twice = runs.groupBy("h", "h2").agg(F.sum(F.col("p1") - F.col("p0") + 1).alias("c")).filter("c > 1").select("h", "h2")
+    return runs.join(twice, ["h", "h2"]).select("rid", F.col("p0").alias("a"), (F.col("p1") + 1).alias("b")).distinct()
+
+
 def repeated(rows: DataFrame, length: int, level: int = 0) -> DataFrame:
     """(rid, a, b): starts from a to before b of the strings of ``length`` bytes of rows (rid, body) that occur again.
 
     ``rid`` is a 16-byte id; rows with equal ids must have equal bodies. Equal contexts are one entry with its number
     of copies. An anchor whose distinct contexts exceed :data:`HOT_BYTES` is not one shard: its contexts are texts
-    again, dealt out by anchors of another length.
+    again, dealt out by longer anchors and at last by whole strings, so that no shard outgrows its bound.
     """
+    if level == len(ANCHOR_SHARES):
+        return _whole_strings(rows, length)
     with arrow_rows(rows.sparkSession, DOCUMENT_ROWS):
         runs = cut_lineage(_runs(rows, length, level), "runs")
     counts = runs.groupBy("h").agg(F.count("*").alias("c"), F.max("again").alias("r"))
@@ -175,11 +216,9 @@ def repeated(rows: DataFrame, length: int, level: int = 0) -> DataFrame:
         found = cut_lineage(_contexts(texts, length), "contexts")
     numbers = found.groupBy("h", "key").agg(F.count("*").alias("n"))
     bodies = found.filter("body is not null").select("h", "key", "body")
-    hot = None
-    if level + 1 < len(ANCHOR_SHARES):
-        weight = bodies.groupBy("h").agg(F.sum(F.octet_length("body")).alias("bytes")).filter(F.col("bytes") > HOT_BYTES)
-        hot = cut_lineage(weight.select("h"), "hot")
-        hot = None if hot.isEmpty() else hot
+    weight = bodies.groupBy("h").agg(F.sum(F.octet_length("body")).alias("bytes")).filter(F.col("bytes") > HOT_BYTES)
+    hot = cut_lineage(weight.select("h"), "hot")
+    hot = None if hot.isEmpty() else hot
     if hot is not None:
         warm = bodies.join(hot, "h").select(F.col("key").alias("rid"), "body")
         deeper = repeated(cut_lineage(warm, "warm"), length, level + 1).withColumnRenamed("rid", "key")

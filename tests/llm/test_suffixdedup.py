@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -78,3 +79,35 @@ def test_kept_columns_and_characters(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "unique", "a"), (2, "head", "b"), (3, None, "c"), (4, "short", None)]
     assert suffixdedup.remove_repeated(docs.limit(0), 40).collect() == []
     assert suffixdedup.byte_report(docs.limit(0), 40).collect() == []
+
+
+def test_no_shard_outgrows_its_bound(spark, monkeypatch, tmp_path):
+    """One 300-byte passage in a third of the rows, with different text around it; one of 390 bytes in some others."""
+    sort = suffixdedup._sort_shard
+
+    def sized(table, length):
+        (tmp_path / uuid.uuid4().hex).write_text(str(sum(len(b) for b in table.column("body").to_pylist() if b)))
+        return sort(table, length)
+
+    monkeypatch.setattr(suffixdedup, "HOT_BYTES", 5_000)
+    monkeypatch.setattr(suffixdedup, "SHARD_BYTES", 10_000)
+    monkeypatch.setattr(suffixdedup, "_sort_shard", sized)
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    short, long = noise(300), noise(390)
+    texts = [noise(500) + (short if i % 3 == 0 else long if i % 3 == 1 and i < 250 else "") + noise(500) for i in range(500)]
+    texts += ["z" * 40_000, texts[0][200:900], "ab" * 20_000]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, suffixdedup.byte_report(docs, 400).collect()), key=str) == expected(rows, 400)
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sizes and max(sizes) <= 40_000, max(sizes)
+
+
+def test_long_rows_as_whole_strings(spark, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "SLICE", 50)
+    texts = [bytearray(b"xyz" * 60), bytearray(b"q" * 130 + b"xyz" * 7), bytearray(b"short")]
+    rows = spark.createDataFrame([(bytearray([i] * 16), t) for i, t in enumerate(texts)], "rid binary, body binary")
+    seen = Counter(bytes(t[i : i + 20]) for t in texts for i in range(len(t) - 19))
+    mine = {(r["rid"][0], i) for r in suffixdedup._whole_strings(rows, 20).collect() for i in range(r["a"], r["b"])}
+    assert mine == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 19) if seen[bytes(t[i : i + 20])] > 1}
