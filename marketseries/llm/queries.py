@@ -52,17 +52,19 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     from marketseries.llm import warc
-    from marketseries.session import scratch_path
+    from marketseries.session import cut_lineage, scratch_path
 
     folder = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), folder, least_bytes=1000)
     captures = warc.assemble(warc.read_records(spark, folder)).select(
         F.col("metadata.fields").getItem("pageId").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", "record_id", F.col("refers_to").alias("_to"))
-    target = captures.select(F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to"))
-    # captures that refer to nothing look themselves up, so that they are not all one null key
-    return captures.join(target, F.coalesce("_to", "record_id") == F.col("_id"), "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", F.when(F.col("_to").isNotNull(), F.col("refers_to")).alias("refers_to"))
+    captures = cut_lineage(captures, "captures")  # archives are read once
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    # equal rows of the table have equal record ids: one row for each id, so that repeats don't multiply the revisits
+    target = captures.filter("_to is null").groupBy(F.col("record_id").alias("_id")).agg(F.min("page_id").alias("refers_to"))
+    known = captures.filter("_to is not null").join(target, F.col("_to") == F.col("_id"), "left").select(columns)
+    return known.unionByName(captures.filter("_to is null").withColumn("refers_to", F.lit(None).cast("long")).select(columns))
 
 
 ORACLES["op6_warc"] = """

@@ -76,3 +76,15 @@ def test_query_as_sql(spark):
     mine = sorted(map(repr, (tuple(r) for r in queries.QUERIES["op6_warc"](spark, root).select(names).collect())))
     theirs = sorted(map(repr, con.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLES['op6_warc']})").fetchall()))
     assert mine == theirs
+
+
+def test_query_with_repeated_rows(spark, tmp_path):
+    """Repeated responses and revisits come back as often as they are there."""
+    rows = ROWS + [ROWS[2]] * 2 + [ROWS[0]] + [ROWS[10]] * 3 + [ROWS[4]]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = Counter(map(tuple, queries.QUERIES["op6_warc"](spark, str(tmp_path)).collect()))
+    assert found == expected(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    names = "page_id, payload_bytes, payload_digest, record_type, refers_to"
+    assert found == Counter(con.execute(f"SELECT {names} FROM ({queries.ORACLES['op6_warc']})").fetchall())
