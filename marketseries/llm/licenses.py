@@ -87,8 +87,8 @@ class Classifier:
     temperature: float
 
 
-def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of some paragraphs, and for each window its paragraph, first word and end."""
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of some lines, and the first word of each line and the end."""
     data = np.frombuffer(b" ".join([b"", *(t.translate(_SPACE) for t in texts), b""]), np.uint8)
     first = np.cumsum([1, *(len(t) + 1 for t in texts)])
     letter = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
@@ -96,13 +96,23 @@ def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     begin, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_P, len(data)), dtype=np.uint64)])
     words = _mixed((sums[end] - sums[begin]) * _powers(_P_INVERSE, len(data) + 1)[begin])
-    at = np.searchsorted(begin, first)
-    count = np.diff(at)
+    return words, np.searchsorted(begin, first)
+
+
+def _cut(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window of some stretches of words (from first to before last) its stretch, first word and end."""
     half = WINDOW // 2
+    count = last - first
     many = np.where(count > 0, np.maximum(1, -(-(count - half) // half)), 0)
-    owner = np.repeat(np.arange(len(texts)), many)
-    start = at[owner] + half * (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many))
-    return words, owner, start, np.minimum(start + WINDOW, at[owner + 1])
+    owner = np.repeat(np.arange(len(first)), many)
+    start = first[owner] + half * (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many))
+    return owner, start, np.minimum(start + WINDOW, last[owner])
+
+
+def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of some paragraphs, and for each window its paragraph, first word and end."""
+    words, at = _words(texts)
+    return words, *_cut(at[:-1], at[1:])
 
 
 def _grams(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,6 +208,24 @@ def _pairs(words: np.ndarray) -> set[int]:
     return set((words[:-1] * _P + words[1:]).tolist()) if len(words) > 1 else set(words.tolist())
 
 
+def _blocks(at: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First line and end of the stretches of two or more lines of one document without a line that has no words."""
+    full = np.diff(at) > 0
+    joined = full[1:] & full[:-1] & (document[1:] == document[:-1])
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], joined, [False]]).astype(np.int8)))
+    return edge[0::2], edge[1::2] + 1
+
+
+def _place(words: np.ndarray, template: set[int]) -> tuple[int, int]:
+    """First and last word of the stretch of a window that has most of a template's word pairs."""
+    pairs = (words[:-1] * _P + words[1:]).tolist()
+    hit = [i for i, p in enumerate(pairs) if p in template]
+    reach = len(template) + len(template) // 4
+    inside = [[j for j in hit if i <= j <= i + reach] for i in hit]
+    best = max(inside, key=lambda own: (len({pairs[j] for j in own}), own[0]))
+    return best[0], best[-1] + 1
+
+
 def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[str]:
     """Paragraphs of the bounded sample for ``none``: the ``rows`` rows with the least key hashes, without notices."""
     some = docs.filter("doc_id is not null and text is not null")
@@ -213,7 +241,9 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
 
     Paragraphs are lines, read in overlapping windows of :data:`WINDOW` words, of which the likeliest notice counts. A
     family is reported if the share of one of its templates' word pairs that the window has reaches :data:`CONFIRM`;
-    else the notice is ``unknown``, if it has some of any wording's word pairs. Null and empty texts have none; repeated rows repeat theirs.
+    else the notice is ``unknown``, if it has some of any wording's word pairs. A notice that is wrapped over lines, none
+    of them without words, is read in windows that cross them: it counts if a template confirms it, under its first line,
+    and its lines are no unknown notices of their own. Null and empty texts have none; repeated rows repeat theirs.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +257,8 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
             rows: list[tuple] = []
             for a, b in slices([len(t or "") for t in texts], 500_000):
                 paragraphs = [(i, n, p) for i in range(a, b) for n, p in enumerate((texts[i] or "").split("\n"))]
-                words, owner, start, end = _windows([p.encode("utf-8", "surrogatepass") for _, _, p in paragraphs])
+                words, at = _words([p.encode("utf-8", "surrogatepass") for _, _, p in paragraphs])
+                owner, start, end = _cut(at[:-1], at[1:])
                 if not len(start):
                     continue
                 chance = _scores(model, words, start, end)
@@ -244,6 +275,27 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                         continue
                     found = (family != UNKNOWN, float(notice[k]), family, near)
                     best[owner[k]] = max(best.get(owner[k], found), found)
+                first, last = _blocks(at, np.array([i for i, _, _ in paragraphs]))
+                _, start, end = _cut(at[first], at[last])
+                chance = _scores(model, words, start, end) if len(start) else np.zeros((0, none + 1))
+                wrapped: dict[int, tuple] = {}
+                for k in np.flatnonzero(1 - chance[:, none] >= NOTICE).tolist():
+                    inside = words[start[k] : end[k]]
+                    own = _pairs(inside)
+                    for family in TEMPLATES:
+                        for t in templates[family]:
+                            near = len(own & t) / len(t)
+                            if near < CONFIRM:
+                                continue
+                            a, b = (int(np.searchsorted(at, start[k] + w, "right")) - 1 for w in _place(inside, t))
+                            if a < b:
+                                found = (True, near, float(1 - chance[k, none]), family, b)
+                                wrapped[a] = max(wrapped.get(a, found), found)
+                for a, (_, near, probability, family, b) in wrapped.items():
+                    for line in range(a, b + 1):
+                        if line in best and not best[line][0]:
+                            del best[line]
+                    best.setdefault(a, (True, probability, family, near))
                 rows += [(keys[paragraphs[o][0]], paragraphs[o][1], f, p, n) for o, (_, p, f, n) in sorted(best.items())]
             columns = list(zip(*rows)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.float64())

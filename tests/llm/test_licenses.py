@@ -32,6 +32,22 @@ def test_wordings(spark, model):
     assert found(spark, model, []) == {}
 
 
+def test_wrapped_headers(spark, model):
+    """Standard headers with line breaks, as comments too; a blank line ends a notice."""
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n"
+           "in the Software without restriction, including without limitation the rights")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:")
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation, either version 3 of the License, or")
+    rows = [(1, "Copyright (c) 2020 Someone\n\n" + mit), (2, "# " + bsd.replace("\n", "\n# ")), (3, "/*\n * " + gpl.replace("\n", "\n * ") + "\n */"),
+            (4, "the old mill\n" * 30 + bsd + "\n" + "ran past the river\n" * 30), (5, "Released under\nthe MIT License.\n\nthe river\nLicensed under CC BY-NC 4.0."),
+            (6, "the river ran past\nthe old mill\n" * 20)]
+    mine = found(spark, model, rows)
+    wanted = {(1, 2): "MIT", (2, 0): "BSD", (3, 1): "GPL", (4, 30): "BSD", (5, 0): "MIT", (5, 4): "CC-BY-NC"}
+    assert {k: mine.get(k) for k in wanted} == wanted
+    assert {f for k, f in mine.items() if k not in wanted} <= {"unknown"} and not any(k[0] == 6 for k in mine)
+
+
 def test_query_against_patterns(spark):
     """Every line that names a licence is found with its family, others hardly ever."""
     root = "/root/testdata/sf0.01"
