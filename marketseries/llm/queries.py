@@ -128,3 +128,17 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.train(licenses.background(docs)))
+
+
+@query
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.exactdup import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_exact_duplicates"] = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
+     g AS (SELECT *, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
+"""
