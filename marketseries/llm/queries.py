@@ -142,3 +142,40 @@ WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
      g AS (SELECT *, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
 """
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults that a hash of conversation and turn decides; nulls are one space."""
+    from pyspark.sql import functions as F
+
+    def spaced(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    rows = conversations.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"),
+                                (F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))) % 20).alias("_fault"))
+    text = F.when(F.col("_fault") == 1, "").when(F.col("_fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("_fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("_fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = rows.filter("_fault <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("_copy"))
+    return rows.drop("_copy")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hashlib import sha256
+
+    from pyspark.sql import functions as F
+
+    from marketseries.llm import convrepair
+    from marketseries.session import cut_lineage
+
+    given = table(spark, sf_dir, "conversations")
+    rows = damaged(given)
+    report = cut_lineage(convrepair.conversation_report(rows), "report")
+    hashes = convrepair.repaired_digests(rows, report)
+    out = given.select("conv_id").distinct()
+    for part in (report, hashes):
+        part = part.withColumnRenamed("conv_id", "_conv")
+        out = out.join(part, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    counts = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    return out.fillna(counts | {"audit": "", "repaired_sha256": sha256().hexdigest()})
