@@ -81,9 +81,11 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = digest128
     lead = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     repeated = found.filter(lead).groupBy(F.col("text_sha256").alias("_sha"))
     repeated = repeated.agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    found = found.join(repeated, lead & (F.col("text_sha256") == F.col("_sha")), "left")
-    kept = lead & (F.col("_first").isNull() | (F.col("_row") == F.col("_first")))
-    return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    leading = found.filter(lead).join(repeated, F.col("text_sha256") == F.col("_sha"), "left")
+    kept = F.col("_first").isNull() | (F.col("_row") == F.col("_first"))
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    rest = found.filter(~lead).withColumn("kept", F.lit(False))
+    return leading.withColumn("kept", kept).select(columns).unionByName(rest.select(columns))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
