@@ -179,3 +179,30 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = out.join(part, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
     counts = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
     return out.fillna(counts | {"audit": "", "repaired_sha256": sha256().hexdigest()})
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketseries.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+     d AS (SELECT doc_id, len(terms) AS n, terms FROM words WHERE len(terms) > 0),
+     s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+     p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM d) GROUP BY doc_id, n, term),
+     asked AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+     q AS (SELECT item_id, term, count(*) AS times FROM (
+               SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM asked) GROUP BY item_id, term),
+     w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s
+           WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+     scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+                FROM p, s, q, w WHERE p.term = q.term AND p.term = w.term GROUP BY item_id, doc_id),
+     ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+                FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
