@@ -203,8 +203,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Documents are linked where ``100 * |A & B| >= percent * |A | B|`` over their sets of word shingles (see
     :func:`shingle_sets`); a component is named by its least doc_id, the one that is kept. Documents with an empty
-    set (null text, no words) are linked with nothing. Rows of one doc_id share its component. Other columns are
-    not read.
+    set (null text, no words) are linked with nothing. Rows of one doc_id are linked with each other, whatever their texts;
+    rows without doc_id are left out, as nothing could name them. Other columns are not read.
 
     Documents with equal sets are one node. Bands of equal registers propose links: first of every document with
     the least and the greatest document of its band, which joins groups of copies in a number of comparisons in
@@ -232,6 +232,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     likely = cut_lineage(_likely(pairs, nodes, least), "pairs")
     with arrow_rows(spark, PAIR_ROWS):
         links = cut_lineage(_confirmed(likely, docs, words, percent), "links")
+    several = own.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    several = cut_lineage(several, "repeated")  # ids of several rows
+    repeated = not several.isEmpty()
+    if repeated:
+        sets = own.join(several, "doc_id").join(classes, "set_key").select("doc_id", "rep").distinct()
+        links = links.unionByName(sets.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     roots = components(links)
 
     with arrow_rows(spark, DOCUMENT_ROWS):
@@ -241,6 +247,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     out = own.join(classes, "set_key", "left").join(roots, F.col("rep") == F.col("id"), "left")
     root = F.coalesce("root", "rep", "doc_id")
+    if repeated:  # a row with an empty set has no class, but may share its doc_id with one that has
+        least = out.join(several, "doc_id").groupBy("doc_id").agg(F.min(root).alias("_least"))
+        out, root = out.join(least, "doc_id", "left"), F.coalesce("_least", root)
     return out.select("doc_id", "n_shingles", root.alias("component_id"), (F.col("doc_id") == root).alias("kept"))
 
 

@@ -85,6 +85,13 @@ def test_repeated_rows_and_empty_table(spark):
     assert neardup.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_rows_of_one_id_share_a_component(spark):
+    rows = [(3, "a b c d e"), (5, "a b c d e"), (5, "p q r s t"), (8, "p q r s t"), (6, None), (6, "p q r s t"), (7, "u v w x y"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs, 4).select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(tuple, found)) == sorted((d, 7 if d == 7 else 3, d in (3, 7)) for d, _ in rows)
+
+
 def test_likelihood_estimate():
     rng = np.random.default_rng(3)
     for true in (0.3, 0.8, 0.95):
