@@ -281,6 +281,9 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
     found = _files(spark, path).mapInArrow(index, "file string, at long, doc_id long, n_tokens long, ids_crc32 long")
     found = cut_lineage(found, "tokens")
-    totals = found.groupBy("file").agg(F.sum("n_tokens").alias("_ids"))  # one row for each file
-    before = totals.select("file", (F.sum("_ids").over(Window.orderBy("file")) - F.col("_ids")).alias("_before"))
+    # files in the order of what they hold, as their names sort by number only up to the digits they are padded to;
+    # where one doc_id fills several files, they may stand in any order between the one it begins in and that it ends in
+    totals = found.groupBy("file").agg(F.sum("n_tokens").alias("_ids"), F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"))
+    in_order = Window.orderBy("_lo", "_hi", "file")  # one row for each file
+    before = totals.select("file", (F.sum("_ids").over(in_order) - F.col("_ids")).alias("_before"))
     return found.join(before, "file").select("doc_id", (F.col("at") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")

@@ -76,6 +76,21 @@ def test_odd_rows_over_blocks_and_files(spark, tmp_path, monkeypatch):
     assert [(r["doc_id"], zlib.crc32(np.array(r["ids"], "<u4"))) for r in full] == [(k, c) for k, _, _, c in expected(rows)]
 
 
+def test_order_of_files_with_long_numbers(spark, tmp_path):
+    """Names sort as text where their numbers outgrow the digits they are padded to; documents must not."""
+    rows, folder = [], tmp_path / "n"
+    folder.mkdir()
+    names = [f"part-{t:05d}-c{f:03d}.txt" for t in (99998, 99999, 100000, 100001) for f in (0, 1, 999, 1000, 1001)]
+    for i, name in enumerate(names):
+        ids = np.arange(i + 2, dtype=np.uint32)
+        rows.append((10 * i, ids))
+        (folder / name).write_bytes(bytes(tokenfile.write_block([10 * i], [len(ids)], ids)) + tokenfile.TRAILER.encode())
+    assert sorted(names) != names
+    found = {r["doc_id"]: r["start"] for r in tokenfile.token_index(spark, str(folder)).collect()}
+    sizes = np.cumsum([0, *(len(ids) for _, ids in rows)])
+    assert found == {k: int(s) for (k, _), s in zip(rows, sizes)}
+
+
 def test_empty_table(spark, tmp_path):
     tokenfile.write_tokens(spark.createDataFrame([], "doc_id long, text string"), f"{tmp_path}/e", BYTES, 2)
     assert tokenfile.token_index(spark, f"{tmp_path}/e").collect() == []
