@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -26,6 +26,13 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(_ROWS, held)
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """In a worker: batches in parts of some rows with whole texts, as a frame that is run later has the session's batches."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def keeps(kind: str, clear: Callable[[], None]) -> None:
     """Registers tables that a worker keeps from task to task while it does work of this kind."""
     _KEPT[kind] = clear

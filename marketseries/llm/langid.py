@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketseries.llm.batches import keeps, worker_task
+from marketseries.llm.batches import keeps, parts, worker_task
 from marketseries.llm.words import text_slices
 
 #: Labelled rows per language, characters of each, and characters in all that a language's automaton is built on.
@@ -159,7 +159,7 @@ def identify(docs: DataFrame, known: dict[str, str]) -> DataFrame:
     names = sorted(known)
     texts = tuple(known[n] for n in names)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*kept).withColumn("_text", F.col("text").cast("string"))
+    docs = docs.withColumn("text", F.col("text").cast("string")).select(*kept)
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +168,8 @@ def identify(docs: DataFrame, known: dict[str, str]) -> DataFrame:
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = automata(texts)
-        for batch in batches:
-            own = batch.column(len(kept)).to_pylist()
+        for batch in parts(batches):
+            own = batch.column("text").to_pylist()
             lang, score = [UNDETERMINED] * len(own), [0.0] * len(own)
             for a, b in text_slices([t or "" for t in own], 3_000_000):
                 norm = [normalised(t or "") for t in own[a:b]]
@@ -182,7 +182,7 @@ def identify(docs: DataFrame, known: dict[str, str]) -> DataFrame:
                 second = np.partition(cost, 1, axis=1)[:, 1] if len(names) > 1 else np.full(len(rows), np.inf)
                 for i, k, s in zip(rows, best.tolist(), (1 - low / second).tolist()):
                     lang[a + i], score[a + i] = names[k], s
-            out = [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+            out = [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(out, names=[*kept, "lang_pred", "score"])
 
     return docs.mapInArrow(predict, schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketseries.llm.batches import arrow_rows, worker_task
+from marketseries.llm.batches import arrow_rows, parts, worker_task
 from marketseries.llm.bitmap import with_maybe
 from marketseries.llm.suffixsort import PrefixHash, sorted_suffixes
 from marketseries.llm.words import slices
@@ -25,7 +25,7 @@ from marketseries.session import cut_lineage
 #: the last one to whole strings. They grow, as a passage holds no anchor that is longer than itself.
 ANCHOR_SHARES = (0.3, 0.9)
 #: Bytes of a shard, and of the places of one anchor from which on they are dealt out by another one.
-SHARD_BYTES, HOT_BYTES = 3_000_000, 3_000_000
+SHARD_BYTES, HOT_BYTES = 1_000_000, 2_000_000
 #: Rows with whole texts, and bytes of text, that are worked on at once.
 DOCUMENT_ROWS, SLICE = 1000, 300_000
 _RUNS = "rid binary, h long, p0 int, p1 int, again boolean"
@@ -260,12 +260,10 @@ def _covered(size: int, spans: list | None, length: int) -> tuple[list[tuple[int
     return left, runs
 
 
-def _parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches in parts of some rows with whole texts, in a task that gives its memory back."""
     with worker_task("suffixes"):
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                yield batch.slice(at, rows)
+        yield from parts(batches)
 
 
 def _marked(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
@@ -279,7 +277,7 @@ def _marked(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 
 
 def byte_report(docs: DataFrame, length: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row, see :func:`remove_repeated`, byte by byte."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_kept of every row, see :func:`remove_repeated`, byte by byte."""
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
@@ -289,18 +287,19 @@ def byte_report(docs: DataFrame, length: int = 400) -> DataFrame:
                 digest = hashlib.sha256()
                 for a, b in left:
                     digest.update(body[a:b])
-                out.append((key, len(body), len(body) - sum(b - a for a, b in left), runs, digest.hexdigest()))
-            columns = list(zip(*out)) or [()] * 5
+                n = sum(b - a for a, b in left)
+                out.append((key, len(body), len(body) - n, runs, digest.hexdigest(), n))
+            columns = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.string()), pa.array(columns[5], pa.int64())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept"])
 
     marked, clean = _marked(docs.select(F.col("doc_id").cast("long"), "text"), length)
     none = F.lit(0).cast("long")
     return marked.select("doc_id", "body", "spans").mapInArrow(
-        report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").unionByName(clean.select(
+        report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long").unionByName(clean.select(
             "doc_id", F.octet_length("body").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
-            F.sha2("body", 256).alias("kept_sha256")))
+            F.sha2("body", 256).alias("kept_sha256"), F.octet_length("body").cast("long").alias("n_kept")))
 
 
 def remove_repeated(docs: DataFrame, length: int = 400) -> DataFrame:
