@@ -30,7 +30,7 @@ def test_pipeline_on_small_table(spark):
     root = "/root/testdata/sf0.001"
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{root}/documents.parquet").collect() if any(map(str.isalpha, r["text"] or ""))}
     groups = test_neardup.brute(texts, 5)
-    texts = without_repeats({k: t for k, t in texts.items() if groups[k][2]}, 400)
+    texts = without_repeats({k: t for k, t in texts.items() if groups[k][2]}, corpus_pipeline.PASSAGE_BYTES)
     rows = contract.queries()["pipeline"](spark, root).collect()
     test_packing.check(rows, texts, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -59,3 +59,20 @@ def test_stages_on_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
     assert empty.collect() == []
+
+
+def test_passages_of_51_words_and_clean_texts(spark):
+    """A passage of 51 words that documents share goes; texts that share only an id, or have none, stay."""
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(3, 9)))) for _ in range(n))
+    passage = words(51)
+    rows = [(i, f"{words(200)} {passage} {words(200)}") for i in range(6)] + [(9, words(60)), (9, words(60)), (None, words(60)), (None, words(60))]
+    rows += [(20, rows[6][1]), (None, rows[6][1])]  # copies of a text whose id stands twice
+    docs = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == corpus_pipeline.COLUMNS
+    out = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert len(out) == 6 + 4
+    assert sorted(t for i, t in out if i is None or i >= 9) == sorted({t for _, t in rows[6:]})
+    assert all(passage not in t and len(t) > 1500 for i, t in out if i is not None and i < 6)
