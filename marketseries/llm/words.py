@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ _WHOLE = (
 #: Words a worker keeps; beyond it those are kept that came again.
 KEPT_WORDS = 500_000
 #: Bytes of text encoded at once.
-SLICE = 5_000_000
+SLICE = 2_000_000
 
 _encoders: dict[str, "WordEncoder"] = {}
 keeps("words", _encoders.clear)
@@ -97,6 +98,8 @@ class WordEncoder(WordTable):
     """
 
     def __init__(self, path: str):
+        # Spark runs a worker for each core; the library's own threads would each hold memory of their own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
