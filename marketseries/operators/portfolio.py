@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketseries.operators.blocks import join_group_stats
+from marketseries.session import cut_lineage
 
 TRADING_DAYS = 252
-MAX_NAMES = 2000
+#: Names of a block of the covariance; a task multiplies two blocks.
+BLOCK_NAMES = 64
 
 
 def lookback_prices(holdings: DataFrame, prices: DataFrame, months: int = 12, price: str = "adj_close") -> DataFrame:
@@ -41,49 +43,71 @@ def annualised_return(returns: DataFrame) -> DataFrame:
     return returns.groupBy("rebalance_date", "ticker").agg((F.exp(growth) - 1).alias("mu"))
 
 
-def _check_size(names: int) -> None:
-    if names > MAX_NAMES:
-        raise ValueError(
-            f"{names} names on one rebalance date; rank the universe first (top_n), at most {MAX_NAMES} fit one solve"
-        )
+def return_blocks(returns: DataFrame, size: int = BLOCK_NAMES) -> DataFrame:
+    """(rebalance_date, parts, block, names): the names of a date dealt out by hash in blocks of about ``size``.
 
-
-def _return_matrix(pdf: pd.DataFrame) -> tuple[list[str], np.ndarray]:
-    wide = pdf.pivot(index="date", columns="ticker", values="ret").sort_index(axis=1)
-    return list(wide.columns), wide.to_numpy(dtype=float)
-
-
-def pairwise_covariance(x: np.ndarray) -> np.ndarray:
-    """Sample covariance over the rows both columns have; NaN under two such rows."""
-    seen = ~np.isnan(x)
-    z = np.where(seen, x, 0.0)
-    m = seen.astype(float)
-    n = m.T @ m
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cross = z.T @ z - (z.T @ m) * (m.T @ z) / n
-        return np.where(n >= 2, cross / (n - 1), np.nan)
+    ``names`` holds for each name its returns over all days of the date's window, in time order and null where it has
+    none, whether it has all, and their sum. A name has at most one row per day of the window.
+    """
+    rows = returns.select("rebalance_date", "ticker", "date", "ret")
+    held = rows.select("rebalance_date", "ticker").distinct()
+    parts = held.groupBy("rebalance_date").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
+    held = held.join(parts, "rebalance_date").withColumn("block", F.pmod(F.xxhash64("ticker"), F.col("parts")))
+    days = rows.select("rebalance_date", "date").distinct()
+    whole = held.join(days, "rebalance_date").join(rows, ["rebalance_date", "ticker", "date"], "left")
+    series = F.transform(F.sort_array(F.collect_list(F.struct("date", "ret"))), lambda r: r["ret"])
+    vectors = whole.groupBy("rebalance_date", "parts", "block", "ticker").agg(
+        series.alias("x"), (F.count("ret") == F.count(F.lit(1))).alias("full"), F.sum("ret").alias("total"))
+    names = F.sort_array(F.collect_list(F.struct("ticker", "x", "full", "total")))
+    return vectors.groupBy("rebalance_date", "parts", "block").agg(names.alias("names"))
+
+
+def _pair_covariance(a: Column, b: Column) -> Column:
+    """Sample covariance of two names over the days that both have; null under two such days."""
+
+    def finished(n: Column, x: Column, y: Column, xy: Column) -> Column:
+        return F.when(n >= 2, (xy - x * y / n) / (n - 1))
+
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "x", "y", "xy")])
+    pairs = F.zip_with(a["x"], b["x"], lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    masked = F.aggregate(
+        pairs, none,
+        lambda s, v: F.when(v["x"].isNull() | v["y"].isNull(), s).otherwise(F.struct(
+            (s["n"] + 1.0).alias("n"), (s["x"] + v["x"]).alias("x"), (s["y"] + v["y"]).alias("y"),
+            (s["xy"] + v["x"] * v["y"]).alias("xy"))),
+        lambda s: finished(s["n"], s["x"], s["y"], s["xy"]),
+    )
+    products = F.aggregate(F.zip_with(a["x"], b["x"], lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+    whole = finished(F.size(a["x"]).cast("double"), a["total"], b["total"], products)
+    return F.when(a["full"] & b["full"], whole).otherwise(masked)
 
 
-def lookback_covariance(returns: DataFrame) -> DataFrame:
-    """Annualised covariance of the held names, one row per pair with ticker_i <= ticker_j.
+def covariance_blocks(returns: DataFrame, size: int = BLOCK_NAMES) -> DataFrame:
+    """Annualised covariance by blocks: rebalance_date, i, j, rows and columns (tickers) and cov, a matrix.
 
-    The task of a rebalance date sees its own names times one year of days, a
-    size set by the universe limit; pairs appear only as the result.
+    One row for each pair of blocks i <= j of a date, found by an equality join on (date, i, j), so that the work and
+    the memory of a task are those of two blocks, however many names a date has.
     """
-
-    def per_date(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, x = _return_matrix(pdf)
-        _check_size(len(names))
-        cov = pairwise_covariance(x) * TRADING_DAYS
-        i, j = np.triu_indices(len(names))
-        label = np.array(names, dtype=object)
-        out = pd.DataFrame({"ticker_i": label[i], "ticker_j": label[j], "cov": cov[i, j]})
-        out.insert(0, "rebalance_date", pdf["rebalance_date"].iloc[0])
-        return out[out["cov"].notna()]
-
-    return returns.select("rebalance_date", "date", "ticker", "ret").groupBy("rebalance_date").applyInPandas(
-        per_date, "rebalance_date date, ticker_i string, ticker_j string, cov double"
-    )
+    blocks = return_blocks(returns, size)
+    left = blocks.select("rebalance_date", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("j"),
+                         F.col("names").alias("a"))
+    right = blocks.select("rebalance_date", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("i"), F.col("block").alias("j"),
+                          F.col("names").alias("b"))
+    product = F.transform("a", lambda x: F.transform("b", lambda y: _pair_covariance(x, y) * TRADING_DAYS))
+    return left.join(right, ["rebalance_date", "i", "j"]).select(
+        "rebalance_date", "i", "j", F.col("a.ticker").alias("rows"), F.col("b.ticker").alias("columns"), product.alias("cov"))
+
+
+def lookback_covariance(returns: DataFrame, size: int = BLOCK_NAMES) -> DataFrame:
+    """Annualised covariance of the held names, one row per pair with ticker_i <= ticker_j; see :func:`covariance_blocks`."""
+    blocks = covariance_blocks(cut_lineage(returns, "returns"), size)  # they are read for names, days and values
+    lines = blocks.select("rebalance_date", "i", "j", "columns", F.explode(F.arrays_zip("rows", "cov")).alias("r"))
+    cells = lines.select("rebalance_date", "i", "j", F.col("r.rows").alias("one"),
+                         F.explode(F.arrays_zip(F.col("columns").alias("two"), F.col("r.cov").alias("cov"))).alias("c"))
+    cells = cells.select("rebalance_date", "i", "j", "one", F.col("c.two").alias("two"), F.col("c.cov").alias("cov"))
+    once = (F.col("i") < F.col("j")) | (F.col("one") <= F.col("two"))
+    return cells.where(once & F.col("cov").isNotNull()).select(
+        "rebalance_date", F.least("one", "two").alias("ticker_i"), F.greatest("one", "two").alias("ticker_j"), "cov")
 
 
 def project_capped(v: np.ndarray, low: float, high: float, guess: np.ndarray | None = None):
@@ -164,34 +188,38 @@ def max_sharpe_weights(
 ) -> DataFrame:
     """Weights per rebalance date; equal weights where no bounded solution exists.
 
-    ``method`` tells which of both was used. Every held name gets a weight, also
-    one without a lookback.
+    ``method`` tells which of both was used. Every held name gets a weight, also one without a lookback. Rates and
+    covariances are made by Spark; the group of a date holds them alone, and only solves.
     """
     given = holdings.select("rebalance_date", "ticker").distinct()
-    rows = given.join(returns.select("rebalance_date", "ticker", "date", "ret"), ["rebalance_date", "ticker"], "left")
+    rows = cut_lineage(returns.join(given, ["rebalance_date", "ticker"], "left_semi"), "returns")
+    rates = given.join(annualised_return(rows), ["rebalance_date", "ticker"], "left")
+    blocks = covariance_blocks(rows).select("rebalance_date", "rows", "columns", "cov")
     # little data but long solves: keep the partitions apart, so that dates are solved side by side
     width = int(holdings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(width, "rebalance_date")
+    rates, blocks = (x.repartition(width, "rebalance_date") for x in (rates, blocks))
 
-    def per_date(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(pdf["ticker"].unique())
+    def per_date(rates: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        if rates.empty:
+            return pd.DataFrame({"rebalance_date": [], "ticker": [], "weight": [], "method": []})
+        rates = rates.sort_values("ticker")
+        names, mu = rates["ticker"].to_numpy(), rates["mu"].to_numpy(dtype=float)
         n = len(names)
-        _check_size(n)
         weights = None
-        seen = pdf.dropna(subset=["ret"])
-        if seen["ticker"].nunique() == n:
-            labels, x = _return_matrix(seen)
-            count = (~np.isnan(x)).sum(axis=0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                mu = np.exp(np.nansum(np.log1p(x), axis=0) * TRADING_DAYS / count) - 1
-            weights = max_sharpe(mu, pairwise_covariance(x) * TRADING_DAYS, round(1 / (2 * n), 3), upper, risk_free)
+        if np.all(np.isfinite(mu)):
+            at = {t: i for i, t in enumerate(names)}
+            cov = np.full((n, n), np.nan)
+            for one, two, part in zip(blocks["rows"], blocks["columns"], blocks["cov"]):
+                i, j = [at[t] for t in one], [at[t] for t in two]
+                part = np.array([np.asarray(line, dtype=float) for line in part])
+                cov[np.ix_(i, j)] = part
+                cov[np.ix_(j, i)] = part.T
+            weights = max_sharpe(mu, cov, round(1 / (2 * n), 3), upper, risk_free)
         method = "equal" if weights is None else "max_sharpe"
         out = np.full(n, 1.0 / n) if weights is None else cleaned(weights)
-        return pd.DataFrame(
-            {"rebalance_date": pdf["rebalance_date"].iloc[0], "ticker": names, "weight": out, "method": method}
-        )
+        return pd.DataFrame({"rebalance_date": rates["rebalance_date"].iloc[0], "ticker": names, "weight": out, "method": method})
 
-    return rows.groupBy("rebalance_date").applyInPandas(
+    return rates.groupBy("rebalance_date").cogroup(blocks.groupBy("rebalance_date")).applyInPandas(
         per_date, "rebalance_date date, ticker string, weight double, method string"
     )
 

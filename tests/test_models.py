@@ -154,11 +154,59 @@ def test_infeasible_cap_gives_equal_weights(spark):
     assert (wide["method"] == "max_sharpe").all() and wide["weight"].sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_pairwise_covariance_matches_pandas():
+@pytest.mark.parametrize("size", [1, 3, 64])
+def test_covariance_by_blocks_matches_pandas(spark, size):
+    """Pairs of names with different days, in blocks of any size; two dates at once."""
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(50, 4))
-    x[rng.random(x.shape) < 0.3] = np.nan
-    assert np.allclose(portfolio.pairwise_covariance(x), pd.DataFrame(x).cov(), equal_nan=True)
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    rows, wanted = [], {}
+    for reb, n in ((dt.date(2001, 1, 1), 7), (dt.date(2001, 2, 1), 4)):
+        x = rng.normal(size=(40, n))
+        x[:, 1:] = np.where(rng.random((40, n - 1)) < 0.3, np.nan, x[:, 1:])
+        x[1:, n - 1] = np.nan  # one day only
+        x[:, 2] = np.where(np.arange(40) < 39, x[:, 2], np.nan)
+        rows += [(reb, d, f"t{k}", float(x[i, k])) for i, d in enumerate(days) for k in range(n) if not np.isnan(x[i, k])]
+        cov = pd.DataFrame(x).cov(min_periods=2) * 252
+        wanted |= {(reb, f"t{i}", f"t{j}"): cov.iloc[i, j] for i in range(n) for j in range(i, n) if not np.isnan(cov.iloc[i, j])}
+    r = spark.createDataFrame(rows, "rebalance_date date, date date, ticker string, ret double")
+    found = portfolio.lookback_covariance(r, size)
+    assert "Python" not in found._jdf.queryExecution().toString()
+    got = {(c["rebalance_date"], c["ticker_i"], c["ticker_j"]): c["cov"] for c in found.collect()}
+    assert set(got) == set(wanted) and np.allclose([got[k] for k in wanted], list(wanted.values()))
+
+
+def test_covariance_of_five_thousand_names(spark):
+    """No limit on names: all pairs of a wide date, against sums over the dense matrix."""
+    n, days = 5000, 4
+    rows = spark.range(n * days).select(
+        F.lit(dt.date(2001, 1, 1)).alias("rebalance_date"), F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % days).cast("int")).alias("date"),
+        F.format_string("t%05d", (F.col("id") / days).cast("long")).alias("ticker"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1e5).alias("ret"))
+    x = np.array(rows.orderBy("ticker", "date").select("ret").collect()).reshape(n, days).T
+    cov = np.cov(x.T) * 252
+    total = portfolio.lookback_covariance(rows, 256).agg(
+        F.count("cov"), F.sum("cov"), F.sum(F.when(F.col("ticker_i") == F.col("ticker_j"), F.col("cov")))).first()
+    assert total[0] == n * (n + 1) // 2
+    assert total[1] == pytest.approx(np.triu(cov).sum(), rel=1e-9) and total[2] == pytest.approx(np.trace(cov), rel=1e-9)
+
+
+def test_weights_equal_a_solve_on_the_dense_matrix(spark):
+    rng = np.random.default_rng(9)
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    rows, held, wanted = [], [], {}
+    for reb, n in ((dt.date(2001, 1, 1), 90), (dt.date(2001, 2, 1), 12)):
+        names = [f"t{k:03d}" for k in range(n)]
+        x = rng.normal(0.002, 0.01, (60, n))
+        held += [(reb, t) for t in names]
+        rows += [(reb, d, t, float(x[i, k])) for i, d in enumerate(days) for k, t in enumerate(names)]
+        mu = np.exp(np.log1p(x).sum(axis=0) * 252 / 60) - 1
+        wanted |= dict(zip(((reb, t) for t in names), portfolio.cleaned(portfolio.max_sharpe(mu, np.cov(x.T) * 252, round(1 / (2 * n), 3), 0.2))))
+    held.append((dt.date(2001, 3, 1), "lonely"))  # without a lookback
+    h = spark.createDataFrame(held, "rebalance_date date, ticker string")
+    r = spark.createDataFrame(rows, "rebalance_date date, date date, ticker string, ret double")
+    got = {(w["rebalance_date"], w["ticker"]): (w["weight"], w["method"]) for w in portfolio.max_sharpe_weights(h, r, upper=0.2).collect()}
+    assert got.pop((dt.date(2001, 3, 1), "lonely")) == (1.0, "equal")
+    assert set(got) == set(wanted) and all(m == "max_sharpe" for _, m in got.values())
+    assert np.allclose([got[k][0] for k in wanted], list(wanted.values()), atol=1e-4)
 
 
 def noise_series(spark, n=400, seed=8, phi=0.6):
