@@ -149,26 +149,82 @@ def information_criteria(df: DataFrame, n: str = "n", k: str = "k", ssr: str = "
     )
 
 
-def nested_models(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], sizes: Sequence[int]) -> DataFrame:
-    """ssr of the models with the first m columns, for all m, from one matrix per group."""
+#: Columns of a tile of the matrix of sums.
+TILE = 8
+
+
+def gram_tiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], tile: int = TILE) -> DataFrame:
+    """The matrix of sums of products of many columns by tiles: one row per group and tile (ti <= tj) with ``n`` and ``block``.
+
+    A row of the data goes to every pair of tiles before the sums, which are made in part where it is read, so that an
+    aggregation holds tile x tile sums whatever the number of columns, and nothing leaves the JVM. Rows with a null are
+    left out.
+    """
+    by, cols = list(by), list(cols)
+    count = -(-len(cols) // tile)
+    padded = [F.col(c).cast("double") for c in cols] + [F.lit(0.0)] * (count * tile - len(cols))
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("ti"), F.lit(j).alias("tj")) for i in range(count) for j in range(i, count)]))
+    rows = df.na.drop("any", subset=cols).select(*by, F.array(*padded).alias("_x"), pairs.alias("_p"))
+    left, right = (F.slice("_x", F.col(f"_p.{t}") * tile + 1, F.lit(tile)) for t in ("ti", "tj"))
+    rows = rows.select(*by, F.col("_p.ti").alias("ti"), F.col("_p.tj").alias("tj"), left.alias("_l"), right.alias("_r"))
+    sums = rows.groupBy(*by, "ti", "tj").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.get("_l", F.lit(a)) * F.get("_r", F.lit(b))).alias(f"_{a}_{b}") for a in range(tile) for b in range(tile)])
+    return sums.select(*by, "ti", "tj", "n", F.array(*[F.col(f"_{a}_{b}") for a in range(tile) for b in range(tile)]).alias("block"))
+
+
+def nested_ssr(full: np.ndarray, sizes: Sequence[int]) -> list[float | None]:
+    """Squared residuals of the models with the first m columns, from the sums over [x…, y], by one Cholesky factor.
+
+    The factor grows column by column; each new column takes the square of one entry of its forward solution off the
+    residuals. From the first column that depends on those before it, there is no fit.
+    """
+    p = len(full) - 1
+    diag = np.diag(full)[:p]
+    good = np.isfinite(full).all() and (diag > 0).all()
+    scale = 1 / np.sqrt(np.where(diag > 0, diag, 1.0))
+    unit, rhs = full[:p, :p] * np.outer(scale, scale), full[:p, p] * scale
+    low, solved, left = np.zeros((p, p)), np.zeros(p), full[p, p]
+    out: dict[int, float] = {0: float(left)}
+    for j in range(p if good else 0):
+        for k in range(j):
+            low[j, k] = (unit[j, k] - low[j, :k] @ low[k, :k]) / low[k, k]
+        rest = unit[j, j] - low[j, :j] @ low[j, :j]
+        if rest < 1e-10:
+            break
+        low[j, j] = np.sqrt(rest)
+        solved[j] = (rhs[j] - low[j, :j] @ solved[:j]) / low[j, j]
+        left -= solved[j] ** 2
+        out[j + 1] = float(max(left, 0.0))
+    return [out.get(m) for m in sizes]
+
+
+def nested_models(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], sizes: Sequence[int], tile: int = TILE) -> DataFrame:
+    """ssr of the models with the first m columns, for all m, from one matrix per group, which is summed in tiles.
+
+    Only the (p + 1) x (p + 1) matrix of a group, whose size the columns set, meets in a task.
+    """
     by, xs, sizes = list(by), list(xs), list(sizes)
     width = len(xs) + 1
+    tile = min(tile, width)
 
-    @F.pandas_udf("array<struct<k int, ssr double>>")
-    def fit_all(flat: pd.Series) -> pd.Series:
+    @F.pandas_udf("syy double, fits array<struct<k int, ssr double>>")
+    def fit_all(tiles: pd.Series) -> pd.DataFrame:
         out = []
-        for values in flat:
-            full = np.asarray(values, dtype=float).reshape(width, width)
-            rows = []
-            for m in sizes:
-                pick = [*range(m), width - 1]
-                fit = ols_from_gram(full[np.ix_(pick, pick)])
-                rows.append({"k": m, "ssr": None if fit is None else fit[1]})
-            out.append(rows)
-        return pd.Series(out)
-
-    sums = gram(df, by, [*xs, y])
-    fits = sums.select(*by, "n", F.get("gram", F.lit(width * width - 1)).alias("syy"), F.explode(fit_all("gram")).alias("f"))
+        for rows in tiles:
+            size = tile * (1 + max(r["tj"] for r in rows))
+            full = np.zeros((size, size))
+            for r in rows:
+                block = np.asarray(r["block"], dtype=float).reshape(tile, tile)
+                a, b = tile * r["ti"], tile * r["tj"]
+                full[a : a + tile, b : b + tile] = block
+                full[b : b + tile, a : a + tile] = block.T
+            full = full[:width, :width]
+            out.append((full[-1, -1], [{"k": m, "ssr": v} for m, v in zip(sizes, nested_ssr(full, sizes))]))
+        return pd.DataFrame(out, columns=["syy", "fits"])
+
+    sums = gram_tiles(df, by, [*xs, y], tile).groupBy(*by).agg(
+        F.max("n").alias("n"), F.collect_list(F.struct("ti", "tj", "block")).alias("_t"))
+    fits = sums.select(*by, "n", fit_all("_t").alias("_f")).select(*by, "n", "_f.syy", F.explode("_f.fits").alias("f"))
     return information_criteria(fits.select(*by, "n", "syy", F.col("f.k").alias("k"), F.col("f.ssr").alias("ssr")))
 
 

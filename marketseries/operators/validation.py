@@ -7,7 +7,7 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.base import Estimator
+from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -114,7 +114,6 @@ def importances(model, names: Sequence[str]) -> DataFrame:
 
 
 
-
 def window_classifier(inputs: int, hidden: Sequence[int] = (64, 64, 64), max_iter: int = 100, seed: int = 0):
     return MultilayerPerceptronClassifier(layers=[inputs, *hidden, 2], labelCol="label", maxIter=max_iter, seed=seed)
 
@@ -129,10 +128,14 @@ def window_regressor() -> LinearRegression:
 
 def fit_best(train: DataFrame, validation: DataFrame, candidates: Sequence[Estimator], score=None, path: str | None = None):
     """Fit all candidates, keep the one with the best validation score, save it and load it back."""
+    return keep_best([c.fit(train) for c in candidates], validation, score, path)
+
+
+def keep_best(models: Sequence[Model], validation: DataFrame, score=None, path: str | None = None):
+    """The model with the best validation score (accuracy, if none is given), saved and loaded back, all scores, its place."""
     score = accuracy("label", "prediction") if score is None else score
-    models = [c.fit(train) for c in candidates]
     values = [m.transform(validation).agg(score).first()[0] for m in models]
     best = max(range(len(models)), key=lambda i: (values[i] is not None, values[i]))
-    path = path or scratch_path(train.sparkSession, "model")
+    path = path or scratch_path(validation.sparkSession, "model")
     PipelineModel(stages=[models[best]]).write().overwrite().save(path)
     return PipelineModel.load(path), values, best

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketseries.functions import metrics, scalar
-from marketseries.operators import clusters, diagnostics, features, forecast, intraday, portfolio, regression
+from marketseries.operators import clusters, diagnostics, ensembles, features, forecast, intraday, portfolio, regression
 from marketseries.operators import indicators as ind
 from marketseries.operators import validation as val
 from marketseries.operators.blocks import index_series
@@ -39,30 +39,101 @@ def _predictions(model, test):
     return rounded(model.transform(test).select("ts", "y", "prediction"), 2)
 
 
+#: Fits that several queries of a session read, by session, table folder and name.
+_shared: dict[tuple[str, str, str], tuple] = {}
+
+
+def shared(spark, root, name, make):
+    """What ``make`` returned for this session and folder; it is made once."""
+    key = (spark.sparkContext.applicationId, root, name)
+    if key not in _shared:
+        _shared[key] = make()
+    return _shared[key]
+
+
+def by_cuts(spark, root, names, load=None):
+    rows = load_table(spark, root) if load is None else load
+    rows = cut_lineage(val.assemble(forecast.time_split(rows, CUTS), names), "features")
+    return tuple(rows.where(F.col("split") == s) for s in CUTS)
+
+
+def boosted_load(spark, root):
+    """Boosted trees on calendar and lags, cut at the round that is best on the validation part; and the error curve."""
+
+    def make():
+        train, valid, test = by_cuts(spark, root, NAMES)
+        model, curve = ensembles.boosted_checkpoint(train, valid, val.boosted_trees(trees=ROUNDS, rate=RATE, depth=6))
+        return model, cut_lineage(curve, "curve"), test
+
+    return shared(spark, root, "boosted", make)
+
+
+#: A tenth of the original's 1000 rounds at ten times its rate of 0.01; trees of a forest likewise (500 and 1000).
+ROUNDS, RATE = 100, 0.1
+FOREST = ensembles.ForestGrid(trees=(50, 100))
+#: Depths and shares of columns as in the original; a hundredth of its rounds (800 and 1000) at higher rates.
+BOOSTED = ensembles.BoostedGrid(rounds=(8, 10), rates=(0.1, 0.3, 0.5))
+
+
 @query("gbt_forecast")
 def gbt_forecast(spark, root):
+    model, _, test = boosted_load(spark, root)
+    return _predictions(model, test)
+
+
+@query("boosting_curve")
+def boosting_curve(spark, root):
+    """Validation error after every boosting round, and the round that is kept."""
+    return rounded(boosted_load(spark, root)[1], 2)
+
+
+def training_folds(spark, root):
+    train, _ = fit_inputs(spark, root, NAMES)
+    return val.forward_folds(train, "ts", n_splits=5, test_size=100, gap=24)
+
+
+def forest_scores(spark, root):
+    """Scores of 108 forests over five folds, and the best of them."""
+
+    def make():
+        table, best = ensembles.forest_grid(training_folds(spark, root), FOREST)
+        return cut_lineage(table, "grid"), best
+
+    return shared(spark, root, "forest", make)
+
+
+def best_forest(spark, root):
+    """The best forest of the grid, fitted on all training rows, its split and the hold-out rows."""
     train, test = fit_inputs(spark, root, NAMES)
-    return _predictions(val.boosted_trees(trees=20, rate=0.1, depth=3).fit(train), test)
+    _, best = forest_scores(spark, root)
+    return ensembles.fit_forest(train, best), best["split"], test
+
+
+def forest_holdout(spark, root):
+    model, split, test = best_forest(spark, root)
+    return test.withColumn("prediction", ensembles.forest_prediction(spark, model, split)).select("ts", "y", "prediction")
 
 
 @query("rf_forecast")
 def rf_forecast(spark, root):
-    train, test = fit_inputs(spark, root, NAMES)
-    return _predictions(val.forest(trees=20, depth=6, min_leaf=2).fit(train), test)
+    return rounded(forest_holdout(spark, root), 2)
 
 
 @query("feature_importance")
 def feature_importance(spark, root):
-    train, _ = fit_inputs(spark, root, NAMES)
-    return val.importances(val.forest(trees=20, depth=6).fit(train), NAMES).orderBy(F.col("importance").desc())
+    return val.importances(best_forest(spark, root)[0], NAMES).orderBy(F.col("importance").desc())
 
 
 @query("grid_search_cv")
 def grid_search_cv(spark, root):
-    train, _ = fit_inputs(spark, root, NAMES)
-    folds = val.forward_folds(train, "ts", n_splits=5, test_size=100, gap=24)
-    table, _ = val.grid_search(folds, val.forest(trees=10), {"maxDepth": [3, 5], "minInstancesPerNode": [1, 5]})
-    return table
+    """All combinations of a forest's trees, depth, features, leaves and splits over five folds."""
+    return forest_scores(spark, root)[0]
+
+
+@query("grid_search_boosted")
+def grid_search_boosted(spark, root):
+    """24 combinations of boosted trees over five folds."""
+    return ensembles.boosted_grid(training_folds(spark, root), BOOSTED)[0]
 
 
 def windowed_load(spark, root, size=5):
@@ -73,13 +144,24 @@ def windowed_load(spark, root, size=5):
     return cut_lineage(forecast.flatten_windows(windows).drop("x"), "windows"), stats
 
 
+def window_models(spark, root):
+    """Linear regression against boosted trees cut at their best round, the better on the validation part, saved."""
+
+    def make():
+        windows, stats = windowed_load(spark, root)
+        train, valid, test = (windows.where(F.col("split") == s) for s in CUTS)
+        trees, _ = ensembles.boosted_checkpoint(train, valid, val.boosted_trees("label", trees=ROUNDS, rate=RATE, depth=3))
+        fitted = [val.window_regressor().fit(train), trees.stages[0]]
+        model, _, best = val.keep_best(fitted, valid, score=-metrics.mse("label", "prediction"))
+        return model, best, test, stats
+
+    return shared(spark, root, "windows", make)
+
+
 @query("sink_model")
 def sink_model(spark, root):
     """Best of two learners on the validation split, saved and loaded back, scored on the last split."""
-    windows, _ = windowed_load(spark, root)
-    train, valid, test = (windows.where(F.col("split") == s) for s in CUTS)
-    candidates = [val.window_regressor(), val.boosted_trees("label", trees=5, rate=0.1, depth=2)]
-    model, _, best = val.fit_best(train, valid, candidates, score=-metrics.mse("label", "prediction"))
+    model, best, test, _ = window_models(spark, root)
     return rounded(model.transform(test).select("ts", "label", "prediction").withColumn("chosen", F.lit(best)))
 
 
@@ -102,7 +184,7 @@ def window_classifier(spark, root):
         forecast.sliding_windows(forecast.scale(parts, stats, ["y"]), ["series_id", "split"], "ts", ["y"], "next_rise")
     )
     windows = cut_lineage(windows.drop("x"), "windows")
-    model = val.window_classifier(5, hidden=(16, 16), max_iter=30).fit(windows.where(F.col("split") == "train"))
+    model = val.window_classifier(5).fit(windows.where(F.col("split") == "train"))
     scored = model.transform(windows.where(F.col("split") == "test"))
     return scored.select("ts", "label", scalar.positive_class().alias("pred"))
 
@@ -242,18 +324,37 @@ def selection_frequency(spark, root):
     return rounded(regression.selection_frequency(small_models(spark, root), ["rep"], 1))
 
 
+def wide_models(spark, root):
+    """Models of the first 5 to 50 of the predictors of each replicate."""
+
+    def make():
+        names = [f"z{i}" for i in range(1, 51)]
+        fits = regression.nested_models(src.wide_replicates(spark, root, names), ["rep"], "y", names, range(5, 51))
+        return cut_lineage(fits, "nested"),
+
+    return shared(spark, root, "nested", make)[0]
+
+
 @query("nested_model_selection")
 def nested_model_selection(spark, root):
-    models = regression.nested_models(centred_replicates(spark, root), ["rep"], "y", XS, [3, 4, 5, 6])
-    return rounded(regression.selection_frequency(models, ["rep"], 3))
+    """How often each criterion keeps the first five columns against each of the 45 larger models."""
+    return rounded(regression.selection_frequency(wide_models(spark, root), ["rep"], 5))
 
 
 # ------------------------------------------------------------ diagnostics
 
 
-def train_load(spark, root):
+def _split_load(spark, root, part):
     load = forecast.above(src.load_daily(spark, root), "y", 1e5)
-    return forecast.time_split(load, HOLDOUT).where(F.col("split") == "train").drop("split")
+    return forecast.time_split(load, HOLDOUT).where(F.col("split") == part).drop("split")
+
+
+def train_load(spark, root):
+    return _split_load(spark, root, "train")
+
+
+def test_load(spark, root):
+    return _split_load(spark, root, "test")
 
 
 _TRAIN = """train AS (

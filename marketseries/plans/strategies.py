@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketseries.functions import metrics, scalar
-from marketseries.operators import backtest, clusters, diagnostics, features, forecast, intraday, portfolio
+from marketseries.operators import backtest, clusters, diagnostics, ensembles, features, forecast, intraday, portfolio
 from marketseries.operators import indicators as ind
 from marketseries.operators import regression
 from marketseries.operators import validation as val
@@ -162,13 +162,22 @@ def index_direction_dataset(spark, root):
 
 @query("index_direction_backtest")
 def index_direction_backtest(spark, root):
-    """Classifier of the next move and its long/short returns on the last fifth of the dates."""
+    """Perceptron or logistic model, by accuracy on the validation part, and its long/short returns on the last fifth.
+
+    Every row also carries which was chosen, and the accuracy and confusion matrix over the last fifth.
+    """
     windows = cut_lineage(forecast.flatten_windows(direction_windows(spark, root)).drop("x"), "windows")
-    model = val.direction_baseline().fit(windows.where(F.col("split") == "train"))
-    scored = model.transform(windows.where(F.col("split") == "test"))
-    preds = cut_lineage(scored.select("date", "label", scalar.positive_class().alias("pred")), "predictions")
+    train, valid, test = (windows.where(F.col("split") == s) for s in ("train", "valid", "test"))
+    candidates = [val.window_classifier(5 * len(_INPUTS)), val.direction_baseline()]
+    model, _, best = val.fit_best(train, valid, candidates)
+    scored = model.transform(test).select("date", "label", scalar.positive_class().alias("pred"))
+    preds = cut_lineage(scored, "predictions")
     out = backtest.signal_backtest(preds.join(_index(spark, root), "date"), "pred", "close")
-    return rounded(out.select("date", "pred", "label", "market_return", "strategy_return", "market_cum", "strategy_cum"))
+    counted = preds.withColumn("pred", F.col("pred").cast("int"))
+    right = counted.agg(metrics.accuracy("label", "pred")).first()[0]
+    report = {"chosen": ("perceptron", "logistic")[best], "accuracy": right, **metrics.confusion(counted, "label", "pred").first().asDict()}
+    return rounded(out.select("date", "pred", "label", "market_return", "strategy_return", "market_cum", "strategy_cum",
+                              *[F.lit(v).alias(k) for k, v in report.items()]))
 
 
 @query("load_feature_table", sql(f"""
@@ -194,24 +203,19 @@ def hourly_feature_table(spark, root):
 
 @query("load_forecast_tuned")
 def load_forecast_tuned(spark, root):
-    """Folds, grid search, refit on all training rows; MAPE and the last 100 hold-out rows."""
-    train, test = models.fit_inputs(spark, root, models.NAMES)
-    folds = val.forward_folds(train, "ts", n_splits=5, test_size=100, gap=24)
-    learner = val.forest(trees=10)
-    _, best = val.grid_search(folds, learner, {"maxDepth": [3, 5]})
-    model = learner.copy({learner.getParam(k): v for k, v in best.items()}).fit(train)
-    scored = model.transform(test).select("ts", "y", "prediction")
+    """Folds, the whole grid, refit on all training rows; all hold-out rows and their MAPE."""
+    scored = cut_lineage(models.forest_holdout(spark, root), "holdout")
     error = scored.agg(metrics.mape("y", "prediction").alias("mape"))
-    return rounded(scored.withColumn("mape", error.scalar()).orderBy(F.col("ts").desc()).limit(100), 4)
+    return rounded(scored.withColumn("mape", error.scalar()), 4)
 
 
 @query("load_forecast_simple")
 def load_forecast_simple(spark, root):
     """Calendar features only; predictions joined back to the whole series with the hold-out RMSE."""
     load = forecast.above(src.load_daily(spark, root), "y", 1e5)
-    rows = val.assemble(forecast.time_split(scalar.calendar_features(load), models.HOLDOUT), scalar.CALENDAR)
-    model = val.boosted_trees(trees=20, rate=0.1, depth=3).fit(rows.where(F.col("split") == "train"))
-    preds = model.transform(rows.where(F.col("split") == "test")).select("series_id", "ts", "y", "prediction")
+    train, valid, test = models.by_cuts(spark, root, scalar.CALENDAR, scalar.calendar_features(load))
+    model, _ = ensembles.boosted_checkpoint(train, valid, val.boosted_trees(trees=models.ROUNDS, rate=models.RATE, depth=6))
+    preds = model.transform(test).select("series_id", "ts", "y", "prediction")
     error = preds.agg(metrics.rmse("y", "prediction").alias("rmse"))
     joined = load.join(preds.drop("y"), ["series_id", "ts"], "left")
     return rounded(joined.withColumn("rmse", error.scalar()).select("ts", "y", "prediction", "rmse"), 2)
@@ -220,10 +224,7 @@ def load_forecast_simple(spark, root):
 @query("load_window_forecast")
 def load_window_forecast(spark, root):
     """Five scaled values to the next; the error is taken after undoing the scale."""
-    windows, stats = models.windowed_load(spark, root)
-    train, valid, test = (windows.where(F.col("split") == s) for s in models.CUTS)
-    candidates = [val.window_regressor(), val.boosted_trees("label", trees=5, rate=0.1, depth=2)]
-    model, _, _ = val.fit_best(train, valid, candidates, score=-metrics.mse("label", "prediction"))
+    model, _, test, stats = models.window_models(spark, root)
     scored = forecast.unscale(
         model.transform(test).select("ts", "label", "prediction"), stats, {"label": "y", "prediction": "y"}
     )
@@ -231,18 +232,37 @@ def load_window_forecast(spark, root):
     return rounded(scored.withColumn("mape", error.scalar()), 4)
 
 
+def holdout_forecasts(train, test, best):
+    """Forecasts of every hold-out row by its series' chosen order (``b``), and the MAPE of each series.
+
+    One pass for each order that any series chose; there are no more than orders tried.
+    """
+    test = cut_lineage(index_series(test, ["series_id"], "ts").withColumn("step", (F.col("pos") + 1).cast("int")), "holdout")
+    longest = test.agg(F.max("step")).first()[0] or 0
+    found = None
+    for r in best.select("b.p", "b.d", "b.q").distinct().collect():
+        own = best.where((F.col("b.p") == r["p"]) & (F.col("b.d") == r["d"]) & (F.col("b.q") == r["q"])).select("series_id")
+        fit = diagnostics.arima_fit(train.join(own, "series_id", "left_semi"), r["p"], r["d"], r["q"])
+        ahead = diagnostics.arima_forecast(fit, longest) if longest else fit.select("series_id", F.lit(0).alias("step"), F.lit(0.0).alias("forecast")).limit(0)
+        found = ahead if found is None else found.unionByName(ahead)
+    steps = cut_lineage(test.join(found, ["series_id", "step"]).select("series_id", "ts", "step", "y", "forecast"), "forecasts")
+    return steps, steps.groupBy("series_id").agg(metrics.mape("y", "forecast").alias("mape"))
+
+
 @query("stationarity_report")
 def stationarity_report(spark, root):
-    """Unit-root test, first ten (partial) autocorrelations and the best ARIMA order, as one long table.
+    """Unit-root test, forty (partial) autocorrelations, the best ARIMA order and its forecast of the hold-out.
 
     The unit-root test says whether the series is differenced; the other orders are chosen by AIC for that one, as
-    criteria of different data can't be compared.
+    criteria of different data can't be compared. Forecasts are rows by step, with the hold-out's MAPE.
     """
     train = models.train_load(spark, root)
     test = cut_lineage(diagnostics.adf(train), "unit-root")
-    orders = diagnostics.order_search(train, [0, 1, 2, 5], [0, 1], [0, 1])
+    orders = diagnostics.order_search(train, range(6), [0, 1], range(3))
     orders = orders.join(test.select("series_id", F.when(F.col("reject_5pct"), 0).otherwise(1).alias("d")), ["series_id", "d"])
     best = orders.groupBy("series_id").agg(F.min_by(F.struct("p", "d", "q", "aic"), "aic").alias("b"))
+    best = cut_lineage(best, "orders")
+    steps, error = holdout_forecasts(train, models.test_load(spark, root), best)
     parts = [
         test.select(F.explode(F.array(
             F.struct(F.lit("adf_stat").alias("name"), F.lit(0).alias("lag"), F.col("stat").alias("value")),
@@ -250,12 +270,14 @@ def stationarity_report(spark, root):
             F.struct(F.lit("adf_p_value").alias("name"), F.lit(0).alias("lag"), F.col("p_value").alias("value")),
             F.struct(F.lit("adf_reject").alias("name"), F.lit(0).alias("lag"), F.col("reject_5pct").cast("double").alias("value")),
         ))).select("col.*"),
-        diagnostics.acf(train, 10).select(F.lit("acf").alias("name"), "lag", F.col("acf").alias("value")),
-        diagnostics.pacf(train, 10).select(F.lit("pacf").alias("name"), "lag", F.col("pacf").alias("value")),
+        diagnostics.acf(train, 40).select(F.lit("acf").alias("name"), "lag", F.col("acf").alias("value")),
+        diagnostics.pacf(train, 40).select(F.lit("pacf").alias("name"), "lag", F.col("pacf").alias("value")),
         best.select(F.explode(F.array(*[
             F.struct(F.lit(f"best_{k}").alias("name"), F.lit(0).alias("lag"), F.col(f"b.{k}").cast("double").alias("value"))
             for k in ("p", "d", "q", "aic")
         ]))).select("col.*"),
+        steps.select(F.lit("forecast").alias("name"), F.col("step").alias("lag"), F.col("forecast").alias("value")),
+        error.select(F.lit("holdout_mape").alias("name"), F.lit(0).alias("lag"), F.col("mape").alias("value")),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -265,9 +287,9 @@ def stationarity_report(spark, root):
 
 @query("model_selection_report")
 def model_selection_report(spark, root):
-    """How often each criterion keeps the three-column model against every larger one, and the mean criteria."""
-    nested = regression.nested_models(models.centred_replicates(spark, root), ["rep"], "y", models.XS, [3, 4, 5, 6])
-    share = regression.selection_frequency(nested, ["rep"], 3)
+    """How often each criterion keeps the five-column model against every larger one, and the mean criteria."""
+    nested = models.wide_models(spark, root)
+    share = regression.selection_frequency(nested, ["rep"], 5)
     means = nested.groupBy(F.col("k").alias("m")).agg(
         F.avg("adj_r2").alias("mean_adj_r2"), F.avg("aic").alias("mean_aic"), F.avg("bic").alias("mean_bic")
     )

@@ -11,6 +11,33 @@ from marketseries.operators import clusters, diagnostics, intraday, portfolio, r
 from marketseries.operators import validation as val
 
 
+@pytest.mark.parametrize("tile", [1, 4, 8, 64])
+def test_fifty_nested_columns_match_direct_fits(spark, tile):
+    rng = np.random.default_rng(7)
+    names = [f"z{i}" for i in range(50)]
+    frames = []
+    for g, n in (("a", 120), ("b", 400)):
+        x = rng.normal(size=(n, 50)) @ (np.eye(50) + 0.1)
+        if g == "b":
+            x[:, 30] = x[:, 3] - 2 * x[:, 7]  # depends on columns before it: no fits from here on
+        frames.append(pd.DataFrame(x, columns=names).assign(y=0.05 * x[:, :5].sum(axis=1) + rng.normal(size=n), g=g))
+    data = pd.concat(frames)
+    df = spark.createDataFrame(data)
+    tiles = regression.gram_tiles(df, ["g"], [*names, "y"], tile)
+    assert "Python" not in tiles._jdf.queryExecution().toString()
+    out = {(r["g"], r["k"]): r for r in regression.nested_models(df, ["g"], "y", names, range(5, 51), tile).collect()}
+    assert len(out) == 2 * 46
+    for (g, k), r in out.items():
+        own = data[data["g"] == g]
+        x, y = own[names[:k]].to_numpy(), own["y"].to_numpy()
+        if g == "b" and k > 30:
+            assert r["ssr"] is None and r["aic"] is None
+            continue
+        ssr = np.linalg.lstsq(x, y, rcond=None)[1][0]
+        assert r["n"] == len(y) and r["ssr"] == pytest.approx(ssr, rel=1e-8) and r["syy"] == pytest.approx(y @ y)
+        assert r["bic"] == pytest.approx(k * np.log(len(y)) + len(y) * (np.log(2 * np.pi * ssr / len(y)) + 1))
+
+
 def test_rolling_betas_match_direct_fits(spark):
     rng = np.random.default_rng(3)
     rows = []
