@@ -42,11 +42,12 @@ def update(labelled: DataFrame, centroids: DataFrame, by: Sequence[str], k: int,
     return centroids.join(by_label, by, "left").select(*by, fresh.alias("centroids"), F.col("centroids").alias("_old"))
 
 
-def hashed_start(points: DataFrame, by: Sequence[str], id_col: str, k: int) -> DataFrame:
-    """k rows per group in the order of a hash of their id: arbitrary, yet the same on every run."""
+def hashed_start(points: DataFrame, by: Sequence[str], id_col: str, k: int, seed: str | None = None) -> DataFrame:
+    """k rows per group in the order of a hash of their id, and of the column ``seed``: arbitrary, yet always the same."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy(*by).orderBy(F.xxhash64(id_col), id_col)
+    drawn = F.xxhash64(id_col) if seed is None else F.xxhash64(id_col, seed)
+    order = Window.partitionBy(*by).orderBy(drawn, id_col)
     first = points.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k)
     picked = first.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_n", "x"))).alias("_s"))
     # a group with fewer rows than k repeats its rows; the repeats stay empty
@@ -60,6 +61,25 @@ def fixed_start(points: DataFrame, by: Sequence[str], centroids: Sequence[Sequen
     return points.select(*by).distinct().withColumn("centroids", start)
 
 
+def settled(vectors: DataFrame, state: DataFrame, by: Sequence[str], k: int, dim: int, max_iter: int | None, tolerance: float) -> DataFrame:
+    """Centroids after alternating steps until none moves by more than ``tolerance`` of its length.
+
+    Labels of equal distance go to the lowest one, so that a round that changes anything lowers the cost and rounds
+    end. With ``max_iter``, more rounds than that are an error, not a result.
+    """
+    rounds = 0
+    while True:
+        step = update(assign(vectors, state, by), state, by, k, dim)
+        written = cut_lineage(step, "centroids")
+        shifted = F.zip_with("centroids", "_old", lambda a, b: _distance(a, b) > tolerance**2 * _square(b))
+        state = written.drop("_old")
+        if written.where(F.exists(shifted, lambda m: m)).isEmpty():
+            return state
+        rounds += 1
+        if max_iter is not None and rounds >= max_iter:
+            raise RuntimeError(f"clusters still move after {rounds} rounds")
+
+
 def kmeans_grouped(
     df: DataFrame,
     by: Sequence[str],
@@ -67,15 +87,15 @@ def kmeans_grouped(
     id_col: str,
     k: int = 4,
     start: Sequence[Sequence[float]] | None = None,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     tolerance: float = 1e-11,
+    restarts: int = 1,
 ) -> DataFrame:
     """``df`` with a ``cluster`` column.
 
-    All groups iterate together. The points are written once, the centroids once
-    per round; the loop ends when no centroid moves by more than ``tolerance``
-    of its length. Only a yes/no answer per
-    round reaches the driver.
+    All groups, and all ``restarts`` from different random rows, iterate together; of each group the start of the
+    least cost is kept, of equal ones the first. The points are written once, the centroids once per round. Only a
+    yes/no answer per round reaches the driver. A given ``start`` is the only one.
     """
     by = list(by)
     vector = F.array(*[F.col(f).cast("double") for f in features]) if len(features) > 1 else F.col(features[0])
@@ -84,17 +104,17 @@ def kmeans_grouped(
     if dim is None:
         return points.withColumn("cluster", F.lit(None).cast("int")).drop("x")
     dim = dim[0]
-    state = hashed_start(points, by, id_col, k) if start is None else fixed_start(points, by, start)
-    state = cut_lineage(state, "centroids")
-    vectors = points.select(*by, "x")
-    for _ in range(max_iter):
-        step = update(assign(vectors, state, by), state, by, k, dim)
-        written = cut_lineage(step, "centroids")
-        shifted = F.zip_with("centroids", "_old", lambda a, b: _distance(a, b) > tolerance**2 * _square(b))
-        moved = F.exists(shifted, lambda m: m)
-        state = written.drop("_old")
-        if written.where(moved).limit(1).count() == 0:
-            break
+    runs = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("_run")
+    if start is None and restarts > 1:
+        keys = [*by, "_run"]
+        vectors = points.select(*by, "x", runs)
+        state = cut_lineage(hashed_start(points.select(*by, id_col, "x", runs), keys, id_col, k, "_run"), "centroids")
+        state = cut_lineage(settled(vectors, state, keys, k, dim, max_iter, tolerance), "centroids")
+        least = cost(vectors, state, keys).groupBy(*by).agg(F.min_by("_run", F.struct("cost", "_run")).alias("_run"))
+        state = state.join(least, keys).drop("_run")
+    else:
+        state = hashed_start(points, by, id_col, k) if start is None else fixed_start(points, by, start)
+        state = settled(points.select(*by, "x"), cut_lineage(state, "centroids"), by, k, dim, max_iter, tolerance)
     out = assign(points, state, by)
     return out if features == ["x"] else out.drop("x")
 

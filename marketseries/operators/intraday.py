@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketseries.operators.blocks import ensure_index, index_series
@@ -28,51 +28,79 @@ def five_minute_bars(ticks: DataFrame, tiebreak: str, asset: str = "asset", ts:
     )
 
 
-def daily_close(bars: DataFrame) -> DataFrame:
-    return bars.groupBy("asset", F.to_date("ts").alias("date")).agg(F.max_by("close", "ts").alias("close"))
+def session_of(ts: str, session: str = "day") -> Column:
+    """The trading session of a moment: its date, or the start of its hour or other unit."""
+    return F.to_date(ts) if session == "day" else F.date_trunc(session, F.col(ts)).cast("timestamp_ntz")
 
 
-def garch_window(r: np.ndarray, alphas: Sequence[float] = ALPHAS, betas: Sequence[float] = BETAS):
-    """Best (alpha, beta) of each row of ``r`` under variance targeting, and the next variance."""
-    target = r.var(axis=1)
+def daily_close(bars: DataFrame, session: str = "day") -> DataFrame:
+    return bars.groupBy("asset", session_of("ts", session).alias("date")).agg(F.max_by("close", "ts").alias("close"))
+
+
+#: Rows of a block; each is sent to it once, and to the next one if a window there begins with it.
+GARCH_BLOCK = 1024
+
+
+def garch_windows(r: np.ndarray, window: int, alphas: Sequence[float] = ALPHAS, betas: Sequence[float] = BETAS):
+    """Whether each window of ``r`` is complete (no NaN), its best (alpha, beta) under variance targeting, the next variance.
+
+    Windows are views of ``r``; all pairs and windows take a step of the recursion together. Without spread: NaN.
+    """
+    w = np.lib.stride_tricks.sliding_window_view(r, window)
+    full = ~np.isnan(w).any(axis=1)
+    target = w.var(axis=1)
     target = np.where(target > 0, target, np.nan)
-    best = np.full((len(r), 4), np.nan)
-    best[:, 0] = np.inf
-    for a in alphas:
-        for b in betas:
-            if a + b >= 1:
-                continue
-            v, loss = target.copy(), np.zeros(len(r))
-            for t in range(r.shape[1]):
-                square = r[:, t] ** 2
-                loss += np.log(v) + square / v
-                v = target * (1 - a - b) + a * square + b * v
-            better = loss < best[:, 0]
-            best[better] = np.column_stack([loss, np.full(len(r), a), np.full(len(r), b), v])[better]
-    return best[:, 1], best[:, 2], best[:, 3]
-
-
-def garch_forecast(returns: DataFrame, window: int = 180, key: str = "asset", date: str = "date", ret: str = "ret", every: str = "month") -> DataFrame:
+    pairs = np.array([(a, b, 1 - a - b) for a in alphas for b in betas if a + b < 1])
+    a, b, c = pairs.T[:, :, None]
+    v, loss = np.repeat(target[None], len(pairs), axis=0), np.zeros((len(pairs), len(w)))
+    for t in range(window):
+        square = w[:, t] ** 2
+        loss += np.log(v) + square / v
+        v = target * c + a * square + b * v
+    best = loss.argmin(axis=0)
+    there = np.isfinite(target)
+    fitted = (np.where(there, x, np.nan) for x in (pairs[best, 0], pairs[best, 1], v[best, np.arange(len(w))]))
+    return full, *fitted
+
+
+def garch_forecast(
+    returns: DataFrame,
+    window: int = 180,
+    key: str = "asset",
+    date: str = "date",
+    ret: str = "ret",
+    every: str = "month",
+    alphas: Sequence[float] = ALPHAS,
+    betas: Sequence[float] = BETAS,
+    block: int = GARCH_BLOCK,
+) -> DataFrame:
     """One-day-ahead variance from the last ``window`` returns of each row, itself included.
 
-    Rows without that many returns are left out.
+    Rows without that many returns are left out; a window without spread has null estimates. Rows meet in blocks of
+    consecutive positions, with the ``window`` - 1 rows before it: a return is sent once or twice, never once for each
+    window it is in. Only the array of a block's returns goes to a worker, which looks at windows of it in place.
     """
     rows, added = ensure_index(returns, [key], date, every)
-
-    def stage(ctx):
-        return {"_r": F.collect_list(ret).over(ctx.w.rowsBetween(-(window - 1), 0))}
-
-    @F.pandas_udf("alpha double, beta double, variance double")
+    last = F.expr(f"least(pos + {window - 1}, n_obs - 1) div {block}")
+    dealt = rows.select(
+        F.col(key).alias("_key"), F.explode(F.sequence(F.expr(f"pos div {block}"), last)).alias("_block"),
+        F.struct("pos", F.col(ret).cast("double").alias("r"), F.struct(*returns.columns).alias("row")).alias("_row"))
+    # at most block + window - 1 rows
+    blocks = dealt.groupBy("_key", "_block").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+
+    @F.pandas_udf("full array<boolean>, alpha array<double>, beta array<double>, variance array<double>")
     def fit(series: pd.Series) -> pd.DataFrame:
-        if series.empty:
-            return pd.DataFrame(columns=["alpha", "beta", "variance"], dtype=float)
-        a, b, v = garch_window(np.stack(series.to_numpy()).astype(float))
-        return pd.DataFrame({"alpha": a, "beta": b, "variance": v})
+        found = [garch_windows(np.asarray(r, dtype=float), window, alphas, betas) for r in series]
+        return pd.DataFrame(found, columns=["full", "alpha", "beta", "variance"])
 
-    framed = apply_indicators(rows, [Indicator((stage,), back=window - 1)], [key]).where(F.size("_r") == window)
-    return framed.withColumn("_g", fit("_r")).select(
-        *returns.columns, F.col("_g.alpha").alias("alpha"), F.col("_g.beta").alias("beta"), F.col("_g.variance").alias("variance")
-    ).drop(*added)
+    blocks = blocks.where(F.size("_rows") >= window).withColumn("_g", fit(F.transform("_rows", lambda x: x["r"])))
+    ends = F.slice("_rows", window, F.size("_rows")).alias("x")
+    found = blocks.select("_block", F.explode(F.arrays_zip(
+        ends, F.col("_g.full").alias("full"), F.col("_g.alpha").alias("alpha"), F.col("_g.beta").alias("beta"),
+        F.col("_g.variance").alias("variance"))).alias("z"))
+    found = found.where((F.col("z.x.pos") >= F.col("_block") * block) & F.col("z.full"))
+    fitted = [F.nanvl(f"z.{c}", F.lit(None)).alias(c) for c in ("alpha", "beta", "variance")]
+    return found.select("z.x.row.*", *fitted).drop(*[c for c in added if c not in returns.columns])
 
 
 def premium_signal(
@@ -107,13 +135,13 @@ def rolling_variance(df: DataFrame, n: int, key: str = "asset", date: str = "dat
 
 
 def attach_previous_signal(
-    ticks: DataFrame, daily: DataFrame, signal: str = "signal_daily", ret: str = "ret"
+    ticks: DataFrame, daily: DataFrame, signal: str = "signal_daily", ret: str = "ret", session: str = "day"
 ) -> DataFrame:
     """Each tick gets the signal of the session before its own; sessions without a return are left out."""
     rows, _ = ensure_index(daily, ["asset"], "date")
     shifted = apply_indicators(rows, [Indicator((lambda ctx: {"_s": F.lag(signal, 1).over(ctx.w)},), back=1)], ["asset"])
     usable = shifted.where(F.col(ret).isNotNull()).select("asset", "date", F.col("_s").alias(signal))
-    return ticks.withColumn("date", F.to_date("ts")).join(usable, ["asset", "date"])
+    return ticks.withColumn("date", session_of("ts", session)).join(usable, ["asset", "date"])
 
 
 def intraday_signal(bars: DataFrame, length: int = 20, low: float = 30.0, high: float = 70.0) -> DataFrame:

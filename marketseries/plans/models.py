@@ -203,7 +203,7 @@ def month_points(spark, root):
 
 @query("kmeans_by_month")
 def kmeans_by_month(spark, root):
-    out = clusters.kmeans_grouped(month_points(spark, root), ["month_end"], ["level", "turnover"], "ticker", k=4)
+    out = clusters.kmeans_grouped(month_points(spark, root), ["month_end"], ["level", "turnover"], "ticker", k=4, restarts=10)
     return out.select("month_end", "ticker", "level", "turnover", "cluster")
 
 
@@ -436,8 +436,8 @@ def ticks(spark, root):
     return src.five_minute_ticks(spark, root)
 
 
-def daily_returns_of(ticks_df):
-    rows = index_series(intraday.daily_close(ticks_df), ["asset"], "date")
+def daily_returns_of(ticks_df, session="day"):
+    rows = index_series(intraday.daily_close(ticks_df, session), ["asset"], "date")
     return ind.apply_indicators(rows, [ind.log_return("close")], ["asset"])
 
 

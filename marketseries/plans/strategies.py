@@ -298,11 +298,14 @@ def model_selection_report(spark, root):
 
 @query("intraday_mean_reversion")
 def intraday_mean_reversion(spark, root):
-    """Variance forecast, premium signal of the previous session, first agreeing tick, held to the close."""
+    """Variance forecast, premium signal of the previous session, first agreeing tick, held to the close.
+
+    The tables hold thirty days, so a session is an hour here: all three windows of 180 sessions are full.
+    """
     ticks = cut_lineage(models.ticks(spark, root), "ticks")
-    daily = intraday.rolling_variance(models.daily_returns_of(ticks), 4)
-    daily = cut_lineage(intraday.garch_forecast(daily, 8).drop("pos", "n_obs"), "variance")
-    daily_signal = intraday.premium_signal(daily, n=4)
+    daily = intraday.rolling_variance(models.daily_returns_of(ticks, "hour"), 180, every="day")
+    daily = cut_lineage(intraday.garch_forecast(daily, 180, every="day").drop("pos", "n_obs"), "variance")
+    daily_signal = intraday.premium_signal(daily, n=180, every="day")
     signals = intraday.intraday_signal(ticks, low=48, high=52)
-    trades = intraday.first_signal_of_day(intraday.attach_previous_signal(signals, daily_signal))
+    trades = intraday.first_signal_of_day(intraday.attach_previous_signal(signals, daily_signal, session="hour"))
     return rounded(trades.select("asset", "date", "entry_ts", "side", "entry_close", "exit_close", "trade_return"))

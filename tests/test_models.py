@@ -143,6 +143,32 @@ def test_hashed_start_is_stable_and_small_groups_work(spark):
     assert one == two and len(one) == 32
 
 
+def inertia(part):
+    return sum(((x.to_numpy() - x.to_numpy().mean(axis=0)) ** 2).sum() for _, x in part.groupby("cluster")[["a", "b"]])
+
+
+def test_restarts_never_cost_more_than_a_single_start(spark):
+    rng = np.random.default_rng(11)
+    frames = [pd.DataFrame({"g": g, "id": range(60), "a": rng.normal(rng.integers(0, 6, 60), 0.4), "b": rng.normal(rng.integers(0, 3, 60), 0.4)}) for g in range(4)]
+    df = spark.createDataFrame(pd.concat(frames))
+    many = clusters.kmeans_grouped(df, ["g"], ["a", "b"], "id", k=5, restarts=6).toPandas()
+    assert sorted(many.columns) == ["a", "b", "cluster", "g", "id"] and len(many) == 240
+    points = df.select("g", "id", F.array("a", "b").alias("x"))
+    gained = 0
+    for run in range(6):
+        start = clusters.hashed_start(points.withColumn("_run", F.lit(run)), ["g", "_run"], "id", 5, "_run")
+        for row in start.collect():
+            own = frames[row["g"]]
+            label = lloyd(own[["a", "b"]].to_numpy(), row["centroids"], 1000)
+            single = inertia(own.assign(cluster=label))
+            best = inertia(many[many["g"] == row["g"]])
+            assert best <= single + 1e-9
+            gained += best < single - 1e-9
+    assert gained > 0
+    with pytest.raises(RuntimeError):
+        clusters.kmeans_grouped(df, ["g"], ["a", "b"], "id", k=5, max_iter=1)
+
+
 def sharpe(w, mu, cov, rf=0.02):
     return (w @ (mu - rf)) / np.sqrt(w @ cov @ w)
 
@@ -299,23 +325,50 @@ def test_order_search_agrees_with_single_fit(spark):
     assert row["aic"] == pytest.approx(one["aic"]) and row["n"] == one["n"]
 
 
-def test_garch_grid_matches_plain_loop():
-    r = np.random.default_rng(0).normal(0, 0.02, (3, 60))
-    a, b, v = intraday.garch_window(r)
-    for i in range(3):
-        best = None
-        s2 = r[i].var()
-        for x in intraday.ALPHAS:
-            for z in intraday.BETAS:
-                if x + z >= 1:
-                    continue
-                h, loss = s2, 0.0
-                for e in r[i]:
-                    loss += np.log(h) + e * e / h
-                    h = s2 * (1 - x - z) + x * e * e + z * h
-                if best is None or loss < best[0]:
-                    best = (loss, x, z, h)
-        assert (a[i], b[i]) == best[1:3] and v[i] == pytest.approx(best[3])
+def best_variance(r):
+    """Best (alpha, beta) and the next variance of one window, by a plain loop."""
+    best, s2 = None, r.var()
+    for x in intraday.ALPHAS:
+        for z in intraday.BETAS:
+            if x + z >= 1:
+                continue
+            h, loss = s2, 0.0
+            for e in r:
+                loss += np.log(h) + e * e / h
+                h = s2 * (1 - x - z) + x * e * e + z * h
+            if best is None or loss < best[0]:
+                best = (loss, x, z, h)
+    return best[1:]
+
+
+@pytest.mark.parametrize("block", [7, 40, 1024])
+def test_garch_grid_matches_plain_loop(spark, block):
+    rng = np.random.default_rng(0)
+    window, days = 30, [dt.date(2000, 1, 1) + dt.timedelta(days=i) for i in range(90)]
+    series = {"a": rng.normal(0, 0.02, 90), "b": np.where(np.arange(90) < 60, 0.01, rng.normal(0, 0.01, 90)), "c": rng.normal(0, 1, 29)}
+    rows = [(k, d, None if (k, i) == ("a", 0) else float(r), k) for k, x in series.items() for i, (d, r) in enumerate(zip(days, x))]
+    df = spark.createDataFrame(rows, "asset string, date date, ret double, other string").repartition(3)
+    out = intraday.garch_forecast(df, window, block=block)
+    assert out.columns == ["asset", "date", "ret", "other", "alpha", "beta", "variance"]
+    got = {(r["asset"], r["date"]): r for r in out.collect()}
+    assert len(got) == 90 - window + 90 - window + 1
+    for k in "ab":
+        for i in range(window if k == "a" else window - 1, 90):
+            r, w = got[k, days[i]], series[k][i - window + 1 : i + 1]
+            if w.var() < 1e-30:  # no spread: rounding decides whether the variance is a true zero
+                assert r["alpha"] is None or r["variance"] < 1e-3
+                continue
+            alpha, beta, variance = best_variance(w)
+            assert (r["alpha"], r["beta"]) == (alpha, beta) and r["variance"] == pytest.approx(variance)
+
+
+def test_windows_are_not_copied_to_other_tasks(spark):
+    """Rows that are exchanged for the fit: each return once, and again only before the next block."""
+    rows = spark.range(3000).select(F.lit("a").alias("asset"), F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("date"), (F.rand(1) - 0.5).alias("ret"))
+    n, window, block = 3000, 180, 1024
+    dealt = sum(min(n, (b + 1) * block) - max(0, b * block - (window - 1)) for b in range(-(-n // block)))
+    assert dealt <= n * (1 + (window - 1) / block)
+    assert intraday.garch_forecast(rows, window, block=block, alphas=(0.05,), betas=(0.9,)).count() == n - window + 1
 
 
 def test_fold_bounds():
