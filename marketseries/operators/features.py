@@ -30,8 +30,8 @@ def daily_indicators(bars: DataFrame, every: str = "month") -> DataFrame:
     return ind.apply_indicators(rows, chosen).drop("pos", "n_obs")
 
 
-def monthly_panel(daily: DataFrame) -> DataFrame:
-    """Month-end values, mean dollar volume, and z-scores over the whole daily history.
+def monthly_panel(daily: DataFrame, as_of: bool = False) -> DataFrame:
+    """Month-end values, mean dollar volume, and z-scores over the whole daily history, or ``as_of`` each month's end.
 
     A z-score is linear, so it is applied to the month-end value. Count, mean and
     squared deviations are kept per month and merged per ticker: the daily rows
@@ -46,26 +46,30 @@ def monthly_panel(daily: DataFrame) -> DataFrame:
         ]
     monthly = daily.groupBy("ticker", F.last_day("date").alias("month_end")).agg(*aggs)
     whole = Window.partitionBy("ticker")  # one row per month
+    seen = whole.orderBy("month_end").rowsBetween(Window.unboundedPreceding, 0) if as_of else whole
     for c in ZSCORED:
         n, m, q = F.col(f"_n_{c}"), F.col(f"_m_{c}"), F.col(f"_q_{c}")
-        mean = F.sum(n * m).over(whole) / F.nullif(F.sum(n).over(whole), F.lit(0))
-        monthly = monthly.withColumn("_mean", mean)
-        spread = F.sum(q + n * (m - F.col("_mean")) * (m - F.col("_mean"))).over(whole)
-        sd = F.sqrt(F.try_divide(spread, F.sum(n).over(whole) - 1))
-        monthly = monthly.withColumn("_sd", sd).withColumn(c, F.try_divide(F.col(c) - F.col("_mean"), F.col("_sd")))
-    extra = ["_mean", "_sd", *[f"_{k}_{c}" for c in ZSCORED for k in "nmq"]]
+        # deviations are taken around the mean of all, which changes no result but keeps digits
+        monthly = monthly.withColumn("_all", F.sum(n * m).over(whole) / F.nullif(F.sum(n).over(whole), F.lit(0)))
+        gap = F.coalesce(m - F.col("_all"), F.lit(0.0))
+        monthly = monthly.withColumns({
+            "_k": F.sum(n).over(seen), "_s1": F.sum(n * gap).over(seen), "_s2": F.sum(F.coalesce(q, F.lit(0.0)) + n * gap * gap).over(seen)})
+        sd = F.sqrt(F.try_divide(F.col("_s2") - F.try_divide(F.col("_s1") * F.col("_s1"), F.col("_k")), F.col("_k") - 1))
+        mean = F.col("_all") + F.try_divide(F.col("_s1"), F.col("_k"))
+        monthly = monthly.withColumn("_sd", sd).withColumn(c, F.try_divide(F.col(c) - mean, F.col("_sd")))
+    extra = ["_all", "_k", "_s1", "_s2", "_sd", *[f"_{k}_{c}" for c in ZSCORED for k in "nmq"]]
     return monthly.drop(*extra).na.drop()
 
 
 def monthly_feature_panel(
-    bars: DataFrame, universe: int = 150, months: int = 60, min_periods: int = 12, every: str = "month"
+    bars: DataFrame, universe: int = 150, months: int = 60, min_periods: int = 12, every: str = "month", as_of: bool = False
 ) -> DataFrame:
     """Month-end features and horizon returns of the most liquid names (rank strictly below ``universe``).
 
     The monthly table and its liquid part are read several times further down;
     each is written once, so the daily rows are processed only once.
     """
-    monthly = cut_lineage(monthly_panel(daily_indicators(bars, every)), "monthly")
+    monthly = cut_lineage(monthly_panel(daily_indicators(bars, every), as_of), "monthly")
     rolled = cut_lineage(panel.rolling_months(monthly, "dollar_volume", months, min_periods), "rolled")
     liquid = panel.top_n(rolled, ["month_end"], "dollar_volume", universe).drop("dollar_volume", "rank")
     return ind.horizon_returns(cut_lineage(liquid, "liquid"), horizons=HORIZONS).na.drop()

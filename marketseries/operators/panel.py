@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketseries.operators.blocks import average_rank, join_group_stats, top_n
+from marketseries.operators.blocks import average_rank, join_group_stats, running_sum, top_n
 
 __all__ = [
-    "average_rank", "drop_incomplete_dates", "fill_group_mean", "group_moments", "group_zscore", "holdings_list",
+    "average_rank", "drop_incomplete_dates", "expanding_moments", "fill_group_mean", "group_moments", "group_zscore", "holdings_list",
     "keep_min_obs", "last_present", "monthly_last", "monthly_mean", "rolling_months", "to_long", "to_wide", "top_n",
 ]
 
@@ -54,21 +54,52 @@ def group_moments(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> Data
     return df.groupBy(*by).agg(*aggs)
 
 
-def group_zscore(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(x - mean) / sample deviation over the whole history of the group."""
-    joined = join_group_stats(df, group_moments(df, by, cols), by)
+def expanding_moments(
+    df: DataFrame, by: Sequence[str], cols: Sequence[str], ts: str, every: str = "month", tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_mean_c`` and ``_sd_c`` over the rows of the group up to and including each row, in time order.
+
+    Counts, sums and squares are kept per time bucket, carried over the buckets and added up inside the row's own one,
+    so no series is one task. They are taken around the group's mean, which changes no result but keeps digits.
+    """
+    by = list(by)
+    centred = join_group_stats(df, df.groupBy(*by).agg(*[F.avg(c).alias(f"_c_{c}") for c in cols]), by)
+    sums = {}
+    for c in cols:
+        gap = F.col(c) - F.col(f"_c_{c}")
+        sums |= {f"_n_{c}": F.when(gap.isNotNull(), 1.0), f"_s1_{c}": gap, f"_s2_{c}": gap * gap}
+    rows = running_sum(centred, by, ts, sums, every, tiebreak)
+    out = {}
+    for c in cols:
+        n, s1, s2 = F.col(f"_n_{c}"), F.col(f"_s1_{c}"), F.col(f"_s2_{c}")
+        out[f"_mean_{c}"] = F.when(n > 0, F.col(f"_c_{c}") + s1 / n)
+        spread = s2 - s1 * s1 / n  # what rounding leaves of equal values is none
+        out[f"_sd_{c}"] = F.when(n > 1, F.when(spread > s2 * 1e-12, F.sqrt(spread / (n - 1))).otherwise(0.0))
+    return rows.withColumns(out).drop(*sums, *[f"_c_{c}" for c in cols])
+
+
+def group_zscore(df: DataFrame, by: Sequence[str], cols: Sequence[str], as_of: str | None = None, every: str = "month") -> DataFrame:
+    """(x - mean) / sample deviation over the whole history of the group, or with ``as_of`` over its rows so far.
+
+    ``as_of`` names the time column; the result then looks at nothing after the row, and is null for the first one.
+    """
+    if as_of is None:
+        joined = join_group_stats(df, group_moments(df, by, cols), by)
+    else:
+        joined = expanding_moments(df, by, cols, as_of, every)
     return joined.withColumns(
         {c: F.try_divide(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_sd_{c}")) for c in cols}
     ).drop(*[f"_{p}_{c}" for c in cols for p in ("mean", "sd")])
 
 
-def fill_group_mean(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
-    return (
-        join_group_stats(df, means, by)
-        .withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in cols})
-        .drop(*[f"_mean_{c}" for c in cols])
-    )
+def fill_group_mean(df: DataFrame, by: Sequence[str], cols: Sequence[str], as_of: str | None = None, every: str = "month") -> DataFrame:
+    """Nulls become the group's mean, or with ``as_of`` the mean of the rows so far; none so far: the null stays."""
+    if as_of is None:
+        means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
+        joined = join_group_stats(df, means, by)
+    else:
+        joined = expanding_moments(df, by, cols, as_of, every).drop(*[f"_sd_{c}" for c in cols])
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in cols}).drop(*[f"_mean_{c}" for c in cols])
 
 
 def keep_min_obs(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -390,8 +390,10 @@ def join_weights(spark, root):
 SELECT ticker, date, close FROM bars
 WHERE ticker IN (SELECT symbol FROM sentiment WHERE likes > 20 AND comments > 10)""", "bars", "sentiment"))
 def semi_join_price_pruning(spark, root):
-    names = engaged(src.sentiment(spark, root)).select(F.col("symbol").alias("ticker")).distinct()
-    return src.bars(spark, root).select("ticker", "date", "close").join(names, "ticker", "left_semi")
+    """The bars are stored in folders by name once; the scan then reads those of the chosen names alone."""
+    names = engaged(src.sentiment(spark, root)).select(F.col("symbol").alias("ticker"))
+    store = readers.store_bars(src.bars(spark, root).select("ticker", "date", "close"), scratch_path(spark, "bars"))
+    return readers.bars_of(store, names).select("ticker", "date", "close")
 
 
 @query("complete_dates", sql("""
@@ -592,6 +594,25 @@ def annualised_return(spark, root):
     return mu.select("rebalance_date", "ticker", r_col(F.log1p("mu"), 5).alias("log_mu"))
 
 
+@query("group_mean_std_as_of", sql(f"""
+SELECT ticker, date, {r('(close - avg(close) OVER w) / nullif(stddev_samp(close) OVER w, 0)')} AS close
+FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING)""", "bars"))
+def group_mean_std_as_of(spark, root):
+    """The z-score of each row among the rows so far: nothing after a row is looked at."""
+    bars = src.bars(spark, root).select("ticker", "date", "close")
+    return rounded(panel.group_zscore(bars, ["ticker"], ["close"], as_of="date"))
+
+
+@query("fill_group_mean_as_of", sql(f"""
+SELECT ticker, date, {r('coalesce(high_ret, avg(high_ret) OVER w)')} AS high_ret FROM (
+  SELECT ticker, date, CASE WHEN abs(ret) < 0.5 THEN ret END AS high_ret FROM f)
+WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING)""", "bars", extra=[_FEATURES]))
+def fill_group_mean_as_of(spark, root):
+    """Returns beyond a half are blanked and filled with the mean of those so far."""
+    df = with_features(spark, root).select("ticker", "date", F.when(F.abs("ret") < 0.5, F.col("ret")).alias("high_ret"))
+    return rounded(panel.fill_group_mean(df, ["ticker"], ["high_ret"], as_of="date"))
+
+
 # --------------------------------------------- sorts, limits and reshaping
 
 

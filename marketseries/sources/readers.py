@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketseries.functions.scalar import normalise_symbol
@@ -42,6 +42,30 @@ def read_bars(
     return bars
 
 
+#: Folders that a store of bars is dealt out to by name.
+BUCKETS = 64
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def store_bars(bars: DataFrame, path: str, key: str = "ticker", date: str = "date") -> DataFrame:
+    """Writes bars in folders by a hash of the name, sorted by name and date, and returns the store.
+
+    Rows of a folder are dealt to tasks by name and month, so that no name is one task.
+    """
+    rows = bars.withColumn("bucket", _bucket(key)).repartition("bucket", F.trunc(date, "year"))
+    rows.sortWithinPartitions("bucket", key, date).write.partitionBy("bucket").parquet(path)
+    return bars.sparkSession.read.parquet(path)
+
+
+def bars_of(store: DataFrame, names: DataFrame, key: str = "ticker") -> DataFrame:
+    """Bars of the listed names: the folders of other names are left out of the scan when the names are known."""
+    wanted = names.select(key).distinct().withColumn("bucket", _bucket(key))
+    return store.join(wanted, ["bucket", key], "left_semi").drop("bucket")
+
+
 def universe(df: DataFrame, col: str) -> DataFrame:
     return df.select(normalise_symbol(col).alias("symbol")).distinct()
 

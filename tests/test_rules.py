@@ -2,6 +2,8 @@
 
 import datetime as dt
 import math
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +162,55 @@ def test_total_loss_is_for_good(spark):
     df = spark.createDataFrame(rows, "date date, r double")
     found = [x["c"] for x in backtest.compounded(df, {"c": "r"}).orderBy("date").collect()]
     assert found[0] == pytest.approx(0.1) and found[1:] == [-1.0, -1.0, None, None, -1.0]
+
+
+def test_statistics_so_far_equal_a_loop(spark):
+    """Moments of the rows up to each one, with nulls, a flat stretch and values far from zero."""
+    rng = random.Random(4)
+    series = {"a": [1e6 + rng.gauss(0, 1) if rng.random() < 0.8 else None for _ in range(150)], "b": [5.0] * 40 + [6.0, None, 7.0], "c": [None, 2.0]}
+    rows = [(k, day(i), v) for k, x in series.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "ticker string, date date, close double").repartition(4)
+    z = {(r["ticker"], r["date"]): r["close"] for r in panel.group_zscore(df, ["ticker"], ["close"], as_of="date").collect()}
+    filled = {(r["ticker"], r["date"]): r["close"] for r in panel.fill_group_mean(df, ["ticker"], ["close"], as_of="date").collect()}
+    assert len(z) == len(rows) == len(filled)
+    for k, x in series.items():
+        for i, v in enumerate(x):
+            so_far = [y for y in x[: i + 1] if y is not None]
+            mean = statistics.fmean(so_far) if so_far else None
+            assert filled[k, day(i)] == (pytest.approx(mean if v is None else v) if so_far else None)
+            sd = statistics.stdev(so_far) if len(so_far) > 1 else 0
+            assert z[k, day(i)] == (pytest.approx((v - mean) / sd, abs=1e-5) if v is not None and sd else None)
+
+
+def test_statistics_so_far_ignore_later_rows(spark):
+    early = prices(spark, [1.0, 2.0, 4.0, 3.0])
+    late = prices(spark, [1.0, 2.0, 4.0, 3.0, 900.0, -50.0])
+    one, two = (panel.group_zscore(d, ["ticker"], ["close"], as_of="date").orderBy("date").limit(4).collect() for d in (early, late))
+    assert [r["close"] for r in one][1:] == pytest.approx([r["close"] for r in two][1:]) and one[0]["close"] is None
+
+
+def scanned_rows(df):
+    """Rows that the scans of a plan without adaptive execution gave, after it has run."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()) if "FileScan" in leaves.apply(i).toString())
+
+
+def test_scan_of_stored_bars_is_pruned(spark, tmp_path):
+    bars = spark.range(20_000).select(
+        F.format_string("t%03d", F.col("id") % 200).alias("ticker"), F.date_add(F.lit(day(0)), (F.col("id") / 200).cast("int")).alias("date"),
+        F.col("id").cast("double").alias("close"))
+    store = readers.store_bars(bars, f"{tmp_path}/store")
+    spark.createDataFrame([(f"t{i:03d}", i) for i in range(200)], "ticker string, likes int").write.parquet(f"{tmp_path}/names")
+    names = spark.read.parquet(f"{tmp_path}/names").where("likes < 3")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = readers.bars_of(store, names)
+        assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
+        read, whole = scanned_rows(found), scanned_rows(store)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert whole == 20_000 and read < whole / 5
+    wanted = bars.where(F.col("ticker").isin("t000", "t001", "t002"))
+    assert sorted(map(tuple, found.select(bars.columns).collect())) == sorted(map(tuple, wanted.collect()))
+    assert readers.bars_of(store, names.limit(0)).count() == 0
