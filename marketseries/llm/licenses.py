@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,29 @@ TEMPLATES = {
         "You should have received a copy of the GNU General Public License along with this program.",
         "Licensed under the GPL version 2 or later.",
     ],
+    "LGPL": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "Licensed under the LGPL version 2.1 or later.",
+    ],
+    "AGPL": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "Licensed under the AGPL version 3 or later.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "Released under the ISC license.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "Released under the Unlicense.",
+    ],
     "MPL": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -53,11 +77,37 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivs 3.0 License.",
+    ],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-ND": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
     "CC-BY-SA": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Text is available under the Creative Commons Attribution-ShareAlike License.",
         "Licensed under CC BY-SA 4.0.",
     ],
 }
+#: Words that tell families of like wordings apart. Where a template fits, the notice must have just those
+#: of them that the template has.
+MARKS = ["lesser", "lgpl", "affero", "agpl", "nc", "noncommercial", "nd", "noderivatives", "noderivs", "sa", "sharealike"]
+#: Words that deny what follows. A notice may have no other than the template.
+DENIALS = ["not", "never", "neither", "nor", "isn", "without"]
+#: Beginnings of the SPDX identifiers of each family, longer ones first.
+SPDX = {
+    "Apache-": "Apache", "MIT": "MIT", "BSD-": "BSD", "0BSD": "BSD", "LGPL-": "LGPL", "AGPL-": "AGPL", "GPL-": "GPL", "MPL-": "MPL", "ISC": "ISC",
+    "Unlicense": "Unlicense", "CC-BY-NC-SA-": "CC-BY-NC-SA", "CC-BY-NC-ND-": "CC-BY-NC-ND", "CC-BY-NC-": "CC-BY-NC", "CC-BY-ND-": "CC-BY-ND",
+    "CC-BY-SA-": "CC-BY-SA", "CC-BY-": "CC-BY",
+}
+_TAG = re.compile(r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)")
 #: Notices of no known family, which train the class "unknown".
 OTHER_NOTICES = [
     "All rights reserved.", "This software is licensed under a proprietary license agreement.",
@@ -226,6 +276,46 @@ def _place(words: np.ndarray, template: set[int]) -> tuple[int, int]:
     return best[0], best[-1] + 1
 
 
+@dataclass
+class Template:
+    """Word pairs of a wording, and which telling words it has."""
+
+    pairs: set[int]
+    marks: set[int]
+    denials: set[int]
+
+
+def _hashes(words: list[str]) -> set[int]:
+    return set(_words([" ".join(words).encode()])[0].tolist())
+
+
+def _templates() -> dict[str, list[Template]]:
+    marks, denials = _hashes(MARKS), _hashes(DENIALS)
+    out = {}
+    for family, wordings in {**TEMPLATES, UNKNOWN: OTHER_NOTICES}.items():
+        words, at = _words([t.encode() for t in wordings])
+        parts = [words[a:b] for a, b in zip(at, at[1:])]
+        out[family] = [Template(_pairs(w), marks & set(w.tolist()), denials & set(w.tolist())) for w in parts]
+    return out
+
+
+def _fits(words: np.ndarray, own: set[int], template: Template, marks: set[int], denials: set[int]) -> float:
+    """Share of a template's word pairs that a window has; 0 if too few, or if a telling word says otherwise."""
+    near = len(own & template.pairs) / len(template.pairs)
+    if near < CONFIRM:
+        return 0.0
+    a, b = _place(words, template.pairs)
+    there = set(words[a : b + 1].tolist())
+    before = set(words[max(0, a - 2) : b + 1].tolist())
+    return near if there & marks == template.marks and before & denials <= template.denials else 0.0
+
+
+def spdx_family(line: str) -> str | None:
+    """Family of a line's SPDX tag; None without one."""
+    tag = _TAG.search(line)
+    return tag and next((f for start, f in SPDX.items() if tag[1].startswith(start)), UNKNOWN)
+
+
 def background(docs: DataFrame, rows: int = BACKGROUND_ROWS) -> list[str]:
     """Paragraphs of the bounded sample for ``none``: the ``rows`` rows with the least key hashes, without notices."""
     some = docs.filter("doc_id is not null and text is not null")
@@ -243,14 +333,12 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     family is reported if the share of one of its templates' word pairs that the window has reaches :data:`CONFIRM`;
     else the notice is ``unknown``, if it has some of any wording's word pairs. A notice that is wrapped over lines, none
     of them without words, is read in windows that cross them: it counts if a template confirms it, under its first line,
-    and its lines are no unknown notices of their own. Null and empty texts have none; repeated rows repeat theirs.
+    and its lines are no unknown notices of their own. A template only confirms a notice that has the same telling words
+    (:data:`MARKS`) and is not denied. A line with an SPDX tag has the family of its identifier. Null and empty texts have none; repeated rows repeat theirs.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = {}
-        for family, wordings in {**TEMPLATES, UNKNOWN: OTHER_NOTICES}.items():
-            words, owner, start, end = _windows([t.encode() for t in wordings])
-            templates[family] = [_pairs(words[a:b]) for a, b in zip(start, end)]
+        templates, marks, denials = _templates(), _hashes(MARKS), _hashes(DENIALS)
         none = len(model.classes) - 1
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -266,11 +354,16 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                 best: dict[int, tuple] = {}
                 for k in np.flatnonzero(notice >= NOTICE).tolist():
                     own = _pairs(words[start[k] : end[k]])
-                    family = model.classes[int(chance[k, :none].argmax())]
-                    near = max(len(own & t) / len(t) for t in templates[family])
-                    if near < CONFIRM:
-                        family = UNKNOWN
-                        near = max(len(own & t) / len(t) for x in templates.values() for t in x)
+                    inside = words[start[k] : end[k]]
+                    family, near = UNKNOWN, 0.0
+                    for c in np.argsort(-chance[k, :none], kind="stable").tolist():  # the likeliest family that is confirmed
+                        if model.classes[c] in TEMPLATES:
+                            near = max(_fits(inside, own, t, marks, denials) for t in templates[model.classes[c]])
+                            if near:
+                                family = model.classes[c]
+                                break
+                    if family == UNKNOWN:
+                        near = max(len(own & t.pairs) / len(t.pairs) for x in templates.values() for t in x)
                     if near < WORDING:
                         continue
                     found = (family != UNKNOWN, float(notice[k]), family, near)
@@ -284,10 +377,10 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                     own = _pairs(inside)
                     for family in TEMPLATES:
                         for t in templates[family]:
-                            near = len(own & t) / len(t)
-                            if near < CONFIRM:
+                            near = _fits(inside, own, t, marks, denials)
+                            if not near:
                                 continue
-                            a, b = (int(np.searchsorted(at, start[k] + w, "right")) - 1 for w in _place(inside, t))
+                            a, b = (int(np.searchsorted(at, start[k] + w, "right")) - 1 for w in _place(inside, t.pairs))
                             if a < b:
                                 found = (True, near, float(1 - chance[k, none]), family, b)
                                 wrapped[a] = max(wrapped.get(a, found), found)
@@ -296,6 +389,9 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
                         if line in best and not best[line][0]:
                             del best[line]
                     best.setdefault(a, (True, probability, family, near))
+                for o, (i, _, line) in enumerate(paragraphs):
+                    if "SPDX-License-Identifier" in line and (family := spdx_family(line)):
+                        best[o] = (True, 1.0, family, 1.0)
                 rows += [(keys[paragraphs[o][0]], paragraphs[o][1], f, p, n) for o, (_, p, f, n) in sorted(best.items())]
             columns = list(zip(*rows)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.float64())

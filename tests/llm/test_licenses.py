@@ -48,6 +48,29 @@ def test_wrapped_headers(spark, model):
     assert {f for k, f in mine.items() if k not in wanted} <= {"unknown"} and not any(k[0] == 6 for k in mine)
 
 
+def test_families_of_like_wordings(spark, model):
+    """Siblings are told apart by the words that differ, whatever the classifier prefers; tags and denials are read."""
+    free = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation"
+    copy = "You should have received a copy of the GNU {}General Public License along with this program."
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    wanted = {
+        free.format("program", ""): "GPL", free.format("program", "Affero "): "AGPL", free.format("library", "Lesser "): "LGPL", free.format("program", "Lesser "): "LGPL",
+        copy.format(""): "GPL", copy.format("Lesser "): "LGPL", copy.format("Affero "): "AGPL",
+        cc.format(""): "CC-BY", cc.format("-NoDerivatives"): "CC-BY-ND", cc.format("-NonCommercial"): "CC-BY-NC", cc.format("-ShareAlike"): "CC-BY-SA",
+        cc.format("-NonCommercial-ShareAlike"): "CC-BY-NC-SA", cc.format("-NonCommercial-NoDerivatives"): "CC-BY-NC-ND",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA", "Licensed under CC BY-ND 4.0.": "CC-BY-ND", "Licensed under CC BY 4.0.": "CC-BY",
+        "This code is not released under the MIT License.": "unknown",
+        "Licensed under the ISC License.": "ISC", "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL", "SPDX-License-Identifier: (GPL-2.0 OR MIT)": "GPL",
+        "SPDX-License-Identifier: Frob-1.0": "unknown", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.": "BSD",
+    }
+    lines = list(wanted)
+    rows = [(i, line) for i, line in enumerate(lines)] + [(100 + i, "the old mill\n\n" + line + "\n\nran past") for i, line in enumerate(lines)]
+    mine = found(spark, model, rows + rows[:3])
+    assert {lines[i]: mine.get((i, 0)) for i in range(len(lines))} == wanted
+    assert {lines[i]: mine.get((100 + i, 2)) for i in range(len(lines))} == wanted
+
+
 def test_query_against_patterns(spark):
     """Every line that names a licence is found with its family, others hardly ever."""
     root = "/root/testdata/sf0.01"
