@@ -160,11 +160,18 @@ def gram_tiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], tile: int
     aggregation holds tile x tile sums whatever the number of columns, and nothing leaves the JVM. Rows with a null are
     left out.
     """
-    by, cols = list(by), list(cols)
-    count = -(-len(cols) // tile)
-    padded = [F.col(c).cast("double") for c in cols] + [F.lit(0.0)] * (count * tile - len(cols))
+    cols = list(cols)
+    rows = df.na.drop("any", subset=cols).select(*by, F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
+    return array_gram_tiles(rows, by, len(cols), tile)
+
+
+def array_gram_tiles(df: DataFrame, by: Sequence[str], width: int, tile: int = TILE) -> DataFrame:
+    """:func:`gram_tiles` of rows whose columns are the entries of an array ``_x`` without nulls."""
+    by = list(by)
+    count = -(-width // tile)
+    padded = F.concat("_x", F.array(*[F.lit(0.0)] * (count * tile - width))) if count * tile > width else F.col("_x")
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("ti"), F.lit(j).alias("tj")) for i in range(count) for j in range(i, count)]))
-    rows = df.na.drop("any", subset=cols).select(*by, F.array(*padded).alias("_x"), pairs.alias("_p"))
+    rows = df.select(*by, padded.alias("_x"), pairs.alias("_p"))
     left, right = (F.slice("_x", F.col(f"_p.{t}") * tile + 1, F.lit(tile)) for t in ("ti", "tj"))
     rows = rows.select(*by, F.col("_p.ti").alias("ti"), F.col("_p.tj").alias("tj"), left.alias("_l"), right.alias("_r"))
     sums = rows.groupBy(*by, "ti", "tj").agg(F.count(F.lit(1)).alias("n"), *[

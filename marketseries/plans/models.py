@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketseries.functions import metrics, scalar
-from marketseries.operators import clusters, diagnostics, ensembles, features, forecast, intraday, portfolio, regression
+from marketseries.operators import clusters, diagnostics, ensembles, features, forecast, intraday, portfolio, regression, seasonal
 from marketseries.operators import indicators as ind
 from marketseries.operators import validation as val
 from marketseries.operators.blocks import index_series
@@ -429,6 +429,26 @@ def per_hour_models(spark, root):
     return rounded(diagnostics.arima_forecast(fit, 3, ("series_id", "hour")), 3)
 
 
+@query("seasonal_forecast")
+def seasonal_forecast(spark, root):
+    """Trend and daily and weekly seasons of the hourly load against its 24 hourly models, on the last fifth of the hours.
+
+    Each hourly model forecasts its own hour, one step a day; both errors stand beside the predictions.
+    """
+    parts = cut_lineage(forecast.fraction_split(src.load_hourly(spark, root), ["series_id"], "ts", {"train": 0.8, "test": 1.0}), "parts")
+    train, test = (parts.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    own = seasonal.predict_seasonal(test, seasonal.fit_seasonal(train))
+    keys = ("series_id", "hour")
+    hourly = diagnostics.arima_fit(train.withColumn("hour", F.hour("ts")), 1, 0, 0, keys=keys)
+    steps = index_series(test.withColumn("hour", F.hour("ts")), list(keys), "ts").withColumn("step", (F.col("pos") + 1).cast("int"))
+    days = steps.agg(F.max("step")).first()[0] or 1
+    by_hour = steps.join(diagnostics.arima_forecast(hourly, days, keys), [*keys, "step"]).select("series_id", "ts", F.col("forecast").alias("hourly"))
+    out = cut_lineage(own.join(by_hour, ["series_id", "ts"], "left").select("series_id", "ts", "y", "prediction", "hourly"), "seasonal")
+    errors = out.agg(metrics.mape("y", "prediction").alias("mape"), metrics.mape("y", "hourly").alias("mape_hourly"))
+    errors = errors.select(F.struct("mape", "mape_hourly").alias("e"))
+    return rounded(out.withColumn("_e", errors.scalar()).select("ts", "y", "prediction", "hourly", "_e.mape", "_e.mape_hourly"), 3)
+
+
 # --------------------------------------------------------------- intraday
 
 
