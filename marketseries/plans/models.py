@@ -39,7 +39,8 @@ def _predictions(model, test):
     return rounded(model.transform(test).select("ts", "y", "prediction"), 2)
 
 
-#: Fits that several queries of a session read, by session, table folder and name.
+#: Fitted models and scores that several queries of a session use, by session, table folder and name. Nothing here reads
+#: written tables again, which may be gone by then.
 _shared: dict[tuple[str, str, str], tuple] = {}
 
 
@@ -61,9 +62,8 @@ def boosted_load(spark, root):
     """Boosted trees on calendar and lags, cut at the round that is best on the validation part; and the error curve."""
 
     def make():
-        train, valid, test = by_cuts(spark, root, NAMES)
-        model, curve = ensembles.boosted_checkpoint(train, valid, val.boosted_trees(trees=ROUNDS, rate=RATE, depth=6))
-        return model, cut_lineage(curve, "curve"), test
+        train, valid, _ = by_cuts(spark, root, NAMES)
+        return ensembles.boosted_checkpoint(train, valid, val.boosted_trees(trees=ROUNDS, rate=RATE, depth=6))
 
     return shared(spark, root, "boosted", make)
 
@@ -77,8 +77,7 @@ BOOSTED = ensembles.BoostedGrid(rounds=(8, 10), rates=(0.1, 0.3, 0.5))
 
 @query("gbt_forecast")
 def gbt_forecast(spark, root):
-    model, _, test = boosted_load(spark, root)
-    return _predictions(model, test)
+    return _predictions(boosted_load(spark, root)[0], by_cuts(spark, root, NAMES)[2])
 
 
 @query("boosting_curve")
@@ -96,8 +95,7 @@ def forest_scores(spark, root):
     """Scores of 108 forests over five folds, and the best of them."""
 
     def make():
-        table, best = ensembles.forest_grid(training_folds(spark, root), FOREST)
-        return cut_lineage(table, "grid"), best
+        return ensembles.forest_grid(training_folds(spark, root), FOREST)
 
     return shared(spark, root, "forest", make)
 
@@ -145,17 +143,20 @@ def windowed_load(spark, root, size=5):
 
 
 def window_models(spark, root):
-    """Linear regression against boosted trees cut at their best round, the better on the validation part, saved."""
+    """Linear regression against boosted trees cut at their best round, the better on the validation part, saved.
+
+    Returns the model, its place among the two, the test windows and the scale.
+    """
 
     def make():
-        windows, stats = windowed_load(spark, root)
-        train, valid, test = (windows.where(F.col("split") == s) for s in CUTS)
+        train, valid = (windows.where(F.col("split") == s) for s in ("train", "valid"))
         trees, _ = ensembles.boosted_checkpoint(train, valid, val.boosted_trees("label", trees=ROUNDS, rate=RATE, depth=3))
         fitted = [val.window_regressor().fit(train), trees.stages[0]]
         model, _, best = val.keep_best(fitted, valid, score=-metrics.mse("label", "prediction"))
-        return model, best, test, stats
+        return model, best
 
-    return shared(spark, root, "windows", make)
+    windows, stats = windowed_load(spark, root)
+    return *shared(spark, root, "windows", make), windows.where(F.col("split") == "test"), stats
 
 
 @query("sink_model")
@@ -326,13 +327,9 @@ def selection_frequency(spark, root):
 
 def wide_models(spark, root):
     """Models of the first 5 to 50 of the predictors of each replicate."""
-
-    def make():
-        names = [f"z{i}" for i in range(1, 51)]
-        fits = regression.nested_models(src.wide_replicates(spark, root, names), ["rep"], "y", names, range(5, 51))
-        return cut_lineage(fits, "nested"),
-
-    return shared(spark, root, "nested", make)[0]
+    names = [f"z{i}" for i in range(1, 51)]
+    fits = regression.nested_models(src.wide_replicates(spark, root, names), ["rep"], "y", names, range(5, 51))
+    return cut_lineage(fits, "nested")
 
 
 @query("nested_model_selection")
