@@ -281,37 +281,33 @@ def _transition(coef: np.ndarray, p: int, d: int, q: int) -> tuple[np.ndarray, n
     return a, w_row
 
 
+@F.udtf(returnType="step int, forecast double")
+class _ForecastRows:
+    """Table function: the steps first..last of a fitted model, from a matrix power of its transition."""
+
+    def eval(self, p: int, d: int, q: int, coef: list, state: list, first: int, last: int):
+        if coef is None or state is None:
+            return
+        a, w_row = _transition(np.asarray(coef, dtype=float), p, d, q)
+        s = np.linalg.matrix_power(a, first - 1) @ np.append(np.asarray(state, dtype=float), 1.0)
+        for step in range(first, last + 1):
+            w = w_row @ s
+            s = a @ s
+            yield step, float(s[p + q] if d else w)
+
+
 def arima_forecast(model: DataFrame, horizon: int, keys: Sequence[str] = ("series_id",), chunk: int = 1024) -> DataFrame:
     """``step`` 1..horizon and ``forecast`` per series, future shocks set to zero.
 
-    A long horizon is cut into chunks; each starts from a matrix power of the
-    transition, so the chunks of one series run in parallel.
+    A long horizon is cut into chunks; each starts from a matrix power of the transition, so the chunks of one series
+    run in parallel. A lateral join of the chunks with a table function makes the rows.
     """
     keys = list(keys)
-    starts = F.explode(F.sequence(F.lit(0), F.lit(horizon - 1), F.lit(chunk))).alias("_from")
+    starts = F.explode(F.sequence(F.lit(1), F.lit(horizon), F.lit(chunk))).alias("_from")
     work = model.where(F.col("coef").isNotNull()).select(*keys, "p", "d", "q", "coef", "state", starts)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.to_dict("records"):
-                p, d, q = int(row["p"]), int(row["d"]), int(row["q"])
-                a, w_row = _transition(np.asarray(row["coef"], dtype=float), p, d, q)
-                first = int(row["_from"])
-                s = np.linalg.matrix_power(a, first) @ np.append(np.asarray(row["state"], dtype=float), 1.0)
-                steps = range(first + 1, min(first + chunk, horizon) + 1)
-                values = []
-                for _ in steps:
-                    w = w_row @ s
-                    s = a @ s
-                    values.append(float(s[p + q] if d else w))
-                out = pd.DataFrame({"step": list(steps), "forecast": values})
-                for name in keys:
-                    out[name] = row[name]
-                yield out[[*keys, "step", "forecast"]]
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in model.schema.fields if f.name in keys]
-    spread = work.repartition(*keys, "_from")
-    return spread.mapInPandas(run, ", ".join([*fields, "step int", "forecast double"]))
+    work = work.withColumn("_to", F.least(F.col("_from") + chunk - 1, F.lit(horizon))).repartition(*keys, "_from")
+    steps = _ForecastRows(*[F.col(c).outer() for c in ("p", "d", "q", "coef", "state", "_from", "_to")])
+    return work.lateralJoin(steps).select(*keys, "step", "forecast")
 
 
 def order_search(
