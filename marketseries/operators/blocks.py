@@ -10,15 +10,21 @@ the whole key while the largest task stays one block.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
 _BLOCK = "_ix_block"
 _BUCKET = "_ix_bucket"
+_RUN = "_ix_run"
+#: Blocks whose states one task carries on, and the columns of a state.
+RUN_BLOCKS = 4096
+STATE = ("mean", "log", "had")
 
 
 def index_series(
@@ -100,14 +106,82 @@ class DecayedMean:
         return min(max(1.0 - self.alpha, 1e-20), 1.0 - 1e-12)
 
 
+def _carry(part: pd.DataFrame, at: str, steps: dict[int, float]) -> Iterator[tuple[int, list, tuple]]:
+    """Of each mean: the states before the entries of ``part``, which lie in order of ``at``, and the state after the last.
+
+    A state is (mean, logarithm of the weight, rows seen); an entry further on takes one of ``steps`` from the logarithm.
+    """
+    places = part[at].tolist()
+    for i, step in steps.items():
+        mean, log, had, before, rows = 0.0, -math.inf, 0, None, []
+        for place, own, weight, n in zip(places, *(part[f"_{c}{i}"].tolist() for c in STATE)):
+            if before is not None:
+                log += (place - before - 1) * step  # entries that are not there
+            rows.append((mean, log, had))
+            log, before, had = log + step, place, had + n
+            if weight > -math.inf:
+                both = float(np.logaddexp(log, weight))
+                mean, log = mean + (own - mean) * math.exp(weight - both), both
+        yield i, rows, (mean, log, had)
+
+
+def _states_before(table: DataFrame, keys: Sequence[str], steps: dict[int, float], run: int) -> DataFrame:
+    """States before each block from the states of the blocks alone, carried within runs and then between them.
+
+    A key whose blocks (``_blocks``) fit into one run has nothing to carry between runs.
+    """
+    names = [f"_{c}{i}" for i in steps for c in STATE]
+    types = {f.name: f.dataType.simpleString() for f in table.schema.fields}
+    schema = lambda *others: ", ".join([*(f"`{k}` {types[k]}" for k in keys), *others, *(f"{n} {types[n]}" for n in names)])
+
+    def states(part: pd.DataFrame, at: str, steps: dict[int, float]) -> pd.DataFrame:
+        part = part.sort_values(at, ignore_index=True)
+        out = part[[*keys, *(c for c in (_RUN, _BLOCK) if c in part)]].copy()
+        for i, rows, _ in _carry(part, at, steps):
+            for c, values in zip(STATE, zip(*rows)):
+                out[f"_{c}{i}"] = values
+        return out
+
+    def close(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(_BLOCK, ignore_index=True)
+        out = part[[*keys, _RUN]].head(1).copy()
+        ahead = run - 1 - int(part[_BLOCK].iloc[-1]) % run
+        for i, _, (mean, log, had) in _carry(part, _BLOCK, steps):
+            out[f"_mean{i}"], out[f"_log{i}"], out[f"_had{i}"] = mean, log + ahead * steps[i], had
+        return out
+
+    runs = table.withColumn(_RUN, F.expr(f"`{_BLOCK}` div {run}"))
+    inside = runs.groupBy(*keys, _RUN).applyInPandas(
+        lambda part: states(part, _BLOCK, steps), schema(f"{_RUN} long", f"{_BLOCK} long"))
+    ends = runs.filter(F.col("_blocks") > run).groupBy(*keys, _RUN).applyInPandas(close, schema(f"{_RUN} long"))
+    starts = ends.groupBy(*keys).applyInPandas(
+        lambda part: states(part, _RUN, {i: run * step for i, step in steps.items()}), schema(f"{_RUN} long"))
+    out = inside.join(starts.select(*keys, _RUN, *[F.col(n).alias(f"_b{n}") for n in names]), [*keys, _RUN], "left")
+    mixed = {}
+    for i, step in steps.items():
+        mean, log, had = (F.col(f"_{c}{i}") for c in STATE)
+        old_mean, old_had = F.col(f"_b_mean{i}"), F.coalesce(f"_b_had{i}", F.lit(0))
+        old = F.coalesce(f"_b_log{i}", F.lit(float("-inf"))) + F.pmod(_BLOCK, F.lit(run)) * step
+        top = F.greatest(log, old)
+        old_part, part = F.exp(old - top), F.exp(log - top)
+        there, before = log > float("-inf"), old > float("-inf")
+        mixed[f"_mean{i}"] = F.when(~before, mean).when(~there, old_mean).otherwise(
+            (old_mean * old_part + mean * part) / (old_part + part))
+        mixed[f"_log{i}"] = F.when(~(there & before), top).otherwise(top + F.log(old_part + part))
+        mixed[f"_had{i}"] = had + old_had
+    return out.withColumns(mixed).select(*keys, _BLOCK, *names)
+
+
 def decayed_means(
-    df: DataFrame, keys: Sequence[str], means: Sequence[DecayedMean], pos: str = "pos", block: int = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], means: Sequence[DecayedMean], pos: str = "pos", block: int = BLOCK_ROWS,
+    run: int = RUN_BLOCKS, total: str = "n_obs",
 ) -> DataFrame:
     """Add decayed means over the whole history of each series.
 
     Blocks kept by :func:`over_blocks` must be those of :func:`decay_block`. The state at the end of each block
     (mean, logarithm of the weight, rows seen) is carried over the small (key, block) table, one row for each block, so
-    no history is cut; a mean keeps its value over a stretch without weight, however long.
+    no history is cut; a mean keeps its value over a stretch without weight, however long. A task carries the states of
+    ``run`` blocks, and another those between the runs of a key that ``total`` rows (where that is known) put in several.
     """
     keys = list(keys)
     size = decay_block(means, block)
@@ -120,35 +194,15 @@ def decayed_means(
         grown = F.pow(F.lit(m.decay), -F.col("_off"))
         df = df.withColumns({f"_v{i}": F.when(there, m.value * grown), f"_w{i}": F.when(there, m.weight * grown)})
         back = F.lit(m.decay ** (size - 1))
-        ends += [(F.sum(f"_v{i}") * back).alias(f"_v{i}"), (F.sum(f"_w{i}") * back).alias(f"_w{i}"), F.count(f"_v{i}").alias(f"_n{i}")]
+        v, w = F.sum(f"_v{i}") * back, F.sum(f"_w{i}") * back
+        ends += [
+            F.when(w > 0, v / w).otherwise(0.0).alias(f"_mean{i}"),
+            F.when(w > 0, F.log(w)).otherwise(float("-inf")).alias(f"_log{i}"),
+            F.count(f"_v{i}").alias(f"_had{i}"),
+        ]
         scaled[i] = math.log(m.decay)
-    carried = ["double", "double", "long"]
-    table = df.groupBy(*keys, _BLOCK).agg(*ends)
-    names = [f"_{c}{i}" for i in scaled for c in ("mean", "log", "had")]
-    kinds = ", ".join(f"{n} {k}" for n, k in zip(names, carried * len(means)))
-
-    def carry(part):
-        part = part.sort_values(_BLOCK).reset_index(drop=True)
-        out = part[[*keys, _BLOCK]].copy()
-        for i, log in scaled.items():
-            mean, weight, had, before = 0.0, -math.inf, 0, None
-            rows = []
-            for at, v, w, n in zip(part[_BLOCK], part[f"_v{i}"], part[f"_w{i}"], part[f"_n{i}"]):
-                if before is not None:
-                    weight += (at - before - 1) * size * log  # blocks without rows
-                rows.append((mean, weight, had))
-                weight, before = weight + size * log, at
-                if w > 0:
-                    old = math.exp(weight)
-                    mean, weight = (mean * old + v) / (old + w), math.log(old + w)
-                had += n
-            out[f"_mean{i}"], out[f"_log{i}"], out[f"_had{i}"] = zip(*rows)
-        return out
-
-    fields = [f for f in table.schema.fields if f.name in (*keys, _BLOCK)]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + kinds
-    states = table.select(*[f.name for f in fields], *[c for c in table.columns if c not in (*keys, _BLOCK)])
-    states = states.groupBy(*keys).applyInPandas(carry, schema)
+    blocks = F.max(F.col(total)) / size if total in df.columns else F.lit(float("inf"))
+    states = _states_before(df.groupBy(*keys, _BLOCK).agg(*ends, blocks.alias("_blocks")), keys, {i: size * log for i, log in scaled.items()}, run)
     df = df.join(states, [*keys, _BLOCK])
     upto = Window.partitionBy(*keys, _BLOCK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     out = {}

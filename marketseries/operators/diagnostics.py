@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketseries.operators.blocks import index_series, join_group_stats, over_blocks
@@ -110,6 +110,7 @@ def adf(
     """
     keys = list(keys)
     rows = index_series(_deviations(df, keys, y, scaled=True), keys, ts, every)
+    rows = cut_lineage(rows.select(*keys, "pos", "n_obs", "_z"), "levels")
     if max_lag is None:
         own = F.ceil(12.0 * F.pow(F.col("n_obs") / 100.0, F.lit(0.25))).cast("int")
         longest = rows.agg(F.max(own)).first()[0] or 0
@@ -130,9 +131,9 @@ def adf(
     cols = ["_one", "_y1", *[f"_d{k}" for k in range(1, longest + 1)], "_d"]
     width = len(cols)
 
-    def sums(limited: DataFrame) -> DataFrame:
-        lagged = over_blocks(limited, keys, [level, change, lags], back=longest + 1).withColumn("_one", F.lit(1.0))
-        return gram(lagged.filter(F.col("pos") > F.col("_limit")), keys, cols)
+    def sums(some: DataFrame, taken: Column) -> DataFrame:
+        lagged = over_blocks(some, keys, [level, change, lags], back=longest + 1).withColumn("_one", F.lit(1.0))
+        return gram(lagged.filter(taken), keys, cols)
 
     def fitted(full: np.ndarray, k: int, count: int):
         pick = [*range(2 + k), width - 1]
@@ -167,9 +168,15 @@ def adf(
         return pd.DataFrame(out, columns=["stat", "p_value"])
 
     limits = rows.groupBy(*keys).agg(F.max("_limit").alias("_most"))
-    chosen = cut_lineage(sums(rows).join(limits, keys).select(*keys, choose("gram", "n", "_most").alias("lags")), "lags")
-    again = join_group_stats(rows.drop("_limit"), chosen.select(*keys, F.col("lags").alias("_limit")), keys)
-    done = sums(again.filter("_limit is not null")).join(chosen, keys).withColumn("_t", test("gram", "n", "lags"))
+    shared = sums(rows, F.col("pos") > F.col("_limit")).join(limits, keys)
+    shared = cut_lineage(shared.withColumn("lags", choose("gram", "n", "_most")).filter("lags is not null").drop("_most"), "lags")
+    # the rows that the chosen lag leaves and the longest one doesn't lie at the head of a series
+    head = join_group_stats(rows.filter(F.col("pos") <= longest), shared.select(*keys, "lags"), keys)
+    head = sums(head, (F.col("pos") > F.col("lags")) & (F.col("pos") <= F.col("_limit")))
+    head = head.select(*keys, F.col("gram").alias("_gram"), F.col("n").alias("_n"))
+    added = F.when(F.col("_n").isNull(), F.col("gram")).otherwise(F.zip_with("gram", "_gram", lambda x, y: x + y))
+    done = shared.join(head, keys, "left").withColumns({"gram": added, "n": F.col("n") + F.coalesce("_n", F.lit(0))})
+    done = done.withColumn("_t", test("gram", "n", "lags"))
     return done.select(
         *keys, "_t.stat", (F.col("_t.stat") < ADF_CRITICAL[0.05]).alias("reject_5pct"), "lags", F.col("n").alias("nobs"), "_t.p_value"
     )

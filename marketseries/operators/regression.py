@@ -68,7 +68,7 @@ def gram(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     # the list per group has one entry per pair of columns, whatever the number of rows
     entries = summed.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_e"))
     where = {pair: k + 1 for k, pair in enumerate(upper)}
-    index = F.array(*[F.lit(where[min(i, j), max(i, j)]) for i in range(p) for j in range(p)])
+    index = F.expr(f"array({', '.join(str(where[min(i, j), max(i, j)]) for i in range(p) for j in range(p))})")
     return entries.select(
         *by,
         F.get("_e", F.lit(0))["_v"].cast("long").alias("n"),

@@ -10,7 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketseries.operators import indicators as ind
-from marketseries.operators.blocks import average_rank, exact_quantiles, index_series, over_blocks, running_sum, top_n
+from marketseries.operators.blocks import (
+    DecayedMean, average_rank, decayed_means, exact_quantiles, index_series, over_blocks, running_sum, top_n,
+)
 
 
 def make_series(n=700, keys=("a", "b"), seed=1, holes=0.3):
@@ -108,6 +110,36 @@ def test_smoothing_over_flat_stretches_and_null_gaps(spark, block, n):
     assert np.allclose(got.astype(float), expected, equal_nan=True, atol=1e-6)
 
 
+@pytest.mark.parametrize("run", [1, 3, 4096])
+def test_states_carried_in_runs(spark, run):
+    """Runs of blocks, empty ones between them, a start and a long middle without weight: as one recursion over all rows."""
+    rng = np.random.default_rng(run)
+    at = [*range(40), *range(400, 460), *range(9000, 9050)]  # blocks of 7 rows
+    value = [None if i < 20 or 410 <= i < 440 else float(x) for i, x in zip(at, rng.normal(size=len(at)))]
+    rows = [(key, i, None if v is None else v * (key + 1), 0.0 if i % 5 == 0 else 1.0 + key) for key in (0, 1) for i, v in zip(at, value)]
+    df = spark.createDataFrame(rows, "key int, pos long, v double, w double")
+    means = [DecayedMean(f"m{n}", F.col("v") * F.col("w"), F.when(F.col("v").isNotNull(), F.col("w")), 1 / n) for n in (2, 30)]
+    got = decayed_means(df, ["key"], means, block=7, run=run).toPandas().sort_values(["key", "pos"])
+    # where the lengths are known, a short series needs no second level, and the long ones come out alike
+    known = df.withColumn("n_obs", F.lit(9050).cast("long")).unionByName(df.filter("key = 0 and pos < 7").selectExpr(
+        "2 as key", "pos", "v", "w", "7L as n_obs"))
+    again = decayed_means(known, ["key"], means, block=7, run=run).toPandas().sort_values(["key", "pos"])
+    assert np.allclose(again.loc[again["key"] < 2, got.columns].astype(float), got.astype(float), equal_nan=True)
+    assert (again["key"] == 2).sum() == 7
+    for key, part in got.groupby("key"):
+        mine = [r for r in rows if r[0] == key]
+        for n in (2, 30):
+            expected, seen = [], []
+            for _, i, _, _ in mine:
+                past = [(v, w, i - j) for _, j, v, w in mine if j <= i and v is not None]
+                top = max((-gap for _, w, gap in past if w), default=0)
+                share = [w * (1 - 1 / n) ** (gap + top) if w else 0.0 for _, w, gap in past]
+                expected.append(sum(s * v for s, (v, _, _) in zip(share, past)) / sum(share) if sum(share) else np.nan)
+                seen.append(len(past))
+            assert np.allclose(part[f"m{n}"].astype(float), expected, equal_nan=True, atol=1e-9)
+            assert part[f"m{n}_seen"].tolist() == seen
+
+
 def test_future_rows_change_nothing(spark, series):
     _, pdf = series
     cut = dt.date(2002, 1, 1)
