@@ -288,7 +288,7 @@ def join_group_stats(
     return spread.join(copies, [*by, "_salt"], how).drop("_salt")
 
 
-def _value_counts(df: DataFrame, by: Sequence[str], col: str, halvings: int) -> DataFrame:
+def value_counts(df: DataFrame, by: Sequence[str], col: str, halvings: int = 8) -> DataFrame:
     """Distinct values per group with their counts and the count of rows below each.
 
     Equal values are merged first, so a value shared by most rows costs one row;
@@ -331,7 +331,7 @@ def average_rank(
     cost more than they save, and Spark splits the partition of a value that many rows share.
     """
     by = list(by)
-    values = _value_counts(df, by, col, halvings)
+    values = value_counts(df, by, col, halvings)
     smaller = F.col("_total") - F.col("_below") - F.col("_n") if descending else F.col("_below")
     ranks = values.select(*by, col, (smaller + (F.col("_n") + 1) / 2.0).alias(name))
     return df.join(ranks, [*by, col], "left").select(*df.columns, name)
@@ -342,7 +342,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, exact for any group size."""
     by = list(by)
-    values = _value_counts(df, by, col, halvings)
+    values = value_counts(df, by, col, halvings)
     picks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("_total") - 1)

@@ -72,11 +72,12 @@ def monthly_feature_panel(
     monthly = cut_lineage(monthly_panel(daily_indicators(bars, every), as_of), "monthly")
     rolled = cut_lineage(panel.rolling_months(monthly, "dollar_volume", months, min_periods), "rolled")
     liquid = panel.top_n(rolled, ["month_end"], "dollar_volume", universe).drop("dollar_volume", "rank")
-    return ind.horizon_returns(cut_lineage(liquid, "liquid"), horizons=HORIZONS).na.drop()
+    return ind.horizon_returns(cut_lineage(liquid, "liquid"), horizons=HORIZONS, as_of=as_of).na.drop()
 
 
-def with_factor_betas(panel_df: DataFrame, factors: DataFrame, window: int = 24, min_months: int = 10) -> DataFrame:
-    """Add last month's rolling factor loadings; gaps get the ticker's own mean, remaining gaps drop the row."""
+def with_factor_betas(panel_df: DataFrame, factors: DataFrame, window: int = 24, min_months: int = 10, as_of: bool = False) -> DataFrame:
+    """Add last month's rolling factor loadings; gaps get the ticker's own mean (``as_of``: that of the months so far),
+    remaining gaps drop the row."""
     panel_df = cut_lineage(panel_df, "panel")
     returns = panel_df.select("ticker", "month_end", "returns_1m")
     joined = panel.keep_min_obs(join_group_stats(returns, factors, ["month_end"]), "ticker", min_months)
@@ -85,7 +86,7 @@ def with_factor_betas(panel_df: DataFrame, factors: DataFrame, window: int = 24,
     w = Window.partitionBy("ticker").orderBy("month_end")  # one row per month
     lagged = betas.withColumns({n: F.lag(n, 1).over(w) for n in names})
     out = cut_lineage(panel_df.join(lagged, ["ticker", "month_end"], "left"), "betas")
-    return panel.fill_group_mean(out, ["ticker"], names).drop("adj_close").na.drop()
+    return panel.fill_group_mean(out, ["ticker"], names, "month_end" if as_of else None, "year").drop("adj_close").na.drop()
 
 
 CLUSTER_FEATURES = (*TECHNICAL, *RETURNS, *(f"beta_{f}" for f in FACTORS))

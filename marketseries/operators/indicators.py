@@ -17,6 +17,8 @@ from marketseries.functions.scalar import clip
 from marketseries.operators.blocks import (
     BlockContext, DecayedMean, decay_block, decayed_means, exact_quantiles, index_series, join_group_stats, over_blocks,
 )
+from marketseries.operators.expanding import expanding_quantiles
+from marketseries.session import cut_lineage
 
 Stage = Callable[[BlockContext], dict[str, Column]]
 
@@ -183,8 +185,13 @@ def horizon_returns(
     key: str = "ticker",
     order: str = "month_end",
     every: str = "year",
+    as_of: bool = False,
 ) -> DataFrame:
-    """Change over k rows, clipped to the key's own outer quantiles, as a rate per row."""
+    """Change over k rows, clipped to the key's own outer quantiles, as a rate per row.
+
+    With ``as_of`` the quantiles are those of the changes up to each row, so that nothing later is looked at; a key then
+    holds one row for each value of ``order``.
+    """
     indexed = index_series(df, [key], order, every)
     names = {k: f"returns_{k}m" for k in horizons}
     raw = apply_indicators(
@@ -197,18 +204,24 @@ def horizon_returns(
         ],
         keys=[key],
     ).drop("pos", "n_obs")
-    bounds = raw.unpivot([key], list(names.values()), "_name", "_r")
-    limits = exact_quantiles(bounds, [key, "_name"], "_r", {"_low": cutoff, "_high": 1 - cutoff})
-    wide = limits.groupBy(key).agg(
+    probs = {"_low": cutoff, "_high": 1 - cutoff}
+    if as_of:
+        raw = cut_lineage(raw, "returns")
+        changes = raw.unpivot([key, order], list(names.values()), "_name", "_r")
+        limits = expanding_quantiles(changes, [key, "_name"], "_r", order, probs, every)
+    else:
+        limits = exact_quantiles(raw.unpivot([key], list(names.values()), "_name", "_r"), [key, "_name"], "_r", probs)
+    at = [key, order] if as_of else [key]
+    wide = limits.groupBy(*at).agg(
         *[
             F.max(F.when(F.col("_name") == n, F.col(side))).alias(f"{side}_{n}")
             for n in names.values() for side in ("_low", "_high")
         ]
     )
-    out = join_group_stats(raw, wide, [key], "left")
+    out = raw.join(wide, at, "left") if as_of else join_group_stats(raw, wide, at, "left")
     return out.withColumns(
         {
             n: F.pow(clip(F.col(n), F.col(f"_low_{n}"), F.col(f"_high_{n}")) + 1.0, F.lit(1.0 / k)) - 1.0
             for k, n in names.items()
         }
-    ).drop(*[c for c in wide.columns if c != key])
+    ).drop(*[c for c in wide.columns if c not in at])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketseries.functions import metrics, scalar
 from marketseries.operators import backtest, forecast, panel, portfolio
 from marketseries.operators.blocks import index_series
+from marketseries.operators.expanding import expanding_quantiles
 from marketseries.operators.indicators import apply_indicators, lagged, log_return, next_rise
 from marketseries.plans.registry import query, r, r_col, rounded, sql
 from marketseries.session import cut_lineage, scratch_path
@@ -613,6 +614,17 @@ def fill_group_mean_as_of(spark, root):
     return rounded(panel.fill_group_mean(df, ["ticker"], ["high_ret"], as_of="date"))
 
 
+@query("quantiles_as_of", sql(f"""
+SELECT ticker, date, {r('quantile_cont(close, 0.005) OVER w')} AS low, {r('quantile_cont(close, 0.5) OVER w')} AS middle,
+       {r('quantile_cont(close, 0.995) OVER w')} AS high
+FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING)""", "bars"))
+def quantiles_as_of(spark, root):
+    """Exact outer quantiles and median of the closes so far."""
+    bars = src.bars(spark, root).select("ticker", "date", "close")
+    out = expanding_quantiles(bars, ["ticker"], "close", "date", {"low": 0.005, "middle": 0.5, "high": 0.995})
+    return rounded(out.drop("close"))
+
+
 # --------------------------------------------- sorts, limits and reshaping
 
 

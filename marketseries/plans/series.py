@@ -101,6 +101,27 @@ def multi_horizon_returns(spark, root):
     return rounded(ind.horizon_returns(monthly).drop("adj_close"))
 
 
+def horizon_as_of_sql(source: str, out: str) -> str:
+    lags = ", ".join(f"adj_close / lag(adj_close, {k}) OVER w - 1 AS r{k}" for k in HORIZONS)
+    bounds = ", ".join(f"quantile_cont(r{k}, {p}) OVER w AS {n}{k}" for k in HORIZONS for n, p in (("lo", 0.005), ("hi", 0.995)))
+    final = ", ".join(
+        f"CASE WHEN r{k} IS NOT NULL THEN power(1 + greatest(least(r{k}, hi{k}), lo{k}), 1.0 / {k}) - 1 END AS returns_{k}m"
+        for k in HORIZONS
+    )
+    return f"""{out}_raw AS (SELECT *, {lags} FROM {source} WINDOW w AS (PARTITION BY ticker ORDER BY month_end)),
+{out}_lim AS (SELECT *, {bounds} FROM {out}_raw WINDOW w AS (PARTITION BY ticker ORDER BY month_end ROWS UNBOUNDED PRECEDING)),
+{out} AS (SELECT ticker, month_end, {final} FROM {out}_lim)"""
+
+
+@query("multi_horizon_returns_as_of", sql(f"""
+SELECT ticker, month_end, {', '.join(f'{r(f"returns_{k}m")} AS returns_{k}m' for k in HORIZONS)} FROM hr""",
+    "bars", extra=[MONTHLY, horizon_as_of_sql("monthly", "hr")]))
+def multi_horizon_returns_as_of(spark, root):
+    """Horizon returns clipped to the outer quantiles of those so far, so that no limit looks ahead."""
+    monthly = panel.monthly_last(src.bars(spark, root), ["ticker"], ["adj_close"])
+    return rounded(ind.horizon_returns(monthly, as_of=True).drop("adj_close"))
+
+
 @query("cumulative_return", sql(f"""
 SELECT date, {r('sum(ret) OVER w')} AS cum_sum,
        {r('CASE WHEN ret > -1 THEN exp(sum(CASE WHEN ret > -1 THEN ln(1 + ret) END) OVER w) - 1 END')} AS cum_return
