@@ -205,13 +205,18 @@ def nested_ssr(full: np.ndarray, sizes: Sequence[int]) -> list[float | None]:
     return [out.get(m) for m in sizes]
 
 
-def nested_models(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], sizes: Sequence[int], tile: int = TILE) -> DataFrame:
+def nested_models(
+    df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], sizes: Sequence[int], tile: int = TILE, centred: bool = False
+) -> DataFrame:
     """ssr of the models with the first m columns, for all m, from one matrix per group, which is summed in tiles.
 
-    Only the (p + 1) x (p + 1) matrix of a group, whose size the columns set, meets in a task.
+    With ``centred`` all columns count less their mean in the group, which is taken off the sums, so that the rows are
+    read once. Only the matrix of a group, whose size the columns set, meets in a task.
     """
     by, xs, sizes = list(by), list(xs), list(sizes)
-    width = len(xs) + 1
+    cols = [*xs, y, "_one"] if centred else [*xs, y]
+    df = df.withColumn("_one", F.lit(1.0)) if centred else df
+    width = len(cols)
     tile = min(tile, width)
 
     @F.pandas_udf("syy double, fits array<struct<k int, ssr double>>")
@@ -226,10 +231,13 @@ def nested_models(df: DataFrame, by: Sequence[str], y: str, xs: Sequence[str], s
                 full[a : a + tile, b : b + tile] = block
                 full[b : b + tile, a : a + tile] = block.T
             full = full[:width, :width]
+            if centred:
+                total = full[-1, :-1]
+                full = full[:-1, :-1] - np.outer(total, total) / full[-1, -1]
             out.append((full[-1, -1], [{"k": m, "ssr": v} for m, v in zip(sizes, nested_ssr(full, sizes))]))
         return pd.DataFrame(out, columns=["syy", "fits"])
 
-    sums = gram_tiles(df, by, [*xs, y], tile).groupBy(*by).agg(
+    sums = gram_tiles(df, by, cols, tile).groupBy(*by).agg(
         F.max("n").alias("n"), F.collect_list(F.struct("ti", "tj", "block")).alias("_t"))
     fits = sums.select(*by, "n", fit_all("_t").alias("_f")).select(*by, "n", "_f.syy", F.explode("_f.fits").alias("f"))
     return information_criteria(fits.select(*by, "n", "syy", F.col("f.k").alias("k"), F.col("f.ssr").alias("ssr")))

@@ -328,7 +328,7 @@ def selection_frequency(spark, root):
 def wide_models(spark, root):
     """Models of the first 5 to 50 of the predictors of each replicate."""
     names = [f"z{i}" for i in range(1, 51)]
-    fits = regression.nested_models(src.wide_replicates(spark, root, names), ["rep"], "y", names, range(5, 51))
+    fits = regression.nested_models(src.wide_replicates(spark, root, names), ["rep"], "y", names, range(5, 51), centred=True)
     return cut_lineage(fits, "nested")
 
 

@@ -130,9 +130,7 @@ def replicates(spark: SparkSession, root: str) -> DataFrame:
 
 def wide_replicates(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """rep, y and as many predictors as names: the six of :func:`replicates`, then their products, of two and then of
-    three, all centred and scaled within the replicate before they are multiplied, and centred again.
-
-    ``y`` is centred, too, so that models without a constant fit.
+    three, all centred and scaled within the replicate before they are multiplied; the products are not centred again.
     """
     base = [f"x{i}" for i in range(1, 7)]
     products = [c for size in (1, 2, 3) for c in combinations_with_replacement(base, size)]
@@ -144,9 +142,7 @@ def wide_replicates(spark: SparkSession, root: str, names: Sequence[str]) -> Dat
         *[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(1.0).alias(f"_s_{c}") for c in base])
     unit = join_group_stats(rows, moments, ["rep"])
     unit = unit.select("rep", (F.col("y") - F.col("_m_y")).alias("y"), *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in base])
-    wide = unit.select("rep", "y", *[reduce(mul, map(F.col, p)).alias(n) for n, p in zip(names, products)])
-    means = wide.groupBy("rep").agg(*[F.avg(n).alias(f"_m_{n}") for n in names])
-    return join_group_stats(wide, means, ["rep"]).select("rep", "y", *[(F.col(n) - F.col(f"_m_{n}")).alias(n) for n in names])
+    return unit.select("rep", "y", *[reduce(mul, map(F.col, p)).alias(n) for n, p in zip(names, products)])
 
 
 def vectors(spark: SparkSession, root: str) -> DataFrame:

@@ -38,6 +38,21 @@ def test_fifty_nested_columns_match_direct_fits(spark, tile):
         assert r["bic"] == pytest.approx(k * np.log(len(y)) + len(y) * (np.log(2 * np.pi * ssr / len(y)) + 1))
 
 
+def test_centred_nested_models_equal_fits_with_a_constant(spark):
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame(rng.normal(size=(300, 12)) + 50, columns=[f"z{i}" for i in range(12)]).assign(g=rng.choice(["a", "b"], 300))
+    data["y"] = data["z0"] - 2 * data["z5"] + rng.normal(size=300) + 7
+    names = [f"z{i}" for i in range(12)]
+    out = regression.nested_models(spark.createDataFrame(data).repartition(3), ["g"], "y", names, [1, 5, 12], 5, centred=True).collect()
+    assert len(out) == 6
+    for r in out:
+        own = data[data["g"] == r["g"]]
+        x = np.column_stack([np.ones(len(own)), own[names[: r["k"]]]])
+        ssr = np.linalg.lstsq(x, own["y"], rcond=None)[1][0]
+        assert r["n"] == len(own) and r["ssr"] == pytest.approx(ssr, rel=1e-7)
+        assert r["syy"] == pytest.approx(((own["y"] - own["y"].mean()) ** 2).sum())
+
+
 def test_rolling_betas_match_direct_fits(spark):
     rng = np.random.default_rng(3)
     rows = []
