@@ -117,3 +117,19 @@ def test_long_rows_as_whole_strings(spark, monkeypatch):
     seen = Counter(bytes(t[i : i + 20]) for t in texts for i in range(len(t) - 19))
     mine = {(r["rid"][0], i) for r in suffixdedup._whole_strings(rows, 20).collect() for i in range(r["a"], r["b"])}
     assert mine == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 19) if seen[bytes(t[i : i + 20])] > 1}
+
+
+def test_copies_of_a_context_meet_its_spans_once(spark, monkeypatch):
+    """Texts around one hot passage, each three times, whose strings are found one by one in the end."""
+    monkeypatch.setattr(suffixdedup, "HOT_BYTES", 300)
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    passage = noise(90)
+    texts = [(noise(60) + passage + noise(60)).encode() for _ in range(30)]
+    bodies = [t for t in texts for _ in range(3)] + [b"alone" * 3]
+    rows = spark.createDataFrame([(bytearray(i.to_bytes(16, "big")), bytearray(t)) for i, t in enumerate(bodies)], "rid binary, body binary")
+    out = {int.from_bytes(r["rid"], "big"): r["spans"] for r in suffixdedup.repeated(rows, 40).collect()}
+    assert sorted(out) == list(range(90))
+    for i, spans in out.items():
+        assert {p for s in spans for p in range(s["a"], s["b"])} == set(range(len(bodies[i]) - 39))
+        assert len(spans) <= 40  # one for each context, not one for each of the starts, in each copy
