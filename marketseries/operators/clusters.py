@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,61 @@ def update(labelled: DataFrame, centroids: DataFrame, by: Sequence[str], k: int,
     return centroids.join(by_label, by, "left").select(*by, fresh.alias("centroids"), F.col("centroids").alias("_old"))
 
 
+#: Rows whose distances to all centroids are held at once.
+ROWS = 1024
+
+
+def moved(points: DataFrame, centroids: DataFrame, by: Sequence[str], k: int, dim: int) -> DataFrame:
+    """:func:`update` of :func:`assign`, summed in numpy where the points are read: one row per batch, group and cluster
+    leaves a task. Distances add up in the order of :func:`assign`."""
+    by = list(by)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column("x")
+            flat = lists.flatten()
+            if lists.null_count or flat.null_count or len(flat) != dim * len(lists) or (np.diff(lists.offsets.to_numpy()) != dim).any():
+                raise ValueError(f"points without {dim} values have no nearest centroid")
+            x = flat.to_numpy(zero_copy_only=False).reshape(-1, dim)
+            c = batch.column("centroids").flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, k, dim)
+            label = np.empty(len(x), np.int64)
+            for a in range(0, len(x), ROWS):
+                d = np.zeros((len(x[a : a + ROWS]), k))
+                for i in range(dim):
+                    gap = x[a : a + ROWS, None, i] - c[a : a + ROWS, :, i]
+                    d += gap * gap
+                label[a : a + ROWS] = np.where(np.isnan(d), np.inf, d).argmin(axis=1)
+            group = np.zeros(len(x), np.int64)
+            for name in by:
+                codes = batch.column(name).dictionary_encode()
+                group = group * len(codes.dictionary) + codes.indices.to_numpy()
+                group = np.unique(group, return_inverse=True)[1].reshape(-1)
+            order = np.argsort(group * k + label, kind="stable")
+            first = np.flatnonzero(np.diff((group * k + label)[order], prepend=-1))
+            total = np.add.reduceat(x[order], first, axis=0)
+            keys = pa.array(order[first])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name).take(keys) for name in by), pa.array(label[order[first]], pa.int32()),
+                 pa.array(np.diff(np.append(first, len(x))), pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(0, total.size + 1, dim), pa.int32()), pa.array(total.ravel()))],
+                names=[*by, "cluster", "n", "sums"])
+
+    joined = join_group_stats(points, centroids.select(*by, "centroids"), by).select(*by, "x", "centroids")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*by).schema.fields]
+    parts = joined.mapInArrow(sums, ", ".join([*fields, "cluster int", "n long", "sums array<double>"]))
+    parts = parts.groupBy(*by).agg(F.collect_list(F.struct("cluster", "n", "sums")).alias("_parts"))
+
+    def mean(j: int) -> Column:
+        own = F.filter("_parts", lambda p: p["cluster"] == j)
+        n = F.aggregate(own, F.lit(0).cast("long"), lambda acc, p: acc + p["n"])
+        total = F.aggregate(own, F.array_repeat(F.lit(0.0), dim), lambda acc, p: F.zip_with(acc, p["sums"], lambda a, b: a + b))
+        return F.when(n > 0, F.transform(total, lambda v: v / n)).otherwise(F.get("centroids", F.lit(j)))
+
+    return centroids.join(parts, by, "left").select(*by, F.array(*[mean(j) for j in range(k)]).alias("centroids"), F.col("centroids").alias("_old"))
+
+
 def hashed_start(points: DataFrame, by: Sequence[str], id_col: str, k: int, seed: str | None = None) -> DataFrame:
     """k rows per group in the order of a hash of their id, and of the column ``seed``: arbitrary, yet always the same."""
     from pyspark.sql import Window
@@ -69,8 +126,7 @@ def settled(vectors: DataFrame, state: DataFrame, by: Sequence[str], k: int, dim
     """
     rounds = 0
     while True:
-        step = update(assign(vectors, state, by), state, by, k, dim)
-        written = cut_lineage(step, "centroids")
+        written = cut_lineage(moved(vectors, state, by, k, dim), "centroids")
         shifted = F.zip_with("centroids", "_old", lambda a, b: _distance(a, b) > tolerance**2 * _square(b))
         state = written.drop("_old")
         if written.where(F.exists(shifted, lambda m: m)).isEmpty():
@@ -99,7 +155,9 @@ def kmeans_grouped(
     """
     by = list(by)
     vector = F.array(*[F.col(f).cast("double") for f in features]) if len(features) > 1 else F.col(features[0])
-    points = cut_lineage(df.withColumn("x", vector), "points")
+    # a file for each core, as every round reads them
+    points = df.withColumn("x", vector).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    points = cut_lineage(points, "points")
     dim = points.select(F.size("x")).first()
     if dim is None:
         return points.withColumn("cluster", F.lit(None).cast("int")).drop("x")

@@ -398,3 +398,21 @@ def test_importances_sum_to_one(spark):
     df = val.assemble(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"])
     table = val.importances(val.forest(trees=3, depth=3).fit(df), ["a", "b"]).toPandas().set_index("feature")
     assert table["importance"].sum() == pytest.approx(1) and table.loc["b", "importance"] > 0.9
+
+
+def test_round_of_all_groups_equals_assign_and_update(spark):
+    """Also with empty clusters, which keep their centroid; the vectors are summed before anything is shuffled."""
+    rng = np.random.default_rng(12)
+    rows = [(int(i % 3), i, "ab"[i % 2], rng.normal(size=30).tolist()) for i in range(200)]
+    points = spark.createDataFrame(rows, "g int, id long, h string, x array<double>").repartition(3)
+    state = clusters.hashed_start(points, ["g", "h"], "id", 4).withColumn(
+        "centroids", F.concat(F.slice("centroids", 1, 3), F.array(F.array_repeat(F.lit(99.0), 30)))).localCheckpoint()
+    old = clusters.update(clusters.assign(points, state, ["g", "h"]), state, ["g", "h"], 4, 30)
+    new = clusters.moved(points, state, ["g", "h"], 4, 30)
+    a, b = ({(r["g"], r["h"]): r for r in df.collect()} for df in (old, new))
+    assert sorted(a) == sorted(b) and len(a) == 6
+    for key in a:
+        np.testing.assert_allclose(a[key]["centroids"], b[key]["centroids"], rtol=1e-12)
+        assert a[key]["_old"] == b[key]["_old"] and b[key]["centroids"][3] == [99.0] * 30
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("collect_list") < plan.index("MapInArrow")
