@@ -128,9 +128,17 @@ def replicates(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+#: Rows of a replicate that one task takes.
+NEAR_ROWS = 500_000
+
+
 def wide_replicates(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """rep, y and as many predictors as names: the six of :func:`replicates`, then their products, of two and then of
     three, all centred and scaled within the replicate before they are multiplied; the products are not centred again.
+
+    The rows of a replicate stand in one partition, so that its sums of products are made where they are before they
+    are shuffled; those of a replicate with over :data:`NEAR_ROWS` rows stand in several. Only the columns that the
+    products are made of are sent.
     """
     base = [f"x{i}" for i in range(1, 7)]
     products = [c for size in (1, 2, 3) for c in combinations_with_replacement(base, size)]
@@ -138,10 +146,12 @@ def wide_replicates(spark: SparkSession, root: str, names: Sequence[str]) -> Dat
         raise ValueError(f"at most {len(products)} predictors")
     rows = replicates(spark, root)
     moments = rows.groupBy("rep").agg(
-        F.avg("y").alias("_m_y"), *[F.avg(c).alias(f"_m_{c}") for c in base],
+        F.count(F.lit(1)).alias("_n"), F.avg("y").alias("_m_y"), *[F.avg(c).alias(f"_m_{c}") for c in base],
         *[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(1.0).alias(f"_s_{c}") for c in base])
     unit = join_group_stats(rows, moments, ["rep"])
-    unit = unit.select("rep", (F.col("y") - F.col("_m_y")).alias("y"), *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in base])
+    share = F.pmod(F.xxhash64("y", *base), F.ceil(F.col("_n") / NEAR_ROWS)).alias("_share")
+    unit = unit.select("rep", share, (F.col("y") - F.col("_m_y")).alias("y"), *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in base])
+    unit = unit.repartition("rep", "_share")
     return unit.select("rep", "y", *[reduce(mul, map(F.col, p)).alias(n) for n, p in zip(names, products)])
 
 

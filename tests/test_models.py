@@ -416,3 +416,15 @@ def test_round_of_all_groups_equals_assign_and_update(spark):
         assert a[key]["_old"] == b[key]["_old"] and b[key]["centroids"][3] == [99.0] * 30
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert plan.index("collect_list") < plan.index("MapInArrow")
+
+
+def test_rows_of_a_replicate_stand_together_before_they_are_summed(spark, monkeypatch):
+    from marketseries.sources import stand_ins as src
+
+    rows = src.wide_replicates(spark, "/root/testdata/sf0.001", [f"z{i}" for i in range(1, 51)])
+    plan = regression.gram_tiles(rows, ["rep"], ["y", "z1", "z50"], 3)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("partial_sum") :]
+    assert "_share" in below[below.index("hashpartitioning(rep") :][:60]
+    monkeypatch.setattr(src, "NEAR_ROWS", 100)
+    many = src.wide_replicates(spark, "/root/testdata/sf0.001", ["z1"])
+    assert many.count() == rows.count()
