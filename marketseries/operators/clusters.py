@@ -44,8 +44,8 @@ def update(labelled: DataFrame, centroids: DataFrame, by: Sequence[str], k: int,
     return centroids.join(by_label, by, "left").select(*by, fresh.alias("centroids"), F.col("centroids").alias("_old"))
 
 
-#: Rows whose distances to all centroids are held at once.
-ROWS = 1024
+#: Rows whose distances to all centroids are held at once; up to so many values of a point are summed by Spark's expressions.
+ROWS, FEW = 1024, 12
 
 
 def moved(points: DataFrame, centroids: DataFrame, by: Sequence[str], k: int, dim: int) -> DataFrame:
@@ -126,7 +126,8 @@ def settled(vectors: DataFrame, state: DataFrame, by: Sequence[str], k: int, dim
     """
     rounds = 0
     while True:
-        written = cut_lineage(moved(vectors, state, by, k, dim), "centroids")
+        step = update(assign(vectors, state, by), state, by, k, dim) if dim <= FEW else moved(vectors, state, by, k, dim)
+        written = cut_lineage(step, "centroids")
         shifted = F.zip_with("centroids", "_old", lambda a, b: _distance(a, b) > tolerance**2 * _square(b))
         state = written.drop("_old")
         if written.where(F.exists(shifted, lambda m: m)).isEmpty():
@@ -155,8 +156,9 @@ def kmeans_grouped(
     """
     by = list(by)
     vector = F.array(*[F.col(f).cast("double") for f in features]) if len(features) > 1 else F.col(features[0])
-    # a file for each core, as every round reads them
-    points = df.withColumn("x", vector).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    points = df.withColumn("x", vector)
+    if len(features) == 1 or len(features) > FEW:  # a file for each core, as every round reads the long vectors
+        points = points.repartition(df.sparkSession.sparkContext.defaultParallelism)
     points = cut_lineage(points, "points")
     dim = points.select(F.size("x")).first()
     if dim is None:
