@@ -26,6 +26,8 @@ from marketseries.session import scratch_path
 
 #: Rows whose ways through all trees are followed at once.
 ROWS = 512
+#: Rows of folds that one task of a fit reads, and partitions that are not too many for any number of rows.
+TASK_ROWS, FEW_PARTS = 20_000, 8
 
 
 @dataclass
@@ -141,6 +143,23 @@ class ForestGrid:
     splits: Sequence[int] = (2, 4)
 
 
+def _dealt(folds: DataFrame) -> DataFrame:
+    """``folds`` kept for many fits, in no more partitions than their rows need, whatever the session's number is.
+
+    A fit is dozens of short jobs with a task for each partition, so partitions of a few rows cost more than the trees.
+    A bootstrap follows the rows of a partition in their order: a frame of few partitions stays as it is, another is
+    dealt by position and sorted.
+    """
+    kept = folds.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(1, -(-kept.count() // TASK_ROWS))
+    if kept.rdd.getNumPartitions() <= max(parts, FEW_PARTS):
+        return kept
+    dealt = kept.repartition(parts, "pos").sortWithinPartitions("pos", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    dealt.count()
+    kept.unpersist()
+    return dealt
+
+
 def _forest(label: str, trees: int, depth: int, features: int, leaf: int, seed: int) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy=str(features), minInstancesPerNode=leaf,
@@ -179,7 +198,7 @@ def forest_grid(folds: DataFrame, grid: ForestGrid = ForestGrid(), label: str =
     the bootstrap. ``folds`` comes from ``forward_folds`` with a ``features`` column; fits run side by side.
     """
     spark = folds.sparkSession
-    kept = folds.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _dealt(folds)
     numbers = [r[0] for r in kept.select("fold").distinct().orderBy("fold").collect()]
 
     def score(task: tuple[int, int, int]) -> list[tuple]:
@@ -230,7 +249,7 @@ def boosted_grid(folds: DataFrame, grid: BoostedGrid = BoostedGrid(), label: str
     All numbers of rounds are read from one fit of the most rounds.
     """
     spark = folds.sparkSession
-    kept = folds.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _dealt(folds)
     numbers = [r[0] for r in kept.select("fold").distinct().orderBy("fold").collect()]
 
     def score(task: tuple[int, int, float, float]) -> list[tuple]:

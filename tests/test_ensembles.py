@@ -99,3 +99,29 @@ def test_boosted_grid(rows):
     r2 = 1 - ((scored["y"] - scored["prediction"]) ** 2).sum() / ((scored["y"] - scored["y"].mean()) ** 2).sum()
     own = [r["r2"] for r in found if (r["rounds"], r["depth"], r["rate"], r["columns"], r["fold"]) == (3, 2, 0.5, 1.0, 1)]
     assert own == [pytest.approx(r2, abs=1e-9)]
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_fits_get_as_many_tasks_as_their_rows_need(rows, monkeypatch, kind):
+    """A fit is dozens of jobs: rows that a join leaves in a partition for each of the session's must not stay there."""
+    folds = val.forward_folds(rows, "ts", n_splits=2, test_size=80, gap=5)
+    learner = ens.RandomForestRegressor if kind == "forest" else GBTRegressor
+    seen, fit = [], learner.fit
+    monkeypatch.setattr(learner, "fit", lambda self, train: (seen.append((train.rdd.getNumPartitions(), train.count())), fit(self, train))[1])
+    tables = []
+    for frame in (folds.repartition(40, "pos"), folds.repartition(8, "pos")):
+        if kind == "forest":
+            tables.append(ens.forest_grid(frame, ens.ForestGrid(trees=(3,), depths=(2,), features=(4,), leaves=(1,), splits=(2,)))[0])
+        else:
+            tables.append(ens.boosted_grid(frame, ens.BoostedGrid(rounds=(3,), depths=(2,), rates=(0.5,), columns=(1.0,)))[0])
+    assert sorted(n for n, _ in seen) == [1, 1, 8, 8] and sorted(c for _, c in seen) == [435, 435, 515, 515]
+    found = [[r["r2"] for r in t.orderBy("fold").collect()] for t in tables]
+    assert len(found[0]) == 2 and (kind == "forest" or found[0] == pytest.approx(found[1], abs=1e-9))
+
+
+def test_large_folds_keep_as_many_partitions_as_they_need(rows, monkeypatch):
+    monkeypatch.setattr(ens, "TASK_ROWS", 50)
+    folds = val.forward_folds(rows, "ts", n_splits=2, test_size=80, gap=5)
+    dealt = ens._dealt(folds.repartition(40, "pos"))
+    assert dealt.rdd.getNumPartitions() == -(-folds.count() // 50)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, folds.collect()))
