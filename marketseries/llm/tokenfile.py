@@ -53,45 +53,52 @@ class _Model:
         free = (1 << _ZERO_BITS) - self.symbols
         own = 1 + self.counts * free // max(1, int(self.counts.sum()))
         own[int(own.argmax())] += (1 << _ZERO_BITS) - int(own.sum())
-        self.start = np.concatenate([[0], np.cumsum(own)]).astype(_U)
+        self.start = np.concatenate([[0], np.cumsum(own)])
         if self.decode:
             self.symbol_at = np.repeat(np.arange(self.symbols, dtype=np.int32), own)
         share = self.right[:2] / self.right.sum(0) * ((1 << _MIX_BITS) * 15 // 16)
-        self.f2, self.f1 = (np.maximum(16, x).astype(_U) for x in share)
+        self.f2, f1 = np.maximum(16, share).astype(np.int64)
+        self.f12 = self.f2 + np.where(np.arange(128) & 1, 0, f1)  # odd where both candidates are the same
 
     def predict(self, last: np.ndarray, before: np.ndarray) -> None:
         self.last = last
-        self.slot = ((last.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (before.astype(np.uint32) * np.uint32(0x85EBCA77))) >> np.uint32(14)
-        self.e1, self.e2 = self.one[last], self.two[self.slot]
+        self.slot = ((last * 0x9E3779B1) ^ (before * 0x85EBCA77)) >> 14 & (SLOTS - 1)
+        self.e1, self.e2 = self.one.take(last), self.two.take(self.slot)
         self.c1, self.c2 = self.e1 & 0xFFFFF, self.e2 & 0xFFFFF
         self.same = self.c1 == self.c2
-        self.mix = (self.e2 >> 20 << 4) | (self.e1 >> 20 << 1) | self.same
-        self.w2 = self.f2[self.mix]
-        self.w12 = self.w2 + np.where(self.same, _U(0), self.f1[self.mix])
-        self.rest = _U(1 << _MIX_BITS) - self.w12
+        self.mix = ((self.e2 >> 20 << 4) | (self.e1 >> 20 << 1) | self.same).astype(np.int64)
+        self.w2, self.w12 = self.f2.take(self.mix), self.f12.take(self.mix)
+        self.rest = (1 << _MIX_BITS) - self.w12
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        begin = self.w12 + (self.start[ids] * self.rest >> _U(_ZERO_BITS))
-        end = self.w12 + (self.start[ids + 1] * self.rest >> _U(_ZERO_BITS))
-        first, second = ids == self.c2, (ids == self.c1) & ~self.same
-        begin = np.where(first, _U(0), np.where(second, self.w2, begin))
-        end = np.where(first, self.w2, np.where(second, self.w12, end))
-        return begin, end - begin
+        begin = self.w12 + (self.start.take(ids) * self.rest >> _ZERO_BITS)
+        end = self.w12 + (self.start[1:].take(ids) * self.rest >> _ZERO_BITS)
+        self.ids = ids.astype(np.int32)
+        self.first, self.hit1 = self.ids == self.c2, self.ids == self.c1
+        self.second = self.hit1 > self.same
+        np.copyto(begin, 0, where=self.first)
+        np.copyto(end, self.w2, where=self.first)
+        np.copyto(begin, self.w2, where=self.second)
+        np.copyto(end, self.w12, where=self.second)
+        return begin.view(_U), (end - begin).view(_U)
 
     def symbols_of(self, value: np.ndarray) -> np.ndarray:
-        inner = np.where(value >= self.w12, value - self.w12, _U(0))
-        t = ((inner + _U(1)) * _U(1 << _ZERO_BITS) - _U(1)) // self.rest
-        ids = self.symbol_at[np.minimum(t, _U((1 << _ZERO_BITS) - 1)).astype(np.int64)]
-        return np.where(value < self.w2, self.c2, np.where(value < self.w12, self.c1, ids))
+        inner = np.maximum(value - self.w12, 0)
+        t = (((inner + 1) << _ZERO_BITS) - 1) // self.rest
+        ids = self.symbol_at.take(np.minimum(t, (1 << _ZERO_BITS) - 1))
+        np.copyto(ids, self.c1, where=value < self.w12)
+        np.copyto(ids, self.c2, where=value < self.w2)
+        return ids.astype(np.int64)
 
     def learn(self, ids: np.ndarray) -> None:
-        hit2, hit1 = ids == self.c2, ids == self.c1
-        kind = np.where(hit2, 0, np.where(hit1, 1, 2))
-        self.right += np.bincount(kind * 128 + self.mix, minlength=384).reshape(3, 128)
-        for table, at, entry, hit in ((self.one, self.last, self.e1, hit1), (self.two, self.slot, self.e2, hit2)):
+        """After :meth:`interval` of the same ids."""
+        kind = 2 - 2 * self.first.view(np.int8) - self.second.view(np.int8)
+        self.right += np.bincount(kind.astype(np.int64) * 128 + self.mix, minlength=384).reshape(3, 128)
+        tables = ((self.one, self.last, self.e1, self.c1, self.hit1), (self.two, self.slot, self.e2, self.c2, self.first))
+        for table, at, entry, candidate, hit in tables:
             trust = entry >> 20
-            kept = (entry & 0xFFFFF) | (trust >> 1 << 20)
-            table[at] = np.where(hit, np.minimum(entry + (1 << 20), (7 << 20) | ids), np.where(trust > 0, kept, ids))
+            after = np.where(hit, np.minimum(trust + 1, 7), trust >> 1)
+            table[at] = np.where(trust > 0, candidate, self.ids) | after << 20
         self.seen.append(ids)
 
 
@@ -104,13 +111,13 @@ def code_ids(ids: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
     """Words of each lane, one lane after another, and their numbers."""
     n = len(ids)
     steps, lanes = _shape(n)
-    table = np.zeros(steps * lanes, np.int32)
+    table = np.zeros(steps * lanes, np.int64)
     table[:n] = ids
     table = np.ascontiguousarray(table.reshape(lanes, steps).T)
     model = _Model(symbols, False)
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     words, used = np.zeros((lanes, 2 * steps + 16), np.uint16), np.zeros(lanes, np.int64)
-    last = before = np.zeros(lanes, np.int32)
+    last = before = np.zeros(lanes, np.int64)
     for t in range(steps):
         live = lanes if t + (lanes - 1) * steps < n else lanes - 1
         own = table[t, :live]
@@ -128,7 +135,7 @@ def code_ids(ids: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
             low[at], span[at] = a << _U(16), s << _U(16)
             at = at[(s << _U(16)) < _U(1 << 48)]
         model.learn(own)
-        before, last = last, own if live == lanes else np.append(own, np.int32(0))
+        before, last = last, own if live == lanes else np.append(own, 0)
         if t % REFRESH == REFRESH - 1 or t < 8:
             model.refresh()
     for k in (48, 32, 16, 0):
@@ -147,13 +154,14 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, symbols: int) -> np.
         code = code << _U(16) | words[at]
         at = at + 1
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
-    last = before = np.zeros(lanes, np.int32)
+    last = before = np.zeros(lanes, np.int64)
     out = np.zeros((steps, lanes), np.int32)
     for t in range(steps):
         live = lanes if t + (lanes - 1) * steps < n else lanes - 1
         model.predict(last[:live], before[:live])
         unit = span[:live] >> _U(_MIX_BITS)
-        own = model.symbols_of((code[:live] - low[:live]) // unit).astype(np.int32)
+        # at most 1 << 24, but for damaged data
+        own = model.symbols_of(np.minimum((code[:live] - low[:live]) // unit, _U(1 << 25)).view(np.int64))
         begin, width = model.interval(own)
         low[:live] += begin * unit
         span[:live] = width * unit
@@ -167,7 +175,7 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, symbols: int) -> np.
             low[few], span[few] = a << _U(16), s << _U(16)
             few = few[(s << _U(16)) < _U(1 << 48)]
         model.learn(own)
-        before, last = last, own if live == lanes else np.append(own, np.int32(0))
+        before, last = last, own if live == lanes else np.append(own, 0)
         if t % REFRESH == REFRESH - 1 or t < 8:
             model.refresh()
     return np.ascontiguousarray(out.T).ravel()[:n].astype(np.uint32)

@@ -33,6 +33,18 @@ def test_words_as_library(texts):
         enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.text(alphabet=st.sampled_from(list(" \n\ras'1,.-_é×÷ßĿƒʰˈ́…«日。ж")), max_size=20), max_size=4))
+def test_marks_and_lines_as_library(texts):
+    test_words_as_library.hypothesis.inner_test(texts)
+
+
+def test_words_are_learnt_once_whatever_closes_them():
+    enc = WordEncoder(BYTES)
+    enc.encode(pa.array(["été word, été word.", None, "word! word***\nété\nword", " word's× ×."]))
+    assert set(enc.known) == {"été", " été", "word", " word", ",", ".", "!", "***", "\n", "'s×", " ×."}
+
+
 def check(rows, texts, library, window=1024):
     docs = defaultdict(list)
     windows = defaultdict(list)

@@ -40,6 +40,14 @@ def test_predictable_ids_are_small():
     assert round_trip(np.array([(1 << 18) - 1, 0] * 2000, np.uint32)) < 2000
 
 
+def test_blocks_of_earlier_files():
+    """Files written before stay readable, and written as they were: coded words of 4000 ids, by their checksum."""
+    ids = (np.arange(4000, dtype=np.uint32) ** 2 % 977 * 51).astype(np.uint32)
+    words, used = tokenfile.code_ids(ids, int(ids.max()) + 1)
+    assert (zlib.crc32(words.tobytes()), used.sum()) == (2139576062, 1280)
+    assert tokenfile.decode_ids(words, used, len(ids), int(ids.max()) + 1).tolist() == ids.tolist()
+
+
 def test_damage_and_large_ids():
     data = bytearray(tokenfile.write_block([1], [500], np.arange(500, dtype=np.uint32)))
     data[-9] ^= 1
