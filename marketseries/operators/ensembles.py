@@ -22,12 +22,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from marketseries.operators.boosting import BINS, boosted_errors
 from marketseries.session import scratch_path
 
 #: Rows whose ways through all trees are followed at once.
 ROWS = 512
 #: Rows of folds that one task of a fit reads, and partitions that are not too many for any number of rows.
 TASK_ROWS, FEW_PARTS = 20_000, 8
+#: Rounds up to which a boosted fit is left to Spark's learner whatever its rows, and numbers (features of a fold, bins of the
+#: nodes of a level) up to which a longer one is grown inside one task.
+FEW_ROUNDS, FIT_VALUES = 100, 4_000_000
 
 
 @dataclass
@@ -243,29 +247,79 @@ class BoostedGrid:
     columns: Sequence[float] = (0.7, 1.0)
 
 
+def _spots(spark: SparkSession, n: int) -> list[int]:
+    """``n`` keys that a shuffle into n partitions sends to one each, in the order of the partitions."""
+    found = spark.range(32 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id")).orderBy("part").collect()
+    ids = [r["id"] for r in found]
+    return [*ids, *range(32 * n, 33 * n - len(ids))]
+
+
+def _grown_errors(kept: DataFrame, tasks: list[tuple[int, int, float, float]], rounds: Sequence[int], label: str, seed: int) -> DataFrame:
+    """Errors of boosted trees, each fit in a task of its own: task (its place in ``tasks``), round, mse."""
+    spots = _spots(kept.sparkSession, len(tasks))
+    place = {spot: i for i, spot in enumerate(spots)}
+    by_fold: dict[int, list[int]] = {}
+    for spot, (fold, *_) in zip(spots, tasks):
+        by_fold.setdefault(fold, []).append(spot)
+
+    def errors(table: pa.Table) -> pa.Table:
+        task = place[table.column("spot")[0].as_py()]
+        _, depth, rate, share = tasks[task]
+        if table.column("y").null_count or table.column("x").null_count:
+            raise ValueError("a row of the folds has no label or no features")
+        y = table.column("y").to_numpy()
+        x = np.concatenate([c.flatten().to_numpy() for c in table.column("x").chunks]).reshape(len(y), -1)
+        order = np.argsort(table.column("pos").to_numpy(), kind="stable")
+        trains = table.column("trains").to_numpy()[order]
+        own, test = order[trains], order[~trains]
+        found = boosted_errors(x[own], y[own], x[test], y[test], rounds, depth, rate, share, seed)
+        return pa.table({"task": pa.array([task] * len(found), pa.int32()), "round": pa.array(list(found), pa.int32()),
+                         "mse": pa.array([e / len(test) if len(test) else None for e in found.values()], pa.float64())})
+
+    rows = kept.select("pos", (F.col("role") == "train").alias("trains"), F.col(label).cast("double").alias("y"),
+                       vector_to_array("features").alias("x"), F.explode(F.create_map(*[
+                           c for fold, own in by_fold.items() for c in (F.lit(fold), F.array(*map(F.lit, own)))])[F.col("fold")]).alias("spot"))
+    return rows.repartition(len(tasks), "spot").groupBy("spot").applyInArrow(errors, "task int, round int, mse double")
+
+
 def boosted_grid(folds: DataFrame, grid: BoostedGrid = BoostedGrid(), label: str = "y", seed: int = 0, parallelism: int = 8):
     """Mean R² over the folds for every combination of boosted trees, and the best one; see :func:`forest_grid`.
 
-    All numbers of rounds are read from one fit of the most rounds.
+    All numbers of rounds are read from one fit of the most rounds. Spark's learner starts jobs for every level of a
+    tree, however few the rows are: long fits over folds that a task can hold are grown there, one task for each fold,
+    depth, rate and share of columns. Their trees are the same.
     """
     spark = folds.sparkSession
     kept = _dealt(folds)
-    numbers = [r[0] for r in kept.select("fold").distinct().orderBy("fold").collect()]
+    width = F.size(vector_to_array("features"))
+    sizes = kept.groupBy("fold").agg(
+        F.sum(width).alias("values"), F.max(width).alias("width"), F.var_pop(F.when(F.col("role") == "test", F.col(label))).alias("spread")
+    ).orderBy("fold").collect()
+    numbers, spreads = [r["fold"] for r in sizes], {r["fold"]: r["spread"] for r in sizes}
+    largest = max((max(r["values"], r["width"] * BINS << max(grid.depths)) for r in sizes), default=0)
+
+    def scored(fold: int, mse: float | None) -> float | None:
+        return 1 - mse / spreads[fold] if spreads[fold] else None
 
     def score(task: tuple[int, int, float, float]) -> list[tuple]:
         fold, depth, rate, share = task
         part = kept.where(F.col("fold") == fold)
-        test = part.where(F.col("role") == "test")
         learner = GBTRegressor(labelCol=label, maxIter=max(grid.rounds), maxDepth=depth, stepSize=rate, seed=seed,
                                featureSubsetStrategy="all" if share == 1 else str(share))
         model = learner.fit(part.where(F.col("role") == "train"))
-        mse = {r["round"]: r["mse"] for r in prefix_losses(model, test, label).where(F.col("round").isin(list(grid.rounds))).collect()}
-        spread = test.agg(F.var_pop(label)).first()[0]
-        return [((k, depth, rate, share), fold, 1 - mse[k] / spread if spread else None) for k in grid.rounds]
+        losses = prefix_losses(model, part.where(F.col("role") == "test"), label).where(F.col("round").isin(list(grid.rounds)))
+        mse = {r["round"]: r["mse"] for r in losses.collect()}
+        return [((k, depth, rate, share), fold, scored(fold, mse[k])) for k in grid.rounds]
 
     tasks = sorted(product(numbers, grid.depths, grid.rates, grid.columns), key=lambda t: (-t[1], -t[0]))
-    with ThreadPool(parallelism) as pool:
-        scores = {(combo, fold): r2 for found in pool.imap_unordered(score, tasks) for combo, fold, r2 in found}
+    if tasks and max(grid.rounds) > FEW_ROUNDS and largest <= FIT_VALUES:
+        scores = {}
+        for r in _grown_errors(kept, tasks, grid.rounds, label, seed).collect():  # a row for each score
+            fold, *rest = tasks[r["task"]]
+            scores[(r["round"], *rest), fold] = scored(fold, r["mse"])
+    else:
+        with ThreadPool(parallelism) as pool:
+            scores = {(combo, fold): r2 for found in pool.imap_unordered(score, tasks) for combo, fold, r2 in found}
     kept.unpersist()
     combos = list(product(grid.rounds, grid.depths, grid.rates, grid.columns))
     return _grid_table(spark, ("rounds int", "depth int", "rate double", "columns double"), combos, numbers, scores)
